@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellumine.llm import split, tokens
+from vellumine.llm import addresses, names, split, tokens
 from vellumine.session import table
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    """All pairs of spellings of one person or company."""
+    return names.name_pairs(table(spark, folder, "predictions_all"))
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     """The coarsest unit that fits, of every text of more than 7,000 characters."""
     return split.boundary_units(table(spark, folder, "predictions_all"), "rec_id", "ocr_text")
@@ -18,12 +23,17 @@ def p3_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return split.pieces(table(spark, folder, "predictions_all"), "rec_id", "ocr_text")
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """All pairs of wordings of one location."""
+    return addresses.address_pairs(table(spark, folder, "predictions_all"))
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document."""
     return tokens.encode_corpus(table(spark, folder, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p3_found": p3_found, "p3_pieces": p3_pieces, "p7_ids": p7_ids}
+QUERIES = {f.__name__: f for f in (p1_found, p3_found, p3_pieces, p5_found, p7_ids)}
 
 ORACLE = {
     "p3_found": r"""
