@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellumine.llm import addresses, names, split, tokens
+from vellumine.llm import addresses, encoding, leakage, names, split, tokens
 from vellumine.session import table
 
 
@@ -33,7 +33,23 @@ def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.encode_corpus(table(spark, folder, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p3_found, p3_pieces, p5_found, p7_ids)}
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with a passage of an evaluation item, and the item."""
+    found = leakage.leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+    return found.select("doc_id", "item_id")
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with a wrongly decoded stretch."""
+    return encoding.affected(table(spark, folder, "documents"))
+
+
+def p9_restored(spark: SparkSession, folder: str) -> DataFrame:
+    """The wrongly decoded documents with their text restored."""
+    return encoding.restore(table(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p3_found, p3_pieces, p5_found, p7_ids, p8_found, p9_found, p9_restored)}
 
 ORACLE = {
     "p3_found": r"""
