@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellumine.llm import addresses, encoding, leakage, names, split, tokens
+from vellumine.llm import addresses, encoding, language, leakage, names, ocr, split, tokens
 from vellumine.session import table
 
 
@@ -13,6 +13,16 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return names.name_pairs(table(spark, folder, "predictions_all"))
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line with a defect of scanning."""
+    return ocr.defects(table(spark, folder, "predictions_all"))
+
+
+def p2_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
+    """The scanned texts as continuous paragraphs."""
+    return ocr.paragraphs(table(spark, folder, "predictions_all"))
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     """The coarsest unit that fits, of every text of more than 7,000 characters."""
     return split.boundary_units(table(spark, folder, "predictions_all"), "rec_id", "ocr_text")
@@ -28,6 +38,16 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return addresses.address_pairs(table(spark, folder, "predictions_all"))
 
 
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The language segments of rows with a missing or wrong label or several languages."""
+    return language.relabelled(table(spark, folder, "predictions_all")).select("rec_id", "seg_no", "lang")
+
+
+def p6_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """The same segments with their words and confidence."""
+    return language.relabelled(table(spark, folder, "predictions_all"))
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document."""
     return tokens.encode_corpus(table(spark, folder, "documents"), "doc_id", "text")
@@ -49,7 +69,7 @@ def p9_restored(spark: SparkSession, folder: str) -> DataFrame:
     return encoding.restore(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p3_found, p3_pieces, p5_found, p7_ids, p8_found, p9_found, p9_restored)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_paragraphs, p3_found, p3_pieces, p5_found, p6_found, p6_segments, p7_ids, p8_found, p9_found, p9_restored)}
 
 ORACLE = {
     "p3_found": r"""
