@@ -24,6 +24,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from vellumine.llm.sampling import bounded
+
 LANGUAGES = ("de", "fr", "it", "en")
 #: Length of a profile, words of a block, price of a change in trigrams, least words of a part.
 LENGTH, BLOCK, CHANGE, LEAST = 400, 8, 9.0, 25
@@ -228,12 +230,9 @@ def segments_of(texts: list[str], ranks: np.ndarray, least: int = LEAST, change:
 
 def profiles_of(rows: DataFrame, text: str, label: str, sample: int = SAMPLE, languages: tuple[str, ...] = LANGUAGES) -> np.ndarray:
     """Profiles fitted on at most ``sample`` rows of each language, chosen by the hash of their text."""
-    known = rows.select(label_column(F.col(label)).alias("code"), F.col(text).alias("text")).filter(F.col("code").isin(*languages) & (F.length("text") > 200))
-    picked = None
-    for code in languages:
-        one = known.filter(F.col("code") == code).select("code", F.substring("text", 1, 20_000).alias("text"), F.xxhash64("text").alias("h")).orderBy("h", "text").limit(sample // len(languages))
-        picked = one if picked is None else picked.unionByName(one)
-    return fit_profiles([(r["code"], r["text"]) for r in picked.collect()], languages)
+    code = label_column(F.col(label))
+    sample_rows = bounded(rows.filter(F.length(text) > 200), text, sample // len(languages), F.when(code.isin(*languages), code))
+    return fit_profiles([(g, t[:20_000]) for g, t in sample_rows], languages)
 
 
 def segment(rows: DataFrame, key: str, text: str, ranks: np.ndarray, languages: tuple[str, ...] = LANGUAGES, keep: tuple[str, ...] = ()) -> DataFrame:

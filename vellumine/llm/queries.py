@@ -71,12 +71,17 @@ def p9_restored(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_paragraphs, p3_found, p3_pieces, p5_found, p6_found, p6_segments, p7_ids, p8_found, p9_found, p9_restored)}
 
+#: White space as SQL patterns write it.
+_WS = r"\t\n\x0b\x0c\r \x1c-\x1f\x{0085}\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_INNER = _WS.replace(r"\n", "")
+
 ORACLE = {
-    "p3_found": r"""
+    "p3_found": rf"""
         WITH t AS (SELECT rec_id, ocr_text FROM predictions_all WHERE length(ocr_text) > 7000),
-        l AS (SELECT rec_id, list_max(list_transform(string_split(ocr_text, chr(10)), x -> length(x))) AS line,
-                     list_max(list_transform(regexp_split_to_array(ocr_text, '[\s\x{00a0}\x{2003}]+'), x -> length(x))) AS word,
-                     list_max(list_transform(regexp_split_to_array(ocr_text, '\n([^\S\n]*\n)+'), x -> length(x))) AS para
+        l AS (SELECT rec_id, list_max(list_transform(string_split(ocr_text, chr(10)), lambda x: length(x))) AS line,
+                     list_max(list_transform(regexp_split_to_array(ocr_text, '[{_WS}]+'), lambda x: length(x))) AS word,
+                     list_max(list_transform(regexp_split_to_array(chr(10) || ocr_text || chr(10), '\n([{_INNER}]*\n)+'),
+                                             lambda x: length(x) - CASE WHEN x LIKE chr(10) || '%' THEN 1 ELSE 0 END)) AS para
               FROM t)
         SELECT rec_id, CASE WHEN para <= 7000 THEN 'paragraph' WHEN line <= 7000 THEN 'line' WHEN word <= 7000 THEN 'word' ELSE 'none' END AS boundary FROM l
     """,
