@@ -1,3 +1,3 @@
 """Queries over the project's tables, each with its SQL where SQL can express it."""
 
-MODULES = ["vellumine.plans.nested"]
+MODULES = [f"vellumine.plans.{name}" for name in ("nested", "texts", "records", "evaluation")]
