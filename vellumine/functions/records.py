@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
 from vellumine.functions import dates, entities
@@ -80,26 +80,34 @@ def _entity_list(v: Column, key: str) -> Column:
     return F.when(kind == "STRING", entities.from_string(F.try_variant_get(raw, "$", "string"))).when(kind.startswith("ARRAY"), entities.normalized(listed))
 
 
-def validated(raw: Text) -> Column:
-    """A record from a JSON string, with aliases, repaired dates and moved companies.
+def with_validated(df: DataFrame, raw: str, out: str) -> DataFrame:
+    """df with a record from a JSON string: aliases, repaired dates, moved companies.
 
-    All or nothing: text that is no JSON, or a scalar field that is no string, gives a
-    record of nulls. A list stands for its first element.
+    All or nothing: text that is no JSON, or a scalar field that is no string, gives null.
+    A list stands for its first element. Done in steps, so that each is evaluated once.
     """
-    parsed = F.try_parse_json(_c(raw))
-    v = F.when(F.schema_of_variant(parsed).startswith("ARRAY"), F.try_variant_get(parsed, "$[0]", "variant")).otherwise(parsed)
-    bad = F.schema_of_variant(v).isNull() | ~F.schema_of_variant(v).startswith("OBJECT")
-    fields = {}
+    day = ("application", "publication", "foreign")
+    parsed = F.try_parse_json(F.col(raw))
+    step = df.withColumn("_parsed", parsed).withColumn("_shape", F.schema_of_variant("_parsed"))
+    step = step.withColumn("_v", F.when(F.col("_shape").startswith("ARRAY"), F.try_variant_get("_parsed", "$[0]", "variant")).otherwise(F.col("_parsed")))
+    step = step.withColumn("_shape", F.schema_of_variant("_v"))
+    members = {}
     for name in SCALARS:
-        member = F.try_variant_get(v, f"$.{name}", "variant")
+        member = F.try_variant_get("_v", f"$.{name}", "variant")
         if name in ALIASES:
-            member = F.coalesce(member, F.try_variant_get(v, f"$.{ALIASES[name]}", "variant"))
-        bad = bad | ~F.coalesce(F.schema_of_variant(member), F.lit("VOID")).isin("STRING", "VOID")
-        fields[name] = F.try_variant_get(member, "$", "string")
-    day = ("application", "publication", "foreign")
-    once = dates.without_duplicates(*[fields[f"pub_date_{d}"] for d in day])
-    ordered = dates.in_order(*[dates.field_date(once[d]) for d in day])
-    moved = entities.companies_moved(_entity_list(v, "inventors"), _entity_list(v, "assignees"))
-    values = fields | {f"pub_date_{d}": ordered[d].cast("string") for d in day} | moved
-    names = [f.split(":")[0] for f in ("title", "inventors", "assignees", *[f"pub_date_{d}" for d in day], "classification", "industrial_field", "identifier")]
-    return F.when(F.coalesce(bad, F.lit(True)), F.lit(None)).otherwise(F.struct(*[values[n].alias(n) for n in names])).cast(RECORD)
+            member = F.coalesce(member, F.try_variant_get("_v", f"$.{ALIASES[name]}", "variant"))
+        members[f"_m_{name}"] = member
+    step = step.withColumns(members)
+    good = F.coalesce(F.col("_shape").startswith("OBJECT"), F.lit(False))
+    for name in SCALARS:
+        good = good & F.coalesce(F.schema_of_variant(f"_m_{name}"), F.lit("VOID")).isin("STRING", "VOID")
+    step = step.withColumn("_good", good).withColumns({f"_s_{n}": F.try_variant_get(f"_m_{n}", "$", "string") for n in SCALARS})
+    step = step.withColumns({f"_l_{k}": _entity_list(F.col("_v"), k) for k in ("inventors", "assignees")})
+    once = dates.without_duplicates(*[F.col(f"_s_pub_date_{d}") for d in day])
+    step = step.withColumns({f"_d_{d}": dates.field_date(once[d]) for d in day})
+    ordered = dates.in_order(*[F.col(f"_d_{d}") for d in day])
+    values = {n: F.col(f"_s_{n}") for n in SCALARS} | {f"pub_date_{d}": ordered[d].cast("string") for d in day} | entities.companies_moved("_l_inventors", "_l_assignees")
+    names = ("title", "inventors", "assignees", *[f"pub_date_{d}" for d in day], "classification", "industrial_field", "identifier")
+    whole = F.when(F.col("_good"), F.struct(*[values[n].alias(n) for n in names])).cast(RECORD)
+    kept = [c for c in df.columns if c != out]
+    return step.select(*kept, whole.alias(out))

@@ -143,16 +143,22 @@ def safe_ratio(part: Text, whole: Text) -> Column:
     return F.when(_c(whole) > 0, _c(part) / _c(whole))
 
 
-def proxies(x: Text) -> dict[str, Column]:
-    """Measures of a text without a reference: characters, lines, empty lines, mean line length."""
-    full = F.filter(lines(x), lambda v: ~blank(v))
-    empty = F.size(lines(x)) - F.size(full)
-    total = F.aggregate(full, F.lit(0), lambda a, v: a + F.length(v))
+def proxies(x: Text, cut_lines: Text | None = None) -> dict[str, Column]:
+    """Measures of a text without a reference: characters, lines, empty lines, mean line length.
+
+    cut_lines: a column that holds ``lines(x)``, so that the text is cut but once.
+    """
+    every = lines(x) if cut_lines is None else _c(cut_lines)
+    sums = F.aggregate(
+        every,
+        F.struct(F.lit(0).alias("n"), F.lit(0).alias("chars")),
+        lambda a, v: F.when(v.rlike(r"(?U)\S"), F.struct((a["n"] + 1).alias("n"), (a["chars"] + F.length(v)).alias("chars"))).otherwise(a),
+    )
     return {
         "n_chars": F.length(_c(x)).cast("bigint"),
-        "n_lines": F.size(full).cast("bigint"),
-        "n_empty_lines": empty.cast("bigint"),
-        "avg_line_len": F.round(F.coalesce(safe_ratio(total, F.size(full)), F.lit(0.0)), 6),
+        "n_lines": sums["n"].cast("bigint"),
+        "n_empty_lines": (F.size(every) - sums["n"]).cast("bigint"),
+        "avg_line_len": F.round(F.coalesce(safe_ratio(sums["chars"], sums["n"]), F.lit(0.0)), 6),
     }
 
 

@@ -128,7 +128,7 @@ def request_timing() -> dict[str, Column]:
         return F.when(F.col(b) >= F.col(a), F.round(F.col(b) - F.col(a), 6))
 
     def own(name: str, fallback: Column) -> Column:
-        return F.coalesce(F.round(F.greatest(F.col(name), F.lit(0.0)), 6), fallback)
+        return F.when(F.col(name).isNotNull(), F.round(F.greatest(F.col(name), F.lit(0.0)), 6)).otherwise(fallback)
 
     return {
         "t_request": span("arrival_time", "finished_time"),

@@ -13,6 +13,7 @@ from vellumine.functions.text import blank, lowered
 from vellumine.operators import chunking
 from vellumine.operators.inference import infer
 from vellumine.operators.merging import merged_records
+from vellumine.session import cut
 
 TEMPLATE = "Extract the bibliographic fields of this text as JSON:\n{text}"
 CORRECTION = "\nThe first answer was incomplete. Read the text again and fill every field you find.\n"
@@ -35,14 +36,15 @@ def _asked(docs: DataFrame, c: Extraction, suffix: str = chunking.JSON_SUFFIX, c
     """One row a prompt, answered and parsed: id, candidate_order, record, error."""
     rows = chunking.prompt_rows(docs, "id", "text", chunks or c.chunks).withColumn("prompt", F.concat(chunking.rendered(c.template, "body"), F.lit(suffix)))
     answered = infer(rows.select("id", "candidate_order", "prompt"), "prompt", c.backend, c.batch)
-    return answered.select("id", "candidate_order", F.when(F.col("error").isNull(), records.validated(records.extracted("answer"))).alias("record"), "error")
+    found = answered.select("id", "candidate_order", records.json_of("answer").alias("_json"), "error")
+    return cut(records.with_validated(found, "_json", "record").drop("_json"))
 
 
 def _merged(candidates: DataFrame, policy: str | None) -> DataFrame:
     """One record an id; the first error where no prompt succeeded."""
     good = merged_records(candidates.filter("error is null"), "id", "candidate_order", "record", policy)
     errors = candidates.groupBy("id").agg(F.min_by("error", "candidate_order").alias("error"), F.count("*").alias("chunks_count"))
-    return errors.join(good, "id", "left").select("id", "record", F.when(F.col("record").isNull(), F.col("error")).alias("error"), "chunks_count")
+    return cut(errors.join(good, "id", "left").select("id", "record", F.when(F.col("record").isNull(), F.col("error")).alias("error"), "chunks_count"))
 
 
 def baseline(docs: DataFrame, c: Extraction) -> DataFrame:

@@ -133,7 +133,8 @@ def extract_json_object(spark: SparkSession, folder: str) -> DataFrame:
     """The answers found in prose and fences, parsed and validated."""
     wrapped = F.concat(F.lit("Here it is:\n```json\n"), F.col("payload"), F.lit("\n```\nDone {not json}."))
     found = records.extracted(wrapped)
-    return table(spark, folder, "raw_outputs").filter("payload is not null").select("raw_id", F.md5(found).alias("digest"), records.validated(found)["title"].alias("title"))
+    rows = table(spark, folder, "raw_outputs").filter("payload is not null").select("raw_id", found.alias("found"))
+    return records.with_validated(rows, "found", "record").select("raw_id", F.md5("found").alias("digest"), "record.title")
 
 
 def identity_keys(spark: SparkSession, folder: str) -> DataFrame:

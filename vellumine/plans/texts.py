@@ -19,16 +19,16 @@ def _docs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def doc_proxy_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    found = dates.date_strings("text")
-    return _docs(spark, folder).filter("text is not null").select(
-        "doc_id", *[c.alias(n) for n, c in tx.proxies("text").items()], F.size(found).cast("bigint").alias("n_dates"), F.array_join(F.slice(found, 1, 20), "|").alias("dates")
+    d = _docs(spark, folder).filter("text is not null").withColumn("_lines", tx.lines("text")).withColumn("_dates", dates.date_strings("text"))
+    return d.select(
+        "doc_id", *[c.alias(n) for n, c in tx.proxies("text", "_lines").items()], F.size("_dates").cast("bigint").alias("n_dates"), F.array_join(F.slice("_dates", 1, 20), "|").alias("dates")
     )
 
 
 def proxy_summary_by_lang(spark: SparkSession, folder: str) -> DataFrame:
-    d = _docs(spark, folder).withColumn("n_dates", F.size(dates.date_strings("text")))
+    d = _docs(spark, folder)
     return d.groupBy(F.lower("lang").alias("lang")).agg(
-        F.count("*").alias("n_docs"), F.count_if(~tx.blank("text")).alias("n_with_text"), F.count_if(F.col("n_dates") > 0).alias("n_with_dates"), F.sum(F.length("text")).alias("n_chars")
+        F.count("*").alias("n_docs"), F.count_if(~tx.blank("text")).alias("n_with_text"), F.count_if(F.col("text").rlike("|".join(dates.PATTERNS))).alias("n_with_dates"), F.sum(F.length("text")).alias("n_chars")
     )
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +34,20 @@ def local_session(cores: int | str = "*", memory: str = "8g", partitions: int =
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once a context, so that workers can import it."""
+    context = spark.sparkContext
+    if getattr(context, "_vellumine_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="vellumine-"), "vellumine.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, str(source.relative_to(package.parent)))
+    context.addPyFile(archive)
+    context._vellumine_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in spark.checkpoint.dir.
 
