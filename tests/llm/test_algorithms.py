@@ -1,0 +1,210 @@
+"""The algorithms of this subpackage against brute force, round trips and planted cases."""
+
+import itertools
+import random
+
+import numpy as np
+import pytest
+
+from vellumine.llm import edits, encoding, language, leakage, names, ocr, split, tokens
+from vellumine.llm.addresses import read_address
+
+DE = "Die Welle ist mit dem Lager verbunden und wird durch eine Feder gehalten, damit kein Öl austreten kann. Zum Öffnen schwenkt man den Deckel gegen die Stange, bis das Rad frei liegt. "
+FR = "Le couvercle est relié à la bielle par une lame flexible, afin d'éviter toute fuite d'huile. Pour ouvrir, on pousse le levier contre la plaque jusqu'à ce que la roue soit libre. "
+EN = "The shaft is connected to the bearing and is held by a spring, so that no oil can escape. To open it, the cover is swung against the rod until the wheel is free, without further adjustment. "
+IT = "Il coperchio è unito alla biella mediante una lama flessibile, affinché l'olio non possa uscire. Per aprire si spinge la leva contro la piastra finché la ruota sia libera. "
+
+
+def plain_distance(a, b):
+    rows = {}
+    for i in range(-1, len(a)):
+        for j in range(-1, len(b)):
+            if min(i, j) < 0:
+                rows[i, j] = max(i, j) + 1
+                continue
+            best = min(rows[i - 1, j] + 1, rows[i, j - 1] + 1, rows[i - 1, j - 1] + (a[i] != b[j]))
+            if i and j and a[i] == b[j - 1] and a[i - 1] == b[j]:
+                best = min(best, rows[i - 2, j - 2] + 1)
+            rows[i, j] = best
+    return rows[len(a) - 1, len(b) - 1] if a and b else max(len(a), len(b))
+
+
+def test_distance_and_neighbourhood():
+    random.seed(1)
+    for _ in range(400):
+        a = "".join(random.choices("abcd", k=random.randint(0, 7)))
+        b = "".join(random.choices("abcd", k=random.randint(0, 7)))
+        d = plain_distance(a, b)
+        assert edits.distance(a, b) == min(d, 3)
+        if d <= 2:
+            assert edits.neighbourhood(a, 2) & edits.neighbourhood(b, 2)
+
+
+@pytest.mark.parametrize(
+    "left,right",
+    [("Viktor Krässenner", "KRAESSENNER Viktor"), ("Dipl.-Ing. V. Krässenner", "V. Krässenner"), ("Krässenner, Viktor E.", "Viktor E. Krässenner"), ("Uhrenfabr. Büfundäli", "Uhren-Fabrik Büfundäli A.-G."),
+     ("Herr Chas. Fenerson", "Charles Fenerson"), ("Bill Sifosoz", "William Sifosoz"), ("F.lli Dickalbach", "Fratelli Dickalbach"), ("Pfimmal&Cie.", "Pfimmal und Compagnie")],
+)
+def test_names_of_one_form(left, right):
+    assert names.read_name(left)[:3] == names.read_name(right)[:3]
+
+
+def test_name_parts():
+    assert names.read_name("A1bert Gürga1er")[1:3] == ("gurgaler", "albert")
+    assert names.read_name("...")[1] == "" and names.read_name("X")[1] == "x"
+    assert names.align(["karl", "e"], ["k", "ernst"]) < 1 < names.align(["karl"], ["josef"])
+    assert names.shortened("wm", "william") and names.shortened("chas", "charles") and not names.shortened("karl", "kaspar")
+
+
+@pytest.mark.parametrize(
+    "address,want",
+    [("Pfergel-Gasse No. 102a, Bellin (Suisse)", ("102a", "gasse", "pfergel", "bellin", "")), ("12, avenue Kitt, FR-2120", ("12", "avenue", "kitt", "", "2120")), ("CH-1583 Bellin, v.le Stass 66", ("66", "viale", "stass", "bellin", "1583")),
+     ("Bellin/Switzerland", ("", "", "", "bellin", "")), ("107 Sattin Street, Bellin (England)", ("107", "street", "sattin", "bellin", "")), ("", ("", "", "", "", ""))],
+)
+def test_addresses(address, want):
+    assert read_address(address) == want
+
+
+def test_seed_masks_tolerate_four_changes():
+    masks = [sum(1 << (s + o) for o in m) for m in leakage.MASKS for s in range(20 - m[-1])]
+    for changed in itertools.combinations(range(20), 4):
+        hit = sum(1 << c for c in changed)
+        assert any(not m & hit for m in masks)
+
+
+def test_passages_by_brute_force():
+    random.seed(3)
+    words = [f"w{i}" for i in range(400)]
+    items = [(i, " ".join(random.choices(words, k=60))) for i in range(30)]
+    block = leakage._Items(items)
+    texts, want = [], set()
+    for n in range(60):
+        body = random.choices(words, k=80)
+        if n % 3 == 0:
+            item, text = random.choice(items)
+            at = random.randint(0, 30)
+            part = text.split()[at : at + random.choice([26, 30])]
+            part[7] = "changed"
+            part[15] = "other"
+            body[40:40] = [w.upper() + "," for w in part]
+            want.add((n, item))
+        elif n % 3 == 1:  # too short
+            body[10:10] = random.choice(items)[1].split()[:12]
+        texts.append(" ".join(body))
+    got = {(t, i) for t, i, n, _ in leakage.find_passages(texts, block) if n >= leakage.LEAST}
+    assert got == want
+
+
+def test_passage_across_line_breaks():
+    text = "Der Deckel sitzt auf der Achse und wird vom Rad " * 3
+    item = [(1, "Die Größe des Rades bestimmt den Weg der Kurbel; sie läuft über zwölf Zähne, bevor das Seil die grüne Klappe am Gehäuse öffnet und schließt.")]
+    body = item[0][1].replace("Zähne", "Zäh-\nne").replace("Größe", "Groesse").replace("über", "ÜBER")
+    assert [x[:2] for x in leakage.find_passages([text + body, text, "", None], leakage._Items(item))] == [(0, 1)]
+
+
+def test_token_parts_concatenate():
+    random.seed(2)
+    texts = [EN * 30, " " * 50, "a", "", "字" * 3000, "x  y\n\n z \t" * 200, "don't <|endoftext|> " * 99, "ab" * 5000, "é è " * 700, "\ud800 odd " * 50]
+    texts += ["".join(random.choices("ab  \n字é'1", k=3000)) for _ in range(20)]
+    for t in texts:
+        for spacing in (16, 512):
+            assert "".join(s for _, s in tokens.parts(t, spacing)) == t
+
+
+def test_tokens_exact():
+    import os
+
+    if not os.path.exists(tokens.VOCABULARY):
+        pytest.skip("no vocabulary here")
+    own = tokens.encoder(tokens.VOCABULARY)
+    random.seed(5)
+    texts = [EN * 9 + FR * 7, "x  y\n\n z \t" * 200, "字" * 900 + " " + "ab" * 900, " leading", "trailing  "]
+    texts += ["".join(random.choices("ab  \n字é'1s.", k=2000)) for _ in range(30)]
+    for t in texts:
+        assert [i for _, s in tokens.parts(t, 32) for i in own.encode_ordinary(s)] == own.encode_ordinary(t)
+
+
+def test_languages_held_out():
+    rows = [(c, t * 3) for c, t in (("de", DE), ("fr", FR), ("it", IT), ("en", EN)) for _ in range(5)]
+    ranks = language.fit_profiles(rows + [("de", FR * 3)])
+    texts = [DE, EN + "\n\n" + FR.replace(". ", ".\n") + FR, "", "   ", "123 456", IT.replace(" ", "\n")]
+    got = [[language.LANGUAGES[k] for k, _, _ in s] for s in language.segments_of(texts, ranks)]
+    assert got[0] == ["de"] and got[1] == ["en", "fr"] and got[2] == got[3] == [] and got[5] == ["it"]
+    assert [language.named(x) for x in ("FR-ch", "german", "und", "", None, "ES")] == ["fr", "de", None, None, None, "es"]
+
+
+def lexicon():
+    words = {w: 400 for w in (DE + " " + FR).replace(",", "").replace(".", "").split()}
+    return ocr.Lexicon(words | {"Zeichnung": 300, "Ein": 50, "und": 900, "Unterteil": 90, "gehalten": 200})
+
+
+def test_line_defects():
+    head = "BESCHREIBUNG ZUM PATENT\n\nNr. 20536\nKlasse 31 f\n\nAngemeldet am 21.3.1901\nErfinder: Karl Erb, Altis (Schweiz)\n\nDeckel für Fässer\n\n"
+    body = "Die Welle ist mit dem Lager ver-\n\n— 2 —\nNr. 20536\n\nbunden und wird dureh eine Feder\ngehalten, damit kein Ein- und\nUnterteil frei liegt. Der De-\nckel liegt.\n8,5\n59\n27,9\n\nDECKEL FÜR FÄSSER\nZum Öffnen schwenkt man den Ein-\nund das Rad."
+    text = head + body
+    lines = text.split("\n")
+    at = lambda s: lines.index(s) + 1
+    words = lexicon()
+    words.words["verbunden"] = words.words["deckel"] = 300
+    got = ocr.line_defects(text, ocr.LineModel(), words)
+    assert got == sorted([
+        (at("Die Welle ist mit dem Lager ver-"), "hyphen"), (at("— 2 —"), "running"), (len(head.split("\n")) + 3, "running"), (at("bunden und wird dureh eine Feder"), "misread"),
+        (at("Unterteil frei liegt. Der De-"), "hyphen"), (at("DECKEL FÜR FÄSSER"), "running"),
+    ])
+    joined = " ".join(ocr.repaired(text, ocr.LineModel(), words))
+    assert "Lager verbunden und wird durch eine Feder gehalten" in joined and "— 2 —" not in joined
+
+
+def test_line_defects_of_odd_texts():
+    words = lexicon()
+    for text in ("", "\n\n", "x", "Il1" * 5000, "-\n-\n", "a" * 20_000 + "-\nb"):
+        assert isinstance(ocr.line_defects(text, ocr.LineModel(), words), list)
+    assert ocr.fit_lines([]).label("x_Px") == "BBRB"
+
+
+def test_swapped_pages_round_trip():
+    for letter, read, written in (("ä", "cp1252", "utf-8"), ("é", "mac_roman", "cp1252"), ("ö", "cp437", "cp1252"), ("ü", "cp1251", "cp1252")):
+        assert letter in encoding.swaps()[letter.encode(written).decode(read)]
+    proper = frozenset("äöüéè")
+    assert [s[1] for s in encoding.symbols("W" + "ä".encode().decode("cp1252") + "rme Завод größer é", proper)] == ["Ã¤", "ß"]
+
+
+def brute_unit(text, limit):
+    paras, current = [], []
+    for line in text.split("\n") + [""]:
+        if line.strip():
+            current.append(line)
+        elif current:
+            paras.append("\n".join(current))
+            current = []
+    for unit, parts in (("paragraph", paras), ("line", text.split("\n")), ("word", text.split())):
+        if max(map(len, parts), default=0) <= limit:
+            return unit
+    return "none"
+
+
+@pytest.mark.parametrize("range_chars", [50, 1_000])
+def test_range_summaries_stitch(range_chars):
+    random.seed(7)
+    halo = 60
+    for _ in range(150):
+        text = "".join(random.choices(["word ", "longerword ", "\n", "\n \n", "x"], [5, 2, 2, 1, 3], k=random.randint(1, 120)))
+        n = max(1, -(-len(text) // range_chars))
+        longest = open_ = line = word = 0
+        for k in range(n):
+            part = text[k * range_chars : k * range_chars + range_chars + halo]
+            own, lost = split._own(part, k, k == n - 1, range_chars, halo)
+            a, w, first, inner, final, blank = split._summary(own)
+            if lost:
+                a = first = final = max(halo, a)
+            line, word = max(line, a), max(word, w)
+            glued = open_ + first + (1 if open_ and first else 0)
+            longest, open_ = max(longest, inner, glued), final if blank else glued
+        got = "paragraph" if max(longest, open_) <= 30 else "line" if line <= 30 else "word" if word <= 30 else "none"
+        assert got == brute_unit(text, 30) or line >= halo
+
+
+def test_letters_by_expectation():
+    rows = [("l", "ä", "W", 90), ("r", "ä", "r", 90), ("l", "é", "r", 50), ("r", "é", "g", 50), ("l", "‰", "W", 1), ("r", "‰", "r", 1)]
+    share = encoding._expect([("W", "r", 3)], encoding.Bigrams(rows))
+    assert encoding.LETTERS[int(np.argmax(share))] == "ä"

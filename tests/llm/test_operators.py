@@ -1,0 +1,128 @@
+"""The operators as Spark jobs: planted cases, nulls, empty tables, repeated rows, clashing names."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from vellumine.llm import addresses, encoding, language, leakage, names, ocr, sampling, split, tokens
+
+PARTY = "array<struct<name:string,address:string>>"
+DE = "Die Welle ist mit dem Lager verbunden und wird durch eine Feder gehalten, damit kein Öl austreten kann. Zum Öffnen schwenkt man den größten Deckel gegen die Stange, bis das Rad frei liegt. "
+FR = "Le couvercle est relié à la bielle par une lame flexible, afin d'éviter toute fuite d'huile. Pour ouvrir, on pousse le levier contre la plaque jusqu'à ce que la roue soit dégagée. "
+
+
+def predictions(spark, people, addresses_=()):
+    """A table with each name as an inventor, and clashing column names."""
+    rows = [(i, ([(n, None)], None)) for i, n in enumerate(people)] + [(99, ([(None, a) for a in addresses_], []))] + [(100, None), (101, (None, [None]))]
+    df = spark.createDataFrame(rows, f"rec_id long, prediction struct<inventors:{PARTY},assignees:{PARTY}>")
+    return df.withColumn("name", F.lit("clash")).withColumn("core", F.lit(1)).withColumn("node", F.lit("x"))
+
+
+def test_name_pairs(spark):
+    one = ["Viktor Krassenner", "KRASSENNER Viktor", "V. Krassenner", "Krassener, Viktor", " Viktor Krassenner ", "Viktor Krassenner"]
+    other = ["Otto Krassenner", "Dr. Otto Krassenner", "Gebrüder Krassenner", "Gebr. Krassenner", "  ", None, "..."]
+    got = {tuple(r) for r in names.name_pairs(predictions(spark, one + other)).collect()}
+    a = sorted({x.strip() for x in one})
+    want = {(x, y) for x in a for y in a if x < y} | {("Dr. Otto Krassenner", "Otto Krassenner"), ("Gebr. Krassenner", "Gebrüder Krassenner")}
+    assert got == want
+    assert names.name_pairs(predictions(spark, []).limit(0)).count() == 0
+
+
+def test_ambiguous_initials_link_to_no_one(spark):
+    got = {tuple(r) for r in names.name_pairs(predictions(spark, ["Johann Sifosoz", "Josef Sifosoz", "J. Sifosoz"])).collect()}
+    assert got == set()
+
+
+def test_address_pairs(spark):
+    door = ["Pfergelgasse 102, Bellinstetten (Schweiz)", "Bellinstetten, Pfergel-Gasse No. 102", "Pfergelg. 102, CH-2289", "102, Pfergelgasse, 2289 Bellinstetten", "Pfergellgasse 102 Bellinstetten"]
+    rest = ["Pfergelgasse 102a, Bellinstetten (Schweiz)", "Pfergelgasse 103, Bellinstetten (Schweiz)", "Bellinstetten (Schweiz)", "CH-2289 Bellinstetten", "Wolfacker", None, " ", "Pfergelgasse 102, Wolfacker (Schweiz)"]
+    got = {tuple(r) for r in addresses.address_pairs(predictions(spark, [], door + rest)).collect()}
+    a = sorted(door)
+    assert got == {(x, y) for x in a for y in a if x < y} | {("Bellinstetten (Schweiz)", "CH-2289 Bellinstetten")}
+    assert addresses.address_pairs(predictions(spark, []).limit(0)).count() == 0
+
+
+def texts(spark, values, key="id", column="t"):
+    return spark.createDataFrame(list(enumerate(values)), f"{key} long, {column} string").withColumn("_text", F.lit("clash")).withColumn("k", F.lit(7))
+
+
+def test_pieces_cover_their_texts(spark):
+    random.seed(1)
+    values = [None, "", "short", "".join(random.choices(["word ", "w\n", "\n\n", "xxxxxxxxxx"], k=900)), "x" * 3000, "字 " * 1500]
+    for range_chars in (500, 1 << 20):
+        got = split.pieces(texts(spark, values), "id", "t", 300, 40, range_chars).collect()
+        for i, t in enumerate(values):
+            own = sorted((r for r in got if r["id"] == i), key=lambda r: r["piece_no"])
+            if t is None:
+                assert own == []
+                continue
+            assert own[0]["start"] == 0 and own[-1]["start"] + own[-1]["length"] == len(t) and max(r["length"] for r in own) <= 300
+            assert all(b["start"] == a["start"] + a["length"] - 40 for a, b in zip(own, own[1:]))
+            assert all(r["piece"] == t[r["start"] : r["start"] + r["length"]] for r in own)
+    with pytest.raises(ValueError):
+        split.pieces(texts(spark, values), "id", "t", 300, 200)
+
+
+def test_units(spark):
+    values = [None, "", "x" * 50, "a\n\n" + "b " * 30, "a\n" * 40, "x" * 200]
+    got = {r["id"]: r["boundary"] for r in split.boundary_units(texts(spark, values), "id", "t", 40).collect()}
+    assert got == {2: "none", 3: "word", 4: "line", 5: "none"}
+
+
+def test_ids(spark):
+    import os
+
+    if not os.path.exists(tokens.VOCABULARY):
+        pytest.skip("no vocabulary here")
+    own = tokens.encoder(tokens.VOCABULARY)
+    values = [None, "", DE * 40, DE * 40, "  ", FR * 30 + DE * 40, "<|endoftext|>"]
+    got = {r["id"]: r["ids"] for r in tokens.encode_corpus(texts(spark, values), "id", "t", spacing=64).collect()}
+    assert got == {i: own.encode_ordinary(t or "") for i, t in enumerate(values)}
+    assert tokens.encode_corpus(texts(spark, values).limit(0), "id", "t").count() == 0
+
+
+def test_leaks(spark):
+    item = " ".join(f"word{i}" for i in range(40))
+    items = spark.createDataFrame([(1, item), (2, item), (3, None), (4, ""), (5, "too short")], "item_id long, text string").withColumn("words", F.lit(0))
+    docs = texts(spark, ["intro " + item.upper().replace("WORD7 ", "odd "), "word1 word2 word3", None, "", " ".join(item.split()[:12])])
+    for block_words in (1_000_000, 40):
+        got = {(r["id"], r["item_id"]) for r in leakage.leaks(docs, items, "id", "t", block_words=block_words).collect()}
+        assert got == {(0, 1), (0, 2)}
+    assert leakage.leaks(docs, items.limit(0), "id", "t").count() == 0 == leakage.leaks(docs.limit(0), items, "id", "t").count()
+
+
+def test_wrong_encoding(spark):
+    broken = DE.encode().decode("cp1252"), DE.encode("cp1252").decode("mac_roman"), "Das R�d", FR.encode("cp1252").decode("cp1251")
+    values = [DE] * 30 + [FR] * 30 + list(broken) + [None, "", "plain", "Завод Триволь указан.", "Die M&uuml;hle läuft.", "São Ø Å ≈"]
+    docs = texts(spark, values).withColumn("source", F.when(F.col("id") % 2 == 0, "s")).withColumn("letter", F.lit("clash"))
+    got = {r["id"] for r in encoding.affected(docs, "id", "t").collect()}
+    assert got == {60, 61, 62, 63}
+    fixed = {r["id"]: r for r in encoding.restore(docs, "id", "t").collect()}
+    assert fixed[60]["restored"] == DE and fixed[61]["restored"] == DE and fixed[62]["lost"] == 1
+    assert encoding.affected(docs.limit(0), "id", "t").count() == 0
+
+
+def test_relabelled(spark):
+    rows = [(i, DE * 3, "de", (1,)) for i in range(8)] + [(i, FR * 3, "fr", (1,)) for i in range(10, 18)]
+    rows += [(20, DE * 2, "FR", (1,)), (21, DE * 2, None, (1,)), (22, DE * 2, "german", (1,)), (23, DE * 2 + "\n\n" + FR * 2, "de-CH", (1,)), (24, DE, "fr", None), (25, "", "xx", (1,)), (26, None, "xx", (1,)), (27, DE, "und", (1,))]
+    df = spark.createDataFrame(rows, "rec_id long, ocr_text string, lang string, prediction struct<a:int>").withColumn("seg_no", F.lit("clash"))
+    got = sorted((r["rec_id"], r["seg_no"], r["lang"]) for r in language.relabelled(df).collect())
+    assert got == [(20, 1, "de"), (21, 1, "de"), (23, 1, "de"), (23, 2, "fr"), (27, 1, "de")]
+
+
+def test_defects_and_paragraphs(spark):
+    page = "Die Welle ist mit dem Lager ver-\n\n— 2 —\n\nbunden und wird durch eine Feder gehalten."
+    values = [DE] * 30 + [page, page, None, "", "  \n", DE.replace("durch", "dureh")]
+    df = texts(spark, values).withColumn("line_no", F.lit("clash"))
+    got = sorted((r["id"], r["line_no"], r["defect"]) for r in ocr.defects(df, "id", "t").collect())
+    assert got == [(30, 1, "hyphen"), (30, 3, "running"), (31, 1, "hyphen"), (31, 3, "running"), (35, 1, "misread")]
+    whole = {r["id"]: r["paragraph"] for r in ocr.paragraphs(df, "id", "t").collect()}
+    assert whole[30] == "Die Welle ist mit dem Lager verbunden und wird durch eine Feder gehalten." and 32 not in whole
+    assert ocr.defects(df.limit(0), "id", "t").count() == 0
+
+
+def test_bounded_samples(spark):
+    df = texts(spark, ["same"] * 500 + [str(i) for i in range(500)] + [None])
+    got = sampling.bounded(df, "t", 50)
+    assert len(got) <= 50 and len(set(got)) == len(got) and got == sampling.bounded(df.repartition(7), "t", 50)
