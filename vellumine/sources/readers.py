@@ -34,7 +34,16 @@ def texts(spark: SparkSession, folder: str, bad_bytes: str = "drop") -> DataFram
     fixed = F.make_valid_utf8(F.col("content").cast("string"))
     if bad_bytes == "drop":
         fixed = F.replace(fixed, F.lit("�"), F.lit(""))
-    return files.select(F.substring_index("path", "/", -1).alias("file_name"), "path", F.coalesce(text, fixed).alias("ocr_text"))
+    full = files.select(F.substring_index("path", "/", -1).alias("file_name"), "path", F.coalesce(text, fixed).alias("ocr_text"))
+    empty = [(p.rsplit("/", 1)[-1], p, "") for p in _empty_files(spark, folder, "*.txt")]
+    return full.unionByName(spark.createDataFrame(empty, full.schema)) if empty else full
+
+
+def _empty_files(spark: SparkSession, folder: str, glob: str) -> list[str]:
+    """Files without a byte, which Spark's scans leave out."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder.rstrip("/") + "/" + glob)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return [str(f.getPath()) for f in found or [] if f.isFile() and f.getLen() == 0]
 
 
 def json_lines(spark: SparkSession, path: str, schema: str, mode: str = "skip") -> DataFrame:
