@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from vellumine.llm.edits import distance, fold, merged, neighbourhood
-from vellumine.llm.names import _trigrams, _Vocabulary, hash_key, neighbour_cores
+from vellumine.llm.names import _Vocabulary, hash_key, neighbour_cores, trigrams
 from vellumine.session import cut
 
 # Names of countries in four languages.
@@ -130,7 +130,7 @@ def _corrected(words: DataFrame) -> DataFrame:
     times and a letter sequence that is rare among the words.
     """
     words = cut(words)
-    grams = words.select("word", F.explode(F.udf(_trigrams, "array<string>")("word")).alias("gram"))
+    grams = words.select("word", F.explode(trigrams("word")).alias("gram"))
     odd = grams.join(grams.groupBy("gram").agg(F.countDistinct("word").alias("n")), "gram").groupBy("word").agg((F.min("n") <= 2).alias("odd"))
     near = neighbour_cores(words.select(F.col("word").alias("core")))
     own = near.join(words.join(odd, "word").select(F.col("word").alias("a"), F.col("support").alias("sa"), "odd"), "a").join(words.select(F.col("word").alias("b"), F.col("support").alias("sb")), "b")
