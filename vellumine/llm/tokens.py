@@ -24,10 +24,11 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from vellumine.session import cut
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pattern that belongs to the vocabulary; a fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -95,8 +96,9 @@ def parts(text: str, spacing: int = SPACING) -> list[tuple[bool, str]]:
 def encode_corpus(df: DataFrame, key: str, text: str, path: str = VOCABULARY, spacing: int = SPACING, pattern: str = PATTERN) -> DataFrame:
     """key and ids (array<int>) of each row.
 
-    key must be unique; ``path`` must name the vocabulary on every executor. One shuffle of
-    the distinct cores with a map-side combine, one of their digests and ids.
+    key must be unique; ``path`` must name the vocabulary on every executor. The chunks are
+    written once; one shuffle of the distinct cores with a map-side combine, one of their
+    digests and ids.
     """
     kind = dict(df.dtypes)[key]
 
@@ -133,7 +135,8 @@ def encode_corpus(df: DataFrame, key: str, text: str, path: str = VOCABULARY, sp
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.list_(pa.int32()))], names=["digest", "coded"])
 
     some = df.filter(F.length(text) > 0).select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    chunks = some.mapInArrow(split, f"_key {kind}, seq int, digest binary, core string, ids array<int>")
+    # two stages read the chunks, so they are written once rather than cut twice
+    chunks = cut(some.mapInArrow(split, f"_key {kind}, seq int, digest binary, core string, ids array<int>"))
     coded = (
         chunks.filter(F.col("digest").isNotNull())
         .groupBy("digest").agg(F.first("core").alias("core"))
