@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from vellumine.functions.text import Text, _c, blank, first_lines
 from vellumine.session import cut
 
+#: The mark behind a cut text, and the end of every prompt; fixed values.
 TRUNCATED = "\n[...] (truncated)"
 JSON_SUFFIX = "\n\nNow output ONLY the JSON object, without any extra text.\n"
 
