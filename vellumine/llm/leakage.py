@@ -9,8 +9,9 @@ between the two positions. Around the hits of a diagonal the two word sequences
 compared word by word, tolerating substitutions; stretches on neighbouring diagonals are
 joined, so a word left out, put in or broken in two does no harm.
 
-The evaluation side is broadcast in blocks of a bounded number of words; each block runs
-over all texts, so a large evaluation set costs more passes and never more memory.
+The evaluation side is broadcast in blocks of a bounded number of words, and each block runs
+over all texts: a larger evaluation set costs more passes, not more memory of a worker. The
+driver reads the evaluation side once and holds it, so it must fit there; the texts never do.
 
 Defined cases: null, empty and blank texts and items share nothing; an item shorter than
 ``least`` words can't be found; repeated items are each reported; a document and an item
