@@ -133,6 +133,15 @@ def test_languages_held_out():
     assert [language.named(x) for x in ("FR-ch", "german", "und", "", None, "ES")] == ["fr", "de", None, None, None, "es"]
 
 
+def test_languages_within_a_line():
+    ranks = language.fit_profiles([(c, t * 3) for c, t in (("de", DE), ("fr", FR), ("it", IT), ("en", EN)) for _ in range(5)])
+    texts = [DE * 3 + FR * 3, (EN + IT + DE).replace(". ", ".  "), "Fig. 1\n" + FR * 2 + EN * 2 + "\n\n" + EN, DE * 200, ""]
+    got = language.segments_of(texts, ranks)
+    assert [[language.LANGUAGES[k] for k, _, _ in s] for s in got] == [["de", "fr"], ["en", "it", "de"], ["fr", "en"], ["de"], []]
+    assert [sum(n for _, n, _ in s) for s in got] == [len(t.split()) for t in texts]
+    assert abs(got[0][0][1] - len((DE * 3).split())) <= 2 * language.BLOCK
+
+
 def lexicon():
     words = {w: 400 for w in (DE + " " + FR).replace(",", "").replace(".", "").split()}
     return ocr.Lexicon(words | {"Zeichnung": 300, "Ein": 50, "und": 900, "Unterteil": 90, "gehalten": 200})

@@ -111,6 +111,13 @@ def test_relabelled(spark):
     assert got == [(20, 1, "de"), (21, 1, "de"), (23, 1, "de"), (23, 2, "fr"), (27, 1, "de")]
 
 
+def test_relabelled_within_a_line(spark):
+    rows = [(i, DE * 3, "de", (1,)) for i in range(8)] + [(i, FR * 3, "fr", (1,)) for i in range(10, 18)] + [(20, DE * 3 + FR * 2, "de", (1,))]
+    df = spark.createDataFrame(rows, "rec_id long, ocr_text string, lang string, prediction struct<a:int>")
+    got = sorted((r["rec_id"], r["seg_no"], r["lang"]) for r in language.relabelled(df).collect())
+    assert got == [(20, 1, "de"), (20, 2, "fr")]
+
+
 def test_defects_and_paragraphs(spark):
     page = "Die Welle ist mit dem Lager ver-\n\n— 2 —\n\nbunden und wird durch eine Feder gehalten."
     values = [DE] * 30 + [page, page, None, "", "  \n", DE.replace("durch", "dureh")]

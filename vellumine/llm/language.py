@@ -7,9 +7,9 @@ profile lacks it.
 
 Profiles are fitted on a bounded sample of rows whose label names one of the languages,
 twice: rows that fall to another language in the first round are left out of the second,
-so a few wrong labels do no harm. Then every text is cut into blocks of a few words at line
-ends, each block gets its distances, and the cheapest path through the languages, with a
-price for every change, gives the segments. Segments under ``least`` words join a
+so a few wrong labels do no harm. Then every text is cut into blocks of a few words, at line
+ends where lines are short and inside long lines, each block gets its distances, and the
+cheapest path through the languages, with a price for every change, gives the segments. Segments under ``least`` words join a
 neighbour. Everything up to the path is done on whole batches of texts at once.
 
 Defined cases: null, empty and blank texts have no segment; a text without letters gets the
@@ -76,7 +76,11 @@ def label_column(column) -> "F.Column":
 
 
 class _Blocks:
-    """A batch of texts as trigrams by block."""
+    """A batch of texts as trigrams by block.
+
+    Lines of two blocks and more are cut into parts of ``block`` words, the last one with what
+    is left over; then lines and parts that begin in the same ``block`` words make a block.
+    """
 
     def __init__(self, texts: list[str], block: int = BLOCK):
         joined = "\n".join(texts) + "\n"
@@ -88,6 +92,13 @@ class _Blocks:
         begins = ~white
         begins[1:] &= white[:-1]
         words = np.add.reduceat(begins, starts).astype(np.int64)
+        if words.max() >= 2 * block:
+            first = np.flatnonzero(begins)
+            line = np.repeat(np.arange(len(starts)), words)
+            place = np.arange(len(first)) - (np.cumsum(words) - words)[line]
+            cut = (place % block == 0) & (place > 0) & (place + block <= words[line])
+            starts = np.union1d(starts, first[cut])
+            words = np.add.reduceat(begins, starts).astype(np.int64)
         of_text = np.searchsorted(ends, starts, "right")
         before = np.cumsum(words) - words
         first_line = np.searchsorted(of_text, np.arange(len(texts)))
@@ -204,7 +215,7 @@ def segments_of(texts: list[str], ranks: np.ndarray, least: int = LEAST, change:
                 parts[-1][2] = parts[-1][2] + cost
             else:
                 parts.append([k, n, cost])
-        # blocks end with lines, so a part's words are known to within a block
+        # a change is seen at the edge of a block, so a part's words are known to within a block
         while len(parts) > 1 and min(p[1] for p in parts) < least - BLOCK // 2:
             i = min(range(len(parts)), key=lambda j: parts[j][1])
             beside = [j for j in (i - 1, i + 1) if 0 <= j < len(parts)]
