@@ -164,6 +164,16 @@ def test_line_defects():
     assert "Lager verbunden und wird durch eine Feder gehalten" in joined and "— 2 —" not in joined
 
 
+def test_words_with_a_misread_first_letter():
+    assert ocr._WORD.findall("5tahl 9mm 15tahl 2,5mal x5tahl 1a 7ahn") == ["5tahl", "9mm", "tahl", "mal", "x5tahl", "a", "ahn"]
+    words = {w: 400 for w in DE.replace(",", "").replace(".", "").split()} | {"Stahl": 300, "seine": 90, "Bund": 90, "Bohrgestell": 300, "sie": 90}
+    own = ocr.Lexicon(words)
+    assert [own.correction(w) for w in ("5tahl", "1iegt", "0effnen", "8ohrgestell", "6und", "5eine", "9mm", "5TAHL")] == ["Stahl", "liegt", None, "Bohrgestell", None, None, None, None]
+    text = "Die Welle ist mit dem Lager aus 5tahl verbunden.\nDas Rad 1iegt frei und die Stange 6und das Rad\nsind mit der 5tange ver-\nbunden aus 5ta-\nhl. Das Rad liegt frei."
+    assert [n for n, kind in ocr.line_defects(text, ocr.LineModel(), own) if kind == "misread"] == [1, 2, 3, 4]
+    assert "Lager aus Stahl verbunden. Das Rad liegt frei und die Stange 6und das Rad" in " ".join(ocr.repaired(text, ocr.LineModel(), own))
+
+
 def test_line_defects_of_odd_texts():
     words = lexicon()
     for text in ("", "\n\n", "x", "Il1" * 5000, "-\n-\n", "a" * 20_000 + "-\nb"):
