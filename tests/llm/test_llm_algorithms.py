@@ -174,6 +174,20 @@ def test_words_with_a_misread_first_letter():
     assert "Lager aus Stahl verbunden. Das Rad liegt frei und die Stange 6und das Rad" in " ".join(ocr.repaired(text, ocr.LineModel(), own))
 
 
+def test_verdicts_at_any_number_of_texts():
+    words = {"Stange": 30, "Hebel": 400, "Feder": 300, "Kolbenring": 40, "Kolbenrad": 40, "Federring": 40, "Bremsring": 40}
+    wrong = ("Stanqe", "Hebei", "Fedcr", "Kolbenrinq", "Bremsrad", "Bremsrinq")
+    small = [ocr.Lexicon(words, total=20_000).correction(w) for w in wrong]
+    assert small == ["Stange", "Hebel", "Feder", "Kolbenring", None, "Bremsring"]
+    for k in (25, 800):
+        large = {w: n * k for w, n in words.items()}
+        assert [ocr.Lexicon(large, total=20_000 * k).correction(w) for w in wrong] == small
+    # words that may be in 24 texts aren't misread because others are in 25 or in 400
+    large = ocr.Lexicon(words, total=500_000)
+    assert ocr.floor(500_000) == 25 and [large.correction(w) for w in wrong] == [None] * 6
+    assert ocr.floor(1_999) == ocr.floor(2_001) == 2
+
+
 def test_line_defects_of_odd_texts():
     words = lexicon()
     for text in ("", "\n\n", "x", "Il1" * 5000, "-\n-\n", "a" * 20_000 + "-\nb"):
