@@ -29,6 +29,17 @@ def test_name_pairs(spark):
     assert names.name_pairs(predictions(spark, []).limit(0)).count() == 0
 
 
+def test_frequent_misspellings_link_in_any_layout(spark):
+    def layouts(core, times):
+        return [x for x in (f"{core}, Emil", f"Emil {core}", f"{core.upper()} Emil", f"Dr. Emil {core}") for _ in range(times)]
+
+    # ten times as rare: a misspelling, whatever its layouts; as frequent and no rare sequence: two names
+    others = [f"Emil {a}{b}" for a in ("Hölti", "Bilti", "Rolti", "Gulti", "Sulti") for b in ("melin", "menin", "mekor", "mefal")]
+    got = {tuple(r) for r in names.name_pairs(predictions(spark, layouts("Krönzhofer", 10) + layouts("Krönzhfer", 1) + layouts("Höltimelin", 3) + layouts("Höltimenin", 3) + others)).collect()}
+    assert ("Emil Krönzhfer", "Emil Krönzhofer") in got and ("Dr. Emil Krönzhofer", "Krönzhfer, Emil") in got
+    assert ("Emil Höltimelin", "Emil Höltimenin") not in got
+
+
 def test_ambiguous_initials_link_to_no_one(spark):
     got = {tuple(r) for r in names.name_pairs(predictions(spark, ["Johann Sifosoz", "Josef Sifosoz", "J. Sifosoz"])).collect()}
     assert got == set()

@@ -14,7 +14,9 @@
 
 Two cores two edits apart may be two real names. They are joined only where one of them
 has a letter sequence that is rare among all cores, which a typing error nearly always
-makes and a real name rarely has.
+makes and a real name rarely has. Rarity is a share of the cores, and of two spellings the
+one with a quarter of the other's mentions or fewer is the misspelling, in however many
+layouts it occurs: both hold at any size of the table.
 
 Defined cases: null and blank names are left out; names are compared without leading and
 trailing blanks; repeated names count once; a name that can't be read into tokens (only
@@ -71,6 +73,10 @@ _FORMS = [(re.compile(p), r) for p, r in (
 )]
 
 
+#: A misspelling is at least so many times rarer than the name.
+CLEAR = 4
+
+
 class _Vocabulary:
     """Fixed words behind a deletion index: the one nearest to a token."""
 
@@ -277,8 +283,9 @@ def trigrams(core: str) -> Column:
 def link_names(predictions: DataFrame, rare: float = 0.0004) -> DataFrame:
     """The distinct names with their entity: name, entity (a number). See the module's text.
 
-    rare: a letter sequence is rare if fewer than this share of all cores have it (and at
-    most two cores at any size). The table of letter sequences is bounded by the alphabet.
+    rare: a letter sequence is rare if no more than this share of all cores have it, and next
+    to unique at two fifths of the share (or two cores, where that is more). The table of
+    letter sequences is bounded by the alphabet.
     """
     names = cut(distinct_names(predictions).mapInPandas(_parsed, "name string, mentions bigint, kind string, core string, given string, middle string"))
     nodes = cut(
@@ -293,7 +300,7 @@ def link_names(predictions: DataFrame, rare: float = 0.0004) -> DataFrame:
     grams = cores.select("core", F.explode(trigrams("core")).alias("gram"))
     known = grams.groupBy("gram").agg(F.countDistinct("core").alias("cores"))
     strange = grams.join(known, "gram").groupBy("core").agg(F.min("cores").alias("rarity"))
-    few = max(2, int(rare * total))
+    few, unique = max(2, int(rare * total)), max(2, int(0.4 * rare * total))
     nodes_ = nodes.join(strange, "core", "left")
     pairs = neighbour_cores(cores.select("core"))
 
@@ -304,20 +311,22 @@ def link_names(predictions: DataFrame, rare: float = 0.0004) -> DataFrame:
     near = left.join(pairs, F.col("a_core") == F.col("a")).drop("a").join(
         right, F.expr("b = b_core and a_kind = b_kind and (a_letter = b_letter or a_letter = '')")
     ).drop("b")
-    # Only upwards: to fuller names, or at equal fullness to better supported ones.
+    # Only upwards: to fuller names, or at equal fullness to more frequent ones.
     candidates = same.unionByName(near.select(*same.columns)).filter(
-        F.expr("b_full and (not a_full or a_support < b_support or a_support = b_support and (a_mentions < b_mentions or a_mentions = b_mentions and a_core < b_core))")
+        F.expr("b_full and (not a_full or a_mentions < b_mentions or a_mentions = b_mentions and (a_support < b_support or a_support = b_support and a_core < b_core))")
     )
 
     def judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             cost = []
             for r in batch.itertuples(index=False):
-                # where both spellings are used more than once, the sequence must be next to unique
-                if r.d == 2 and min(r.a_rarity, r.b_rarity) > (few if min(r.a_support, r.b_support) < 2 else 2):
+                rarity = min(r.a_rarity, r.b_rarity)
+                clear = r.a_mentions * CLEAR <= r.b_mentions
+                # where both spellings are used more than once and about as often, the sequence must be next to unique
+                if r.d == 2 and rarity > (few if clear or min(r.a_support, r.b_support) < 2 else unique):
                     cost.append(9.0)
                     continue
-                if r.d and r.a_full and r.a_support >= 3 and r.b_support >= 3:
+                if r.d and r.a_full and r.a_support >= 3 and r.b_support >= 3 and not clear and rarity > unique:
                     cost.append(9.0)
                     continue
                 a = [r.a_given] if r.a_given else []
@@ -335,7 +344,7 @@ def link_names(predictions: DataFrame, rare: float = 0.0004) -> DataFrame:
     nearest = good.withColumn("best", F.min("d").over(Window.partitionBy("a_node"))).filter("d = best")
     up = (
         nearest.groupBy("a_node")
-        .agg(F.max_by("b_node", F.struct(-F.col("cost"), "b_support", "b_mentions", "b_node")).alias("up"), F.countDistinct("b_given").alias("people"))
+        .agg(F.max_by("b_node", F.struct(-F.col("cost"), "b_mentions", "b_support", "b_node")).alias("up"), F.countDistinct("b_given").alias("people"))
         .filter("people = 1")
         .select(F.col("a_node").alias("node"), "up")
     )
