@@ -7,8 +7,8 @@
 2. A symmetric-delete index on the core tokens finds cores a few edits apart: each distinct
    core is keyed by the hashes of its deletions, equal keys meet, and the distance is
    verified. Keys are of distinct cores, so no frequent name makes a large bucket.
-3. Nodes of one core or of neighbouring cores are compared by an optimal assignment of
-   their tokens that permits initials and abbreviations. Each node is attached to the one
+3. Nodes of one core or of neighbouring cores are compared by their given names, initials
+   and abbreviations permitted. Which token is which is decided by reading alone. Each node is attached to the one
    best fuller or better supported node; where two people fit equally well it isn't.
 4. Names with one root are the variants of one entity.
 
