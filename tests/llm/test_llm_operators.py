@@ -129,6 +129,17 @@ def test_relabelled_within_a_line(spark):
     assert got == [(20, 1, "de"), (20, 2, "fr")]
 
 
+def test_profiles_of_short_and_of_long_texts(spark):
+    short = ["Die Welle ist mit dem Lager verbunden", "wird durch eine Feder gehalten", "damit kein Öl austreten kann", "Zum Öffnen schwenkt man den Deckel"]
+    rows = [(i, FR * 3, "fr") for i in range(8)] + [(10 + i, t, "de") for i, t in enumerate(short)] + [(20, FR * 150 + "xyz" * 50, "fr"), (21, None, "de"), (22, "", "de")]
+    df = spark.createDataFrame(rows, "rec_id long, t string, lang string")
+    ranks = language.profiles_of(df, "t", "lang")
+    got = language.segments_of([DE * 2, FR * 2], ranks)
+    assert [[language.LANGUAGES[k] for k, _, _ in s] for s in got] == [["de"], ["fr"]]
+    x, y, z = (language._SYMBOLS.index(c) + 1 for c in "xyz")
+    assert ranks[1][(x << 12) | (y << 6) | z] < language.LENGTH  # stands behind the first 20,000 characters
+
+
 def test_defects_and_paragraphs(spark):
     page = "Die Welle ist mit dem Lager ver-\n\n— 2 —\n\nbunden und wird durch eine Feder gehalten."
     values = [DE] * 30 + [page, page, None, "", "  \n", DE.replace("durch", "dureh")]

@@ -240,10 +240,17 @@ def segments_of(texts: list[str], ranks: np.ndarray, least: int = LEAST, change:
 
 
 def profiles_of(rows: DataFrame, text: str, label: str, sample: int = SAMPLE, languages: tuple[str, ...] = LANGUAGES) -> np.ndarray:
-    """Profiles fitted on at most ``sample`` rows of each language, chosen by the hash of their text."""
+    """Profiles fitted on at most ``sample`` rows, as many of each language, chosen by the hash of their text.
+
+    Short texts are left out, but for a language that has no others.
+    """
     code = label_column(F.col(label))
-    sample_rows = bounded(rows.filter(F.length(text) > 200), text, sample // len(languages), F.when(code.isin(*languages), code))
-    return fit_profiles([(g, t[:20_000]) for g, t in sample_rows], languages)
+    group = F.when(code.isin(*languages), code)
+    sample_rows = bounded(rows.filter(F.length(text) > 200), text, sample // len(languages), group)
+    short = sorted(set(languages) - {g for g, _ in sample_rows})
+    if short:
+        sample_rows += bounded(rows, text, sample // len(languages), F.when(code.isin(*short), code))
+    return fit_profiles(sample_rows, languages)
 
 
 def segment(rows: DataFrame, key: str, text: str, ranks: np.ndarray, languages: tuple[str, ...] = LANGUAGES, keep: tuple[str, ...] = ()) -> DataFrame:
