@@ -46,16 +46,41 @@ def test_distance_and_neighbourhood():
      ("Herr Chas. Fenerson", "Charles Fenerson"), ("Bill Sifosoz", "William Sifosoz"), ("F.lli Dickalbach", "Fratelli Dickalbach"), ("Pfimmal&Cie.", "Pfimmal und Compagnie")],
 )
 def test_names_of_one_form(left, right):
-    assert names.read_name(left)[:3] == names.read_name(right)[:3]
+    kind, bag = names.read_name(left)[:2]
+    assert kind == names.read_name(right)[0]
+    assert names.align(*([names.Token(t) for t in names.read_name(n)[1]] for n in (left, right))) is not None and bag
+
+
+def aligned(left, right, common=()):
+    def read(tokens):
+        return [names.Token(t, common=t in common, lead=i == 0) for i, t in enumerate(tokens)]
+
+    return names.align(read(left), read(right))
 
 
 def test_name_parts():
-    assert names.read_name("A1bert Gürga1er")[1:3] == ("gurgaler", "albert")
-    assert names.read_name("...")[1] == "" and names.read_name("X")[1] == "x"
-    assert names.align(["karl", "e"], ["k", "ernst"]) < 1 < names.align(["karl"], ["josef"])
+    assert sorted(names.read_name("A1bert Gürga1er")[1]) == ["albert", "gurgaler"]
+    assert names.read_name("...")[1] == [] and names.read_name("X")[1] == ["x"]
+    assert names.read_name("Krass, Soph.")[1:] == (["krass", "soph."], [], ["krass"]) and names.read_name("Thalmeier L.")[2:] == ([], ["thalmeier"])
+    assert aligned(["karl", "e", "moser"], ["k", "ernst", "moser"], ("karl", "ernst"))[0] < 1 and aligned(["karl", "moser"], ["josef", "moser"]) is None
+    assert aligned(["k", "moser"], ["otto", "karl", "moser"]) is None  # the leading name isn't a later one
+    assert aligned(["karl", "moser"], ["karl", "mosar"], ("karl",)) == (0.4, 1) and aligned(["karl", "moser"], ["karl", "huber"], ("karl",)) is None
     assert names.shortened("wm", "william") and names.shortened("chas", "charles") and not names.shortened("karl", "kaspar")
 
 
+def test_assignment_by_brute_force():
+    random.seed(5)
+    for _ in range(300):
+        rows = random.randint(1, 5)
+        costs = [[random.choice((0.0, 0.1, 0.2, 0.4, 0.8, 9.0)) for _ in range(random.randint(rows, 7) if not i else 0)] for i in range(1)]
+        columns = len(costs[0])
+        costs += [[random.choice((0.0, 0.1, 0.2, 0.4, 0.8, 9.0)) for _ in range(columns)] for _ in range(rows - 1)]
+        got = names.assignment(costs)
+        assert len(set(got)) == rows
+        best = min(sum(costs[i][j] for i, j in enumerate(p)) for p in itertools.permutations(range(columns), rows))
+        assert abs(sum(costs[i][j] for i, j in enumerate(got)) - best) < 1e-9
+
+
 @pytest.mark.parametrize(
     "address,want",
     [("Pfergel-Gasse No. 102a, Bellin (Suisse)", ("102a", "gasse", "pfergel", "bellin", "")), ("12, avenue Kitt, FR-2120", ("12", "avenue", "kitt", "", "2120")), ("CH-1583 Bellin, v.le Stass 66", ("66", "viale", "stass", "bellin", "1583")),

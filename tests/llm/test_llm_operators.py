@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from vellumine.llm import addresses, encoding, language, leakage, names, ocr, sampling, split, tokens
+from vellumine.llm import addresses, edits, encoding, language, leakage, names, ocr, sampling, split, tokens
 
 PARTY = "array<struct<name:string,address:string>>"
 DE = "Die Welle ist mit dem Lager verbunden und wird durch eine Feder gehalten, damit kein Öl austreten kann. Zum Öffnen schwenkt man den größten Deckel gegen die Stange, bis das Rad frei liegt. "
@@ -45,6 +45,42 @@ def test_ambiguous_initials_link_to_no_one(spark):
     assert got == set()
 
 
+def recall_and_precision(got, want):
+    return len(got & want) / len(want), len(got & want) / len(got)
+
+
+def test_names_outside_every_list(spark):
+    random.seed(11)
+    given = "Sophie Lorenz Felix Hugo Regula Urs Silvia Dominik Nadine Beat Cornelia Gilbert".split()
+    assert not {edits.fold(g) for g in given} & set(names._GIVEN_OF)
+    people, want, taken = [], set(), set()
+    while len(people) < 150:
+        family = random.choice("B D F G K L M N P R S T V W Z Br Kr Schl Tr".split()) + "".join(random.choice(("al", "en", "ir", "ot", "um", "ack", "est", "inz")) + random.choice("bdfglmnrst") for _ in range(2)) + random.choice(("er", "li", "mann", "hofer"))
+        if family not in taken:
+            taken.add(family)
+            people.append((random.choice(given), family))
+    for g, f in people:
+        at = random.randint(2, len(f) - 2)
+        wrong = f[:at] + random.choice("xqy") + f[at + 1 :]
+        forms = {f"{g} {f}", f"{f} {g}", f"{f}, {g}", f"Dr. {g} {f}", f"{g[0]}. {f}", f"{f.upper()} {g}", f"{g} {wrong}"}
+        want |= {(x, y) for x in forms for y in forms if x < y}
+    got = {tuple(r) for r in names.name_pairs(predictions(spark, sorted({x for p in want for x in p}))).collect()}
+    recall, precision = recall_and_precision(got, want)
+    assert recall >= 0.9 and precision >= 0.95, (recall, precision)
+
+
+def test_links_follow_chains_to_their_end(spark):
+    df = spark.createDataFrame([(i, i + 1) for i in range(37)] + [(100, 101)], "node long, up long")
+    got = {r["node"]: r["up"] for r in names.follow(df).collect()}
+    assert got == {**{i: 37 for i in range(37)}, 100: 101}
+
+
+def test_companies_of_unknown_kind(spark):
+    got = {tuple(r) for r in names.name_pairs(predictions(spark, ["Giesserei Thalmeier Bernau", "Bernau Giesserei Thalmeier", "Giess. Thalmeier Bernau", "Giesserei Korbander Bernau"])).collect()}
+    one = sorted(["Giesserei Thalmeier Bernau", "Bernau Giesserei Thalmeier", "Giess. Thalmeier Bernau"])
+    assert got == {(x, y) for x in one for y in one if x < y}
+
+
 def test_address_pairs(spark):
     door = ["Pfergelgasse 102, Bellinstetten (Schweiz)", "Bellinstetten, Pfergel-Gasse No. 102", "Pfergelg. 102, CH-2289", "102, Pfergelgasse, 2289 Bellinstetten", "Pfergellgasse 102 Bellinstetten"]
     rest = ["Pfergelgasse 102a, Bellinstetten (Schweiz)", "Pfergelgasse 103, Bellinstetten (Schweiz)", "Bellinstetten (Schweiz)", "CH-2289 Bellinstetten", "Wolfacker", None, " ", "Pfergelgasse 102, Wolfacker (Schweiz)"]
