@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -15,6 +17,7 @@ LOCAL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -51,21 +54,28 @@ def ship(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in spark.checkpoint.dir.
 
-    A local folder is made only where the setting is absent, which is the case in tests.
+    A temporary folder is made only where the setting is absent and the master is local, which
+    is the case in tests; elsewhere executors wouldn't share it, so the setting is asked for.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    made = os.path.join(tempfile.gettempdir(), "vellumine-checkpoints")
-    os.makedirs(made, exist_ok=True)
-    return made
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    context = spark.sparkContext
+    if not hasattr(context, "_vellumine_scratch"):
+        context._vellumine_scratch = tempfile.mkdtemp(prefix="vellumine-checkpoints-")
+        atexit.register(shutil.rmtree, context._vellumine_scratch, ignore_errors=True)
+    return context._vellumine_scratch
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and continue from the written copy.
 
-    Used where a result feeds several later stages: the copy survives the loss of
-    an executor and the work before it isn't repeated.
+    Used where a result feeds several later stages: the copy survives the loss of an executor
+    and the work before it isn't repeated. Spark removes the copy when it is no longer
+    referenced, if spark.cleaner.referenceTracking.cleanCheckpoints is set, as it is here for
+    local sessions; else it stays until the owner of the folder clears it.
     """
     spark = df.sparkSession
     context = spark.sparkContext
@@ -74,6 +84,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Few rows that cost much, such as the input of a Python stage, over all tasks.
+
+    Adaptive execution merges small partitions by their bytes, which tells nothing of the work.
+    """
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, 2))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One parquet table of a data folder."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
