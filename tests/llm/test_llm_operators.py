@@ -90,6 +90,35 @@ def test_address_pairs(spark):
     assert addresses.address_pairs(predictions(spark, []).limit(0)).count() == 0
 
 
+def test_streets_outside_every_list(spark):
+    random.seed(3)
+    kinds = ["allee", "steig", "damm", "ufer", "quai", "hof"]
+    assert not set(kinds) & (set(addresses.ENDINGS) | set(addresses.BEFORE))
+    towns = ["Bellin", "Orstetten", "Wolfacker", "Krumbach"]
+
+    def stem():
+        return random.choice(("Kitt", "Tromp", "Salv", "Birk", "Nord", "Gelf", "Pran")) + random.choice(("al", "en", "or", "ust", "ick")) + random.choice(("er", "in", "berg", "ot"))
+
+    want, doors = set(), set()
+    while len(doors) < 120:
+        doors.add((stem(), random.choice(kinds), random.randint(1, 40), random.choice(towns)))
+    seen: dict = {}
+    for street, kind, n, town in sorted(doors):
+        at = random.randint(1, len(street) - 2)
+        wrong = street[:at] + "x" + street[at + 1 :]
+        forms = {f"{n}, {street}{kind}, {town}", f"{street}-{kind.title()} {n}, {town}", f"{town}, {street} {kind.title()} Nr. {n}", f"{wrong}{kind} {n}, {town} (Schweiz)", f"{street}{kind} {n} {town}"}
+        seen[street, kind, n, town] = forms
+        want |= {(x, y) for x in forms for y in forms if x < y}
+    got = {tuple(r) for r in addresses.address_pairs(predictions(spark, [], sorted({x for p in want for x in p}))).collect()}
+    recall, precision = recall_and_precision(got, want)
+    assert recall >= 0.9 and precision >= 0.95, (recall, precision)
+
+
+def test_bare_places_make_no_group_and_kinds_contradict(spark):
+    rows = ["Pfergelgasse 7, Bellin", "Pfergelweg 7, Bellin", "Pfergelgasse 7, Orstetten", "Pfergelgasse 7", "Kittallee 12", "12, Kittallee, Bellin", "Bellin", "Orstetten", "8", "8, 9"]
+    assert {tuple(r) for r in addresses.address_pairs(predictions(spark, [], rows)).collect()} == {("12, Kittallee, Bellin", "Kittallee 12")}
+
+
 def texts(spark, values, key="id", column="t"):
     return spark.createDataFrame(list(enumerate(values)), f"{key} long, {column} string").withColumn("_text", F.lit("clash")).withColumn("k", F.lit(7))
 

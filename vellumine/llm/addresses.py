@@ -1,16 +1,21 @@
 """Postal addresses in different wordings: which of them denote one location.
 
-Numbers first: an address is read into its digit tokens (house number, postal code), its
-kind of street, its words, and the country, which goes. Then
+Numbers first: an address is read into its digit tokens (house numbers, postal code) and its
+words; countries and stop words go, and the kind of street is set apart where its word is
+known. Then
 
 1. places: postal codes are resolved by the place they most often stand beside, and place
-   words a few edits from a much better supported place are corrected to it;
-2. blocks: addresses with the same house number meet where they also share the place and
-   one rare word, the street, or a deletion of it. The key holds all three, so a block has
-   the spellings of one door only, however many addresses a town has;
-3. acceptance, in SQL: the words in common, weighted by rarity, and the Levenshtein
-   distance of the words left over. Kinds of street must not contradict each other;
-4. spellings attach to the best supported one of their block; one root is one location.
+   words a few edits from a much better supported place are corrected to it; an address
+   without a place gets the only place its street and number stand beside;
+2. blocks: addresses meet that share all house numbers, sorted, and one rare word: a word that
+   isn't the commonest of its address. Since that word may be misspelt, they also meet on
+   their numbers, the rarest of their other words and a deletion of the word, so a large town
+   makes no large block. Two words written as one, or one as two, meet as the joined word;
+3. acceptance, in SQL: ``array_intersect`` of the words, each weighted by its rarity; what is
+   left over counts as far as its Levenshtein distance lets it, joined in order of writing. The
+   share of the weight in agreement decides. Known kinds of street and known places (that
+   stand without a street, or beside one of a known kind) must not contradict;
+4. wordings attach to the best supported one; attachments are followed to a fixed point.
 
 Defined cases: null and blank addresses are left out; they are compared without leading
 and trailing blanks; repeated ones count once; a bare place links only to bare places; an
@@ -24,18 +29,21 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from vellumine.llm.edits import distance, fold, merged, neighbourhood
-from vellumine.llm.names import _Vocabulary, hash_key, neighbour_cores, trigrams
-from vellumine.session import cut
+from vellumine.llm.edits import LOOKALIKES, distance, fold, neighbourhood, reach
+from vellumine.llm.names import _Vocabulary, follow, hash_key, neighbour_cores, trigrams
+from vellumine.session import cut, spread
+
+#: Share of the words' weight that must agree.
+AGREE = 0.75
 
 # Names of countries in four languages.
 COUNTRIES = [fold(w) for w in (
     "Schweiz Suisse Svizzera Switzerland Deutschland Allemagne Germania Germany Frankreich France Francia Italien Italie Italia Italy "
     "Österreich Autriche Austria England Angleterre Inghilterra Grossbritannien Britain Bretagna Great Grande Gran Liechtenstein"
 ).split()]
-#: Kinds of street, folded; fixed values. Words before the name, and endings of the name.
+#: Kinds of street, folded; fixed values, and hints: other kinds are words like any. Before the name, and endings of it.
 BEFORE = {"avenu": "avenue", "av": "avenue", "ave": "avenue", "vial": "viale", "viale": "viale", "via": "via", "v": "via", "piazza": "piazza", "pza": "piazza", "p": "piazza", "vle": "viale", "chemin": "chemin", "ch": "chemin", "ru": "rue", "r": "rue", "rue": "rue", "boulevard": "boulevard", "bd": "boulevard", "corso": "corso", "vicolo": "vicolo"}
 ENDINGS = {"strasse": "street", "str": "street", "gasse": "gasse", "g": "gasse", "platz": "platz", "pl": "platz", "weg": "weg", "w": "weg", "street": "street", "st": "street", "road": "road", "rd": "road", "lane": "lane"}
 _FULL_ENDINGS = ("strasse", "gasse", "platz", "weg", "street", "road")
@@ -55,7 +63,9 @@ def _country(token: str, dotted: bool) -> bool:
 
 
 def read_address(address: str) -> tuple[str, str, str, str, str]:
-    """(number, kind, street, place, postal code), folded, each empty where it is missing.
+    """(house numbers, kind, street, place, postal code), folded, each empty where it is missing.
+
+    Words joined by a hyphen are one, unless the second is a known kind of street.
 
     >>> read_address("Kaltorwang/Switzerland"), read_address("CH-1583")
     (('', '', '', 'kaltorwang', ''), ('', '', '', '', '1583'))
@@ -69,10 +79,9 @@ def read_address(address: str) -> tuple[str, str, str, str, str]:
     if m:
         code = m.group(1)
         text = f"{text[: m.start()]} , {text[m.end() :]}"
-    m = _NUMBER.search(text)
-    if m:
-        number = m.group(1).lstrip("0") + (m.group(2) or "")
-        text = f"{text[: m.start()]} # {text[m.end() :]}"
+    numbers = [m.group(1).lstrip("0") + (m.group(2) or "") for m in _NUMBER.finditer(text)]
+    number = " ".join(sorted(set(numbers)))
+    text = _NUMBER.sub(" # ", text)
     tokens = []
     for m in _TOKEN.finditer(text):
         w, after = m.group(), text[m.end() : m.end() + 1]
@@ -82,7 +91,7 @@ def read_address(address: str) -> tuple[str, str, str, str, str]:
     left: list[str] = []
     i = 0
     while i < len(tokens):
-        w, dotted, _ = tokens[i]
+        w, dotted, hyphen = tokens[i]
         if not street and number and w in BEFORE and (len(w) > 2 or dotted or w == "ru"):
             j = i + 1
             while j < len(tokens) and tokens[j][0] in _STOP:
@@ -102,7 +111,9 @@ def read_address(address: str) -> tuple[str, str, str, str, str]:
                 kind, street = ENDINGS[end], w[: -len(end)]
                 i += 1
                 continue
-        if w not in _STOP:
+        if hyphen and left and i and tokens[i - 1][0] == left[-1]:
+            left[-1] += w
+        elif w not in _STOP:
             left.append(w)
         i += 1
     if number and not street and len(left) > 1:
@@ -150,7 +161,7 @@ def link_addresses(predictions: DataFrame) -> DataFrame:
         .filter("address <> ''")
         .groupBy("address").agg(F.count("*").alias("mentions"))
     )
-    read = cut(distinct.mapInPandas(_read, "address string, mentions bigint, number string, kind string, street string, place string, code string"))
+    read = cut(spread(distinct).mapInPandas(_read, "address string, mentions bigint, number string, kind string, street string, place string, code string"))
 
     # Places: rows with a number but no known kind of street hold two words, one of them a place.
     sure = read.filter("place <> '' and place not like '% %'").filter("street <> '' or number = ''")
@@ -168,7 +179,12 @@ def link_addresses(predictions: DataFrame) -> DataFrame:
     settled = read.join(picked, "address", "left").withColumns(
         {"place": F.coalesce("place2", "place"), "street": F.coalesce("street2", "street")}
     ).drop("place2", "street2")
-    settled = settled.join(rooted.select(F.col("word").alias("place"), "proper"), "place", "left").withColumn("place", F.coalesce("proper", "place")).drop("proper")
+    settled = settled.join(rooted.select(F.col("word").alias("place"), "proper"), "place", "left")
+    # one word with a number that is no known place is a street
+    alone = (F.col("number") != "") & (F.col("street") == "") & F.col("proper").isNull() & ~F.col("place").contains(" ")
+    settled = settled.withColumns(
+        {"street": F.when(alone, F.col("place")).otherwise(F.col("street")), "place": F.when(alone, "").otherwise(F.coalesce("proper", "place"))}
+    ).withColumn("known", F.col("proper").isNotNull()).drop("proper")
     beside = (
         settled.filter("code <> '' and place <> ''").groupBy("code", "place").agg(F.count("*").alias("n"))
         .groupBy("code").agg(F.max_by("place", F.struct("n", "place")).alias("of_code"))
@@ -176,60 +192,94 @@ def link_addresses(predictions: DataFrame) -> DataFrame:
     settled = settled.join(beside, "code", "left").withColumn(
         "place", F.when(F.col("place") != "", F.col("place")).when(F.col("code") != "", F.coalesce("of_code", "code")).otherwise("")
     )
-    spot = Window.partitionBy("number", "street", "kind")
-    settled = settled.withColumn(
-        "place",
-        F.when((F.col("place") == "") & (F.col("street") != "") & (F.size(F.collect_set(F.when(F.col("place") != "", F.col("place"))).over(spot)) == 1), F.max("place").over(spot)).otherwise(F.col("place")),
+    # without a place: the only one that its street and number stand beside
+    only = (
+        settled.filter("place <> '' and street <> '' and number <> ''").groupBy("number", "street", "kind")
+        .agg(F.min("place").alias("one"), F.max("place").alias("last")).filter("one = last").drop("last")
+    )
+    lacking = F.col("place") == ""
+    settled = settled.filter(~lacking).unionByName(
+        settled.filter(lacking).join(only, ["number", "street", "kind"], "left").withColumn("place", F.coalesce("one", F.lit(""))).drop("one")
     )
+    words = F.array_distinct(F.filter(F.split(F.concat_ws(" ", "street", "place"), " "), lambda w: w != ""))
     nodes = cut(
-        settled.filter("street <> '' or place <> ''")
-        .groupBy("number", "place", "kind", "street")
-        .agg(F.count("*").alias("support"), F.sum("mentions").alias("mentions"), F.collect_list("address").alias("addresses"))
-        .withColumn("node", F.xxhash64("number", "place", "kind", "street"))
+        settled.withColumn("words", words).filter("size(words) > 0")
+        # rows without a number are bare places, told apart as wholes
+        .groupBy("number", "kind", F.array_sort("words").alias("key"))
+        .agg(F.first("words").alias("words"), F.max("place").alias("place"), F.max("known").alias("known"), F.count("*").alias("support"), F.sum("mentions").alias("mentions"), F.collect_list("address").alias("addresses"))
+        .withColumn("node", F.xxhash64("number", "kind", "key"))
     )
+    up = follow(_attached(nodes))
+    return nodes.join(up, "node", "left").select(F.explode("addresses").alias("address"), F.coalesce("up", "node").alias("location"))
+
+
+def _alike(words: Column) -> Column:
+    """The words with look-alike letters in their short form."""
+
+    def shorter(word: Column) -> Column:
+        for long, short in LOOKALIKES:
+            word = F.replace(word, F.lit(long), F.lit(short))
+        return word
 
-    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for r in batch.itertuples(index=False):
-                for k in neighbourhood(merged(r.street)) if r.street else [""]:
-                    rows.append((hash_key(f"{r.number}|{r.place}|{k}"), *r))
-            yield pd.DataFrame(rows, columns=["key", *batch.columns])
-
-    own = nodes.select("node", "number", "place", "kind", "street", "support", "mentions")
-    keys = own.filter("number <> ''").mapInPandas(keyed, "key bigint, node bigint, number string, place string, kind string, street string, support bigint, mentions bigint")
-    a, b = (keys.select("key", *[F.col(c).alias(f"{side}_{c}") for c in keys.columns if c != "key"]) for side in "ab")
-    met = a.join(b, "key").filter("a_node <> b_node and a_number = b_number and a_place = b_place").drop("key").distinct()
-    # Rarity-weighted overlap of the words, and Levenshtein on those left over. A street is
-    # rare, so unless it is in common the left-over words decide.
-    total = F.lit(float(max(nodes.count(), 1)))
-    df_place = nodes.groupBy("place").agg(F.count("*").alias("df"))
-    weighed = met.join(df_place.select(F.col("place").alias("a_place"), "df"), "a_place")
-    words_a, words_b = F.array("a_place", "a_street"), F.array("b_place", "b_street")
-    common = F.array_intersect(words_a, words_b)
-    place_weight, street_weight = F.log(total / F.col("df") + 1), F.log(total + 1)
-    overlap = (F.when(F.array_contains(common, F.col("a_place")), place_weight).otherwise(0) + F.when(F.col("a_street") == F.col("b_street"), street_weight).otherwise(0)) / (place_weight + street_weight)
-    rest = F.levenshtein(F.array_join(F.array_except(words_a, common), " "), F.array_join(F.array_except(words_b, common), " "))
-    agreed = weighed.filter((F.col("a_kind") == F.col("b_kind")) | (F.col("a_kind") == "") | (F.col("b_kind") == "")).filter(
-        (overlap >= 0.9) | (rest <= F.when(F.least(F.length("a_street"), F.length("b_street")) >= 6, 4).otherwise(1))
+    return F.transform(words, shorter)
+
+
+def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The block keys of each node; its words come rarest first."""
+    for batch in batches:
+        rows = []
+        for node, number, words, written in batch.itertuples(index=False):
+            words, written = list(words), list(written)
+            whole = set(words[: max(len(words) - 1, 1)]) | {a + b for a, b in zip(written, written[1:])}
+            keys = {f"{number}|{w}" for w in whole}
+            for w in words:
+                other = next((x for x in words if x != w), "")
+                keys |= {f"{number}|{other}|{d}" for d in neighbourhood(w, reach(w))}
+            rows += [(node, hash_key(k)) for k in keys]
+        yield pd.DataFrame(rows, columns=["node", "key"])
+
+
+def _attached(nodes: DataFrame) -> DataFrame:
+    """The nodes with a number that are a wording of a better supported one: node, up."""
+    doors = nodes.filter("number <> ''").withColumn("words", F.array_distinct(_alike("words")))
+    each = doors.select("node", F.posexplode("words").alias("at", "word"))
+    total = doors.agg(F.count("*").alias("doors"))
+    weight = (F.log((F.col("doors") + 1) / F.col("df")) + 0.2).alias("w")
+    weights = each.groupBy("word").agg(F.count("*").alias("df")).join(F.broadcast(total)).select("word", weight)
+    weighed = cut(
+        each.join(weights, "word").groupBy("node")
+        .agg(F.array_sort(F.collect_list(F.struct((-F.col("w")).alias("o"), "word", "w"))).alias("told"))
+        .join(doors.select("node", "number", "kind", "place", "known", "words", "support", "mentions"), "node")
     )
+    keys = spread(weighed.select("node", "number", F.transform("told", lambda x: x["word"]).alias("rare"), "words")).mapInPandas(_blocks, "node bigint, key bigint")
+    met = keys.alias("x").join(keys.alias("y"), F.expr("x.key = y.key and x.node < y.node")).select(F.col("x.node").alias("a_node"), F.col("y.node").alias("b_node")).distinct()
+    a, b = (weighed.select(*[F.col(c).alias(f"{side}_{c}") for c in weighed.columns]) for side in "ab")
+    pairs = met.join(a, "a_node").join(b, "b_node").filter("a_number = b_number and (a_kind = b_kind or a_kind = '' or b_kind = '') and (a_place = '') = (b_place = '') and (a_place = b_place or not (a_known and b_known))")
+    common = F.array_intersect("a_words", "b_words")
+
+    def weight_of(told: str, inside: Column | None = None) -> Column:
+        own = F.col(told) if inside is None else F.filter(told, lambda x: F.array_contains(inside, x["word"]))
+        return F.aggregate(own, F.lit(0.0), lambda n, x: n + x["w"])
 
-    def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            d = [distance(merged(x), merged(y)) for x, y in zip(batch["a_street"], batch["b_street"])]
-            yield batch.assign(d=d)[[x <= 2 for x in d]]
-
-    columns = ["a_node", "b_node", "a_street", "b_street", "a_support", "b_support", "a_mentions", "b_mentions"]
-    pairs = agreed.select(*columns).mapInPandas(verified, "a_node bigint, b_node bigint, a_street string, b_street string, a_support bigint, b_support bigint, a_mentions bigint, b_mentions bigint, d int")
-    up = cut(
-        pairs.filter("(a_support < b_support) or (a_support = b_support and (a_mentions < b_mentions or (a_mentions = b_mentions and a_node < b_node)))")
-        .groupBy("a_node").agg(F.max_by("b_node", F.struct("b_support", -F.col("d"), "b_mentions", "b_node")).alias("up"))
-        .select(F.col("a_node").alias("node"), "up")
+    pairs = pairs.withColumn("common", common).withColumns(
+        {
+            "agreed": weight_of("a_told", F.col("common")) + weight_of("b_told", F.col("common")),
+            "all": weight_of("a_told") + weight_of("b_told"),
+            "a_rest": F.array_join(F.array_except("a_words", "common"), ""),
+            "b_rest": F.array_join(F.array_except("b_words", "common"), ""),
+        }
     )
-    hop = up.select(F.col("node").alias("up"), F.col("up").alias("higher"))
-    for _ in range(2):
-        up = up.join(hop, "up", "left").select("node", F.coalesce("higher", "up").alias("up"))
-    return nodes.join(up, "node", "left").select(F.explode("addresses").alias("address"), F.coalesce("up", "node").alias("location"))
+    # two rests may be as far apart as the shorter allows; words that one side lacks count as they
+    # weigh, but for the place, which is filled in before where there is but one
+    apart, least = F.levenshtein("a_rest", "b_rest"), F.least(F.length("a_rest"), F.length("b_rest"))
+    most = F.greatest(F.length("a_rest"), F.length("b_rest"), F.lit(1))
+    allowed = F.when(least < 4, 0).when(least < 6, 1).when(least < 8, 3).otherwise(4)
+    near = F.when(apart <= allowed, 1 - apart / most).when(least == 0, 0.0)
+    agreed = pairs.withColumn("d", apart).withColumn("share", (F.col("agreed") + (F.col("all") - F.col("agreed")) * near) / F.col("all")).filter(F.col("share") >= AGREE)
+    # upwards, to the better supported wording
+    better = [("a", "b", "(a_support, a_mentions, a_node) < (b_support, b_mentions, b_node)"), ("b", "a", "(a_support, a_mentions, a_node) > (b_support, b_mentions, b_node)")]
+    ways = [agreed.filter(order).select(F.col(f"{low}_node").alias("node"), F.col(f"{high}_node").alias("to"), F.col(f"{high}_support").alias("s"), F.col(f"{high}_mentions").alias("m"), "d") for low, high, order in better]
+    return ways[0].unionByName(ways[1]).groupBy("node").agg(F.max_by("to", F.struct("s", -F.col("d"), "m", "to")).alias("up"))
 
 
 def address_pairs(predictions: DataFrame) -> DataFrame:

@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vellumine.llm.edits import distance, fold, merged, neighbourhood
-from vellumine.session import cut
+from vellumine.session import cut, spread
 
 # Short and familiar forms of given names, folded; hints, others are learned.
 GIVEN = {
@@ -320,7 +320,11 @@ def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def neighbour_cores(cores: DataFrame) -> DataFrame:
-    """Pairs of distinct cores at most two edits apart, both ways: a, b, d."""
+    """Pairs of distinct cores at most two edits apart, both ways: a, b, d.
+
+    The cores under one key differ from it by one or two letters put in, so their number is
+    bounded by the alphabet and a core's length, whatever the rows.
+    """
 
     def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -334,14 +338,14 @@ def neighbour_cores(cores: DataFrame) -> DataFrame:
             shorter = batch[["a", "b"]].map(len).min(axis=1)
             yield batch[(batch["d"] == 0) | (batch["d"] == 1) & (shorter >= 4) | (batch["d"] == 2) & (shorter >= 6)]
 
-    keys = cores.mapInPandas(keyed, "key bigint, core string")
+    keys = spread(cores).mapInPandas(keyed, "key bigint, core string")
     met = (
         keys.alias("x")
         .join(keys.alias("y"), F.expr("x.key = y.key and x.core < y.core"))
         .select(F.col("x.core").alias("a"), F.col("y.core").alias("b"))
         .distinct()
     )
-    pairs = met.mapInPandas(verified, "a string, b string, d int")
+    pairs = spread(met).mapInPandas(verified, "a string, b string, d int")
     return pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
 
 
@@ -456,7 +460,7 @@ def link_names(predictions: DataFrame, rare: float = 0.0004) -> DataFrame:
     rare: a letter sequence is rare if no more than this share of all tokens have it, and next
     to unique at two fifths of the share (or two tokens, where that is more).
     """
-    names = cut(distinct_names(predictions).mapInPandas(_parsed, "name string, mentions bigint, kind string, bag array<string>, given array<string>, family array<string>"))
+    names = cut(spread(distinct_names(predictions)).mapInPandas(_parsed, "name string, mentions bigint, kind string, bag array<string>, given array<string>, family array<string>"))
     stats = cut(token_stats(names))
     near = cut(neighbour_cores(stats.filter("length(token) > 3 and not endswith(token, '.')").select(F.col("token").alias("core"))))
     bags = cut(_bags(names, stats))
@@ -476,7 +480,7 @@ def link_names(predictions: DataFrame, rare: float = 0.0004) -> DataFrame:
             yield out.assign(cost=[f[0] for f in found if f], edits=[f[1] for f in found if f])
 
     rank = nodes.schema["rank"].dataType.simpleString()
-    good = cut(pairs.mapInPandas(judged, f"a bigint, b bigint, b_rank {rank}, alike boolean, cost double, edits int"))
+    good = cut(spread(pairs).mapInPandas(judged, f"a bigint, b bigint, b_rank {rank}, alike boolean, cost double, edits int"))
     nearest = good.join(good.groupBy("a").agg(F.min("edits").alias("edits")), ["a", "edits"])
     best = nearest.groupBy("a").agg(F.max_by("b", F.struct("b_rank", -F.col("cost"))).alias("up"), F.max_by("b", F.when(F.col("alike"), F.struct(-F.col("cost"), "b_rank"))).alias("alike"))
     others = nearest.select("a", "b").join(best.select("a", "up"), "a").filter("b <> up")
