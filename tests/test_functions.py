@@ -150,7 +150,7 @@ def test_validation(spark):
     got = [r["r"] for r in records.with_validated(rows(spark, raws), "v", "r").orderBy("i").collect()]
     assert got[0]["title"] == "T" and got[0]["classification"] == "8" and names(got[0]["assignees"]) == [("ACME GmbH", None)]
     assert got[1] is got[2] is got[3] is None
-    assert got[4]["title"] == "L" and got[5]["pub_date_application"] is None
+    assert got[4]["title"] == "L" and got[5]["pub_date_application"] == "1920-01-01"  # one answer's dates aren't put in order
 
 
 def test_boxes(spark):

@@ -2,14 +2,17 @@
 
 import io
 import json
+import sys
 import tarfile
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from vellumine import config
 from vellumine.functions import text as tx
-from vellumine.operators import chunking, evaluation as ev, inference, nested, strategies
+from vellumine.functions import records, scoring
+from vellumine.operators import chunking, evaluation as ev, inference, merging, nested, strategies
 from vellumine.operators.merging import merged_records
 from vellumine.sources import readers, writers
 from vellumine.streaming import incremental
@@ -57,7 +60,7 @@ class Failing:
 
 
 def test_failing_batches_are_tried_singly():
-    assert inference._answers(Failing(), ["a", "bad", "c"]) == [("A", None), (None, "exception: KeyError"), ("C", None)]
+    assert inference._answers(Failing(), ["a", "bad", "c"]) == [("A", None, None), (None, "KeyError", "'bad'"), ("C", None, None)]
     with pytest.raises(ValueError):
         inference.backend("nothing")
 
@@ -74,6 +77,57 @@ def test_strategies(spark, strategy):
     assert {got[i]["error"] for i in (1, 2, 3)} == {"empty_ocr"} and got[1]["confidence"] == 0.0
 
 
+class Rounds:
+    """A backend that fails on some texts, and needs a correction on others."""
+
+    def generate(self, prompts, **options):
+        if any("bad text" in p for p in prompts):
+            raise KeyError("bad")
+        out = []
+        for p in prompts:
+            extra = "" if "Correction" not in p else ', "pub_date_publication": "1921-02-02", "assignees": [{"name": "Ge GmbH"}]'
+            out.append('{"title": "T%d", "inventors": [{"name": "Al Bo"}, {"name": "Acme GmbH"}], "pub_date_application": "1920-01-01"%s}' % (0, extra))
+        return out
+
+
+def test_failed_documents_stay_in_every_strategy(spark):
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers don't have this module
+    df = spark.createDataFrame([(0, "good text T0"), (1, "a bad text"), (2, "")], "doc int, body string")
+    c = strategies.Extraction(backend=f"{__name__}:Rounds", threshold=1.0)
+    for strategy in strategies.STRATEGIES:
+        got = {r["id"]: r for r in strategies.extract(df, "doc", "body", strategy, c).collect()}
+        assert sorted(got) == [0, 1, 2], strategy
+        assert got[0]["record"]["title"] == "T0" and got[0]["error"] is None and got[0]["strategy_used"] == strategy
+        assert "Acme GmbH" in [e["name"] for e in got[0]["record"]["assignees"]]  # moved after merging too
+        assert (got[1]["record"], got[1]["error"], got[1]["error_type"], got[1]["confidence"]) == (None, "exception: KeyError", "KeyError", 0.0)
+        assert got[2]["error"] == "empty_ocr"
+    again = {r["id"]: r for r in strategies.extract(df, "doc", "body", "two_pass_targeted", c).collect()}[0]
+    assert again["was_rerun"] and again["pass_count"] == 2 and again["record"]["pub_date_publication"] == "1921-02-02"
+    rounds = {r["id"]: r for r in strategies.extract(df, "doc", "body", "self_consistency", c).collect()}[0]
+    assert rounds["self_consistency_variance"] == 0.0 and set(rounds["self_consistency_variance_by_field"]) == set(scoring.VOTED) and rounds["chunks_count"] == 2
+
+
+def test_fallback_to_baseline(spark):
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    df = spark.createDataFrame([(0, "a bad text"), (1, "fine")], "doc int, body string")
+    c = strategies.Extraction(backend=f"{__name__}:Rounds", fallback=True)
+    got = {r["id"]: r for r in strategies.extract(df, "doc", "body", "chunked", c).collect()}
+    assert got[0]["strategy_used"] == "baseline" and got[0]["strategy_fallback_from"] == "chunked" and got[1]["strategy_used"] == "chunked"
+
+
+def test_merging_validates_again(spark):
+    def record(**v):
+        return tuple(v.get(k) for k in ("title", "inventors", "assignees", "pub_date_application", "pub_date_publication", "pub_date_foreign", "classification", "industrial_field", "identifier"))
+
+    one = record(inventors=[("Acme GmbH", None), ("Al Bo", None)], pub_date_application="1920-01-01", pub_date_publication="1920-01-01", identifier="x")
+    df = spark.createDataFrame([(1, 0, one), (1, 1, one), (2, 0, one)], f"k int, o int, r {records.RECORD}")
+    for policy in (*scoring.POLICIES, None):
+        got = {r["k"]: r["r"] for r in merging.merged_records(df, "k", "o", "r", policy).collect()}
+        assert [e["name"] for e in got[1]["inventors"]] == ["Al Bo"] and [e["name"] for e in got[1]["assignees"]] == ["Acme GmbH"]
+        assert got[1]["pub_date_application"] is None and got[1]["pub_date_publication"] == "1920-01-01" and got[1]["identifier"] is None
+        assert got[2]["pub_date_application"] == "1920-01-01" and len(got[2]["inventors"]) == 2
+
+
 def test_unknown_strategy(spark):
     with pytest.raises(ValueError, match="unknown strategy"):
         strategies.extract(spark.createDataFrame(DOCS, "doc int, body string"), "doc", "body", "best")
@@ -138,16 +192,23 @@ def test_last_per_key(spark):
 
 
 def test_config(tmp_path):
-    p = config.overridden(config.Profile(), strategy="chunked", doc_batch_size=4, max_ocr_chars=5, temperature=None)
-    assert (p.strategy.name, p.engine.doc_batch_size, p.max_ocr_chars) == ("chunked", 4, 5) and p.guarded()
-    with pytest.raises(ValueError):
-        config.overridden(p, nothing=1)
-    with pytest.raises(ValueError):
-        config.Strategy(chunk_overlap_chars=7_000)
+    p = config.overridden(config.Profile(prompt_id="v4"), strategy="chunked", doc_batch_size=4, max_ocr_chars=5, temperature=None)
+    assert (p.name, p.doc_batch_size, p.max_ocr_chars, p.temperature) == ("chunked", 4, 5, 0.0) and p.guarded()
+    assert p.section("engine")["doc_batch_size"] == 4 and set(p.as_dict()) == set(config.SECTIONS)
+    for wrong in ({"nothing": 1}, {"chunk_overlap_chars": 7_000}, {"chunk_size_chars": 0}, {"extraction_passes": 0}, {"temperature": -1.0}, {"max_ocr_chars": 0}, {"name": "best"},
+                  {"gpu_memory_utilization": 0.0}, {"merge_policy": None}, {"self_consistency_n": 0}, {"do_sample": 1}, {"timings": "all"}):
+        with pytest.raises(ValueError):
+            config.overridden(p, **wrong) if None not in wrong.values() else config.Profile(**wrong)
+    with pytest.raises(AttributeError):
+        p.temperature = 1.0
     path = tmp_path / "p.json"
     path.write_text(json.dumps({"prompt_id": "v2", "strategy": {"name": "header_first"}, "engine": {"swap_space": 0.0}}))
     q = config.load_profile(path)
-    assert q.strategy.name == "header_first" and not q.guarded() and q.engine.swap_space == 0.0
+    assert q.name == "header_first" and not q.guarded() and q.swap_space == 0.0 and q == config.Profile(prompt_id="v2", strategy="header_first", swap_space=0.0)
+    path.write_text(json.dumps({"strategy": "chunked"}))
+    assert config.load_profile(path).name == "chunked"
+    with pytest.raises(FileNotFoundError):
+        config.load_profile(tmp_path / "none.json")
     assert config.tesseract_options("--psm 6 --oem=1 -c a=b") == (6, 1, {"a": "b"})
 
 

@@ -69,18 +69,18 @@ def date_strings(x: Text) -> Column:
 
 #: Names of the months in French, German, English and Italian, without accents; fixed values.
 MONTHS = (
-    "janvier janv januar janner january gennaio jan",
-    "fevrier fevr februar february febbraio feb",
-    "mars marz march marzo mar",
-    "avril april aprile apr",
-    "mai may maggio",
-    "juin juni june giugno jun",
-    "juillet juli july luglio jul",
-    "aout august agosto aug",
-    "septembre sept september settembre sep",
-    "octobre oktober october ottobre oct okt",
-    "novembre november nov",
-    "decembre dezember december dicembre dec dez",
+    ("janvier", "janv", "januar", "janner", "january", "gennaio", "jan"),
+    ("fevrier", "fevr", "februar", "february", "febbraio", "feb"),
+    ("mars", "marz", "march", "marzo", "mar"),
+    ("avril", "april", "aprile", "apr"),
+    ("mai", "may", "maggio"),
+    ("juin", "juni", "june", "giugno", "jun"),
+    ("juillet", "juli", "july", "luglio", "jul"),
+    ("aout", "august", "agosto", "aug"),
+    ("septembre", "sept", "september", "settembre", "sep"),
+    ("octobre", "oktober", "october", "ottobre", "oct", "okt"),
+    ("novembre", "november", "nov"),
+    ("decembre", "dezember", "december", "dicembre", "dec", "dez"),
 )
 
 
@@ -89,7 +89,7 @@ def spellings(day: Text) -> Column:
     d = _c(day)
     dd, mm, yyyy = F.dayofmonth(d).cast("string"), F.month(d).cast("string"), F.year(d).cast("string")
     d2, m2 = F.lpad(dd, 2, "0"), F.lpad(mm, 2, "0")
-    names = F.element_at(F.array(*[F.array(*[F.lit(n) for n in m.split()]) for m in MONTHS]), F.month(d))
+    names = F.element_at(F.array(*[F.array(*[F.lit(n) for n in m]) for m in MONTHS]), F.month(d))
     named = F.concat(F.transform(names, lambda n: F.concat_ws(" ", dd, n, yyyy)), F.transform(names, lambda n: F.concat_ws(" ", d2, n, yyyy)))
     numeric = F.array(F.concat_ws(" ", yyyy, m2, d2), F.concat_ws(" ", d2, m2, yyyy), F.concat_ws(" ", dd, mm, yyyy))
     return F.when(d.isNotNull(), F.array_distinct(F.concat(numeric, named)))

@@ -20,12 +20,13 @@ def or_null(entities: Column) -> Column:
 
 
 def deduped(entities: Text) -> Column:
-    """First seen of each name and address, names compared in lower case and single blanks."""
-    keyed = F.transform(_c(entities), lambda e: F.struct(e["name"].alias("name"), e["address"].alias("address"), F.lower(collapsed(e["name"])).alias("key")))
+    """First seen of each name and address, both compared in lower case and single blanks."""
+    key = lambda e: F.struct(F.lower(collapsed(e["name"])).alias("n"), F.coalesce(F.lower(collapsed(e["address"])), F.lit("")).alias("a"))
+    keyed = F.transform(_c(entities), lambda e: F.struct(e["name"].alias("name"), e["address"].alias("address"), key(e).alias("key")))
     kept = F.aggregate(
         keyed,
-        F.array().cast("array<struct<name:string,address:string,key:string>>"),
-        lambda acc, e: F.when(F.exists(acc, lambda x: (x["key"] == e["key"]) & x["address"].eqNullSafe(e["address"])), acc).otherwise(F.concat(acc, F.array(e))),
+        F.array().cast("array<struct<name:string,address:string,key:struct<n:string,a:string>>>"),
+        lambda acc, e: F.when(F.exists(acc, lambda x: x["key"] == e["key"]), acc).otherwise(F.concat(acc, F.array(e))),
     )
     return F.transform(kept, lambda e: F.struct(e["name"].alias("name"), e["address"].alias("address")))
 

@@ -20,6 +20,11 @@ SCALARS = ("title", "pub_date_application", "pub_date_publication", "pub_date_fo
 ALIASES = {"inventors": "inventor", "assignees": "assignee", "classification": "class"}
 
 
+def empty() -> Column:
+    """A record without any value."""
+    return F.from_json(F.lit("{}"), RECORD)
+
+
 def outer_objects(text: str) -> list[str]:
     """Outermost balanced {...} stretches, braces inside strings counting too.
 
@@ -81,7 +86,7 @@ def _entity_list(v: Column, key: str) -> Column:
 
 
 def with_validated(df: DataFrame, raw: str, out: str) -> DataFrame:
-    """df with a record from a JSON string: aliases, repaired dates, moved companies.
+    """df with a record from a JSON string: aliases, copied dates removed, moved companies.
 
     All or nothing: text that is no JSON, or a scalar field that is no string, gives null.
     A list stands for its first element. Done in steps, so that each is evaluated once.
@@ -105,8 +110,7 @@ def with_validated(df: DataFrame, raw: str, out: str) -> DataFrame:
     step = step.withColumns({f"_l_{k}": _entity_list(F.col("_v"), k) for k in ("inventors", "assignees")})
     once = dates.without_duplicates(*[F.col(f"_s_pub_date_{d}") for d in day])
     step = step.withColumns({f"_d_{d}": dates.field_date(once[d]) for d in day})
-    ordered = dates.in_order(*[F.col(f"_d_{d}") for d in day])
-    values = {n: F.col(f"_s_{n}") for n in SCALARS} | {f"pub_date_{d}": ordered[d].cast("string") for d in day} | entities.companies_moved("_l_inventors", "_l_assignees")
+    values = {n: F.col(f"_s_{n}") for n in SCALARS} | {f"pub_date_{d}": F.col(f"_d_{d}").cast("string") for d in day} | entities.companies_moved("_l_inventors", "_l_assignees")
     names = ("title", "inventors", "assignees", *[f"pub_date_{d}" for d in day], "classification", "industrial_field", "identifier")
     whole = F.when(F.col("_good"), F.struct(*[values[n].alias(n) for n in names])).cast(RECORD)
     kept = [c for c in df.columns if c != out]

@@ -9,6 +9,7 @@ from vellumine.functions.text import Text, _c, lowered, strip
 
 POLICIES = ("prefer_first", "prefer_last", "prefer_non_null", "vote_majority")
 SCALARS = ("title", "classification", "industrial_field")
+VOTED = ("title", "inventors", "assignees", "pub_date_application", "pub_date_publication", "pub_date_foreign", "classification", "industrial_field")
 CRITICAL = ("title", "inventors", "assignees", "pub_date_application", "pub_date_publication")
 
 
@@ -78,7 +79,21 @@ def confidence(record: Column, text: Text) -> dict[str, Column]:
     }
 
 
+def vote_key(value: Column, field: str) -> Column:
+    """The form in which values of a field are compared; null where the value is missing."""
+    if field in ("inventors", "assignees"):
+        whole = F.to_json(F.transform(value, lambda e: F.struct(e["address"].alias("address"), e["name"].alias("name"))), {"ignoreNullFields": "false"})
+        return F.when(F.size(value) > 0, whole)
+    return F.nullif(lowered(value), F.lit(""))
+
+
 def variance(keys: Text) -> Column:
     """(distinct - 1) / (present - 1) of an array of vote keys; 0 with fewer than two present."""
     full = F.filter(_c(keys), lambda k: k.isNotNull() & (k != ""))
     return F.when(F.size(full) > 1, (F.size(F.array_distinct(full)) - 1) / (F.size(full) - 1)).otherwise(0.0)
+
+
+def variances(keys: dict[str, Column]) -> dict[str, Column]:
+    """The variance of each field's vote keys, and their mean; six places."""
+    each = {f: F.round(variance(k), 6) for f, k in keys.items()}
+    return each | {"mean": F.round(sum(each.values(), F.lit(0.0)) / len(each), 6)}

@@ -22,14 +22,18 @@ def _c(x: Text) -> Column:
 # Trimming and normal forms --------------------------------------------------------------
 
 
+#: The characters of the Unicode property White_Space; fixed values.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(x: Text) -> Column:
     """Without white space at either end."""
-    return F.regexp_replace(_c(x), r"(?U)^\s+|\s+$", "")
+    return F.btrim(_c(x), F.lit(WHITE))
 
 
 def blank(x: Text) -> Column:
-    """Whether there is nothing but white space; null counts as blank."""
-    return F.coalesce(F.length(strip(x)) == 0, F.lit(True))
+    """Whether there is nothing but white space; null counts as blank. Stops at the first visible character."""
+    return ~F.coalesce(F.rlike(_c(x), F.lit(r"(?U)\S")), F.lit(False))
 
 
 def collapsed(x: Text) -> Column:

@@ -36,7 +36,7 @@ class Chunking:
     @property
     def offsets(self) -> list[int]:
         """Where the passes begin: multiples of size // passes, distinct and sorted."""
-        step = self.size // self.passes
+        step = max(1, self.size // self.passes)
         return sorted({i * step for i in range(self.passes)}) if self.passes > 1 else [0]
 
 
@@ -60,14 +60,15 @@ def windows(text: Text, size: int, overlap: int, offset: int = 0) -> Column:
 
 
 def prompt_rows(docs: DataFrame, key: str, text: str, c: Chunking) -> DataFrame:
-    """One row a prompt: key, candidate_order from 0 over all passes, body.
+    """One row a prompt: key, candidate_order from 0 over all passes, body, in_chunks.
 
     A chunked text without any window, and every other text, gives one truncated row.
     """
     parts = F.concat(*[windows(text, c.size, c.overlap, o) for o in c.offsets])
     whole = F.array(truncated(text, c.max_chars))
-    bodies = F.when(chunked(text, c) & (F.size(parts) > 0), parts).otherwise(whole)
-    return docs.select(key, F.posexplode(bodies).alias("candidate_order", "body"))
+    in_chunks = chunked(text, c) & (F.size(parts) > 0)
+    bodies = F.when(in_chunks, parts).otherwise(whole)
+    return docs.select(key, in_chunks.alias("in_chunks"), F.posexplode(bodies).alias("candidate_order", "body")).select(key, "candidate_order", "body", "in_chunks")
 
 
 def header(text: Text, c: Chunking) -> Column:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import importlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from typing import Protocol
 
 import pandas as pd
@@ -17,9 +18,25 @@ from vellumine.session import cut
 
 
 class Backend(Protocol):
-    """Answers a batch of prompts, as many as there are prompts and in their order."""
+    """Answers a batch of prompts, as many as there are prompts and in their order.
 
-    def generate(self, prompts: list[str]) -> list[str]: ...
+    Options are those of ``Sampling.options``; a backend takes what it knows.
+    """
+
+    def generate(self, prompts: list[str], **options) -> list[str]: ...
+
+
+@dataclass(frozen=True)
+class Sampling:
+    """How a model draws its answer."""
+
+    max_new_tokens: int = 1_024
+    temperature: float = 0.0
+    do_sample: bool = False
+
+    def options(self) -> dict:
+        """Keyword arguments of ``generate``; without sampling the temperature is 0."""
+        return {"max_tokens": self.max_new_tokens, "temperature": self.temperature if self.do_sample else 0.0}
 
 
 #: Short names of backends: name to "module:factory". Plug-ins add theirs.
@@ -29,7 +46,7 @@ BACKENDS: dict[str, str] = {"echo": "vellumine.operators.inference:EchoBackend"}
 class EchoBackend:
     """A stand-in for a model: reads title and dates off the prompt by fixed rules."""
 
-    def generate(self, prompts: list[str]) -> list[str]:
+    def generate(self, prompts: list[str], **options) -> list[str]:
         import json
         import re
 
@@ -52,37 +69,42 @@ def backend(name: str) -> Callable[[], Backend]:
     return getattr(importlib.import_module(module), attribute)
 
 
-def _answers(model: Backend, prompts: list[str]) -> list[tuple[str | None, str | None]]:
-    """(answer, error) of each prompt; a failing batch is tried again prompt by prompt."""
+def _answers(model: Backend, prompts: list[str], options: dict | None = None) -> list[tuple[str | None, str | None, str | None]]:
+    """(answer, error type, error detail) of each prompt; a failing batch is tried again prompt by prompt."""
     try:
-        got = model.generate(prompts)
+        got = model.generate(prompts, **(options or {}))
         if len(got) != len(prompts):
             raise RuntimeError(f"{len(got)} answers to {len(prompts)} prompts")
-        return [(a, None) for a in got]
+        return [(a, None, None) for a in got]
     except Exception as problem:
         if len(prompts) == 1:
-            return [(None, f"exception: {type(problem).__name__}")]
-        return [x for p in prompts for x in _answers(model, [p])]
+            return [(None, type(problem).__name__, str(problem))]
+        return [x for p in prompts for x in _answers(model, [p], options)]
 
 
-def infer(prompts: DataFrame, prompt: str, name: str, batch: int = 32) -> DataFrame:
-    """prompts with the columns answer and error added.
+def infer(prompts: DataFrame, prompt: str, name: str, batch: int = 32, sampling: Sampling = Sampling()) -> DataFrame:
+    """prompts without the prompt, with the columns answer, error, error_type and error_detail.
 
-    batch: prompts in one call. A worker builds its backend once, for its first batch.
+    batch: prompts in one call. Prompts of an Arrow batch go longest first, so those of one
+    call are about equally long. A worker builds its backend once, for its first batch. Only
+    keys and answers are written, never the prompts.
     """
-    make = backend(name)
+    make, options = backend(name), sampling.options()
+    kept = [(n, t) for n, t in prompts.dtypes if n != prompt]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = None
         for rows in batches:
             model = model or make()
-            got: list[tuple[str | None, str | None]] = []
+            rows = rows.iloc[rows[prompt].map(len).to_numpy().argsort(kind="stable")[::-1]]
+            got: list[tuple[str | None, str | None, str | None]] = []
             texts = rows[prompt].tolist()
             for at in range(0, len(texts), batch):
-                got += _answers(model, texts[at : at + batch])
-            yield rows.assign(answer=[a for a, _ in got], error=[e for _, e in got])
+                got += _answers(model, texts[at : at + batch], options)
+            failed = [f"exception: {kind}" if kind else None for _, kind, _ in got]
+            yield rows[[n for n, _ in kept]].assign(answer=[a for a, _, _ in got], error=failed, error_type=[k for _, k, _ in got], error_detail=[d for _, _, d in got])
 
-    schema = ", ".join(f"`{n}` {t}" for n, t in prompts.dtypes) + ", answer string, error string"
+    schema = ", ".join(f"`{n}` {t}" for n, t in kept) + ", answer string, error string, error_type string, error_detail string"
     return cut(prompts.mapInPandas(run, schema))
 
 

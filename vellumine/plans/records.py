@@ -106,7 +106,9 @@ def _merge(policy: str | None):
     def query(spark: SparkSession, folder: str) -> DataFrame:
         d = _delivered(spark, folder, "file_name")
         m = merged_records(d, "file_name", "rec_id", "prediction", policy)
-        return m.select("file_name", *[F.col("prediction")[f].alias(f) for f in ("title", "classification", "industrial_field", "pub_date_application", "pub_date_publication", "pub_date_foreign")])
+        one = lambda e: F.concat(F.coalesce(e["name"], F.lit("")), F.lit(" ("), F.coalesce(e["address"], F.lit("")), F.lit(")"))
+        people = [F.nullif(F.array_join(F.transform(F.col("prediction")[k], one), "; "), F.lit("")).alias(k) for k in ("inventors", "assignees")]
+        return m.select("file_name", *people, *[F.col("prediction")[f].alias(f) for f in ("title", "classification", "industrial_field", "pub_date_application", "pub_date_publication", "pub_date_foreign")])
 
     query.__name__ = "merge_" + (policy or "legacy")
     query.__doc__ = f"The answers to each file as one, {policy or 'by the rules of each field'}."
@@ -114,9 +116,10 @@ def _merge(policy: str | None):
 
 
 def field_variance(spark: SparkSession, folder: str) -> DataFrame:
+    """How far the answers to a file differ, by field and over all fields."""
     d = _delivered(spark, folder, "file_name")
-    keys = d.groupBy("file_name").agg(*[F.collect_list(tx.lowered(F.col("prediction")[f])).alias(f) for f in scoring.SCALARS])
-    return keys.select("file_name", *[F.round(scoring.variance(f), 6).alias(f) for f in scoring.SCALARS])
+    keys = d.groupBy("file_name").agg(*[F.collect_list(scoring.vote_key(F.col("prediction")[f], f)).alias(f) for f in scoring.VOTED])
+    return keys.select("file_name", *[c.alias(n) for n, c in scoring.variances({f: F.col(f) for f in scoring.VOTED}).items()])
 
 
 def json_shred(spark: SparkSession, folder: str) -> DataFrame:
@@ -208,6 +211,20 @@ def _picked(field: str, policy: str | None) -> str:
     return f"{full}[list_position({counts}, list_max({counts}))]"
 
 
+#: The distinct entities of each file over all its answers, in order of answer and place.
+_MERGED_ENTITIES = f"""
+    raw AS (SELECT file_name, rec_id, 'inventors' AS kind, unnest(prediction.inventors) AS e, generate_subscripts(prediction.inventors, 1) AS pos FROM predictions_all WHERE prediction IS NOT NULL
+            UNION ALL SELECT file_name, rec_id, 'assignees', unnest(prediction.assignees), generate_subscripts(prediction.assignees, 1) FROM predictions_all WHERE prediction IS NOT NULL),
+    clean AS (SELECT file_name, kind, rec_id, pos, {sql.strip('e.name')} AS name, nullif({sql.strip('e.address')}, '') AS address FROM raw WHERE {sql.present('e.name')}),
+    firsts AS (SELECT *, row_number() OVER (PARTITION BY file_name, kind, {sql.lowered('name')}, coalesce({sql.lowered('address')}, '') ORDER BY rec_id, pos) AS rn FROM clean)"""
+#: The same with companies moved, as one text a file: names and addresses.
+_ONE = "name || ' (' || coalesce(address, '') || ')'"
+_MERGED_LISTS = f"""
+    moved AS (SELECT *, kind = 'inventors' AND {sql.company('name')} AS move FROM firsts WHERE rn = 1),
+    people AS (SELECT file_name, string_agg({_ONE}, '; ' ORDER BY rec_id, pos) FILTER (WHERE kind = 'inventors' AND NOT move) AS inv,
+                      string_agg({_ONE}, '; ' ORDER BY move, rec_id, pos) FILTER (WHERE kind = 'assignees' OR move) AS ass FROM moved GROUP BY 1)"""
+
+
 def _merge_sql(policy: str | None) -> str:
     fields = ("title", "classification", "industrial_field", *[f"pub_date_{d}" for d in DAYS])
     lists = ", ".join(f"list(prediction.{f} ORDER BY rec_id) AS {f}" for f in fields)
@@ -228,13 +245,39 @@ def _merge_sql(policy: str | None) -> str:
         f"CASE WHEN n = 1 THEN {f}[1] ELSE {v} END AS {f}"
         for f, v in zip(fields, ("t", "c", "i", *[f"{_q(d)}::VARCHAR" for d in DAYS]))
     )
-    return f"WITH g AS (SELECT file_name, count(*) AS n, {lists} FROM predictions_all WHERE prediction IS NOT NULL GROUP BY 1), {chosen}, {_ORDERED.format(src='src')} SELECT file_name, {one} FROM ordered"
+    # dates are put in order under a policy only; then those that were copied go, as after every validation
+    order = f"{chosen}, {_ORDERED.format(src='src')}" if policy else f"{chosen}, ordered AS (SELECT * FROM src)"
+    copied = """checked AS (SELECT * REPLACE (CASE WHEN NOT coalesce(application = publication, false) THEN application END AS application,
+                                              CASE WHEN NOT coalesce(application = publication AND "foreign" = publication, false) THEN "foreign" END AS "foreign") FROM ordered)"""
+    alone = ", ".join(
+        f"CASE WHEN n = 1 THEN list_aggregate(list_transform({k}[1], lambda x: coalesce(x.name, '') || ' (' || coalesce(x.address, '') || ')'), 'string_agg', '; ') ELSE {v} END AS {k}"
+        for k, v in (("inventors", "inv"), ("assignees", "ass"))
+    )
+    return f"""
+        WITH g AS (SELECT file_name, count(*) AS n, {lists}, list(prediction.inventors ORDER BY rec_id) AS inventors, list(prediction.assignees ORDER BY rec_id) AS assignees
+                   FROM predictions_all WHERE prediction IS NOT NULL GROUP BY 1),
+        {order}, {copied}, {_MERGED_ENTITIES}, {_MERGED_LISTS}
+        SELECT file_name, {one}, {alone} FROM checked LEFT JOIN people USING (file_name)"""
+
+
+_VOTED = ("title", "inventors", "assignees", "pub_date_application", "pub_date_publication", "pub_date_foreign", "classification", "industrial_field")
+
+
+def _vote_key(field: str) -> str:
+    """The form in which values are compared; null where the value is missing."""
+    if field in ("inventors", "assignees"):
+        one = lambda k: f"coalesce('=' || x.{k}, '')"
+        return f"CASE WHEN len(prediction.{field}) > 0 THEN list_aggregate(list_transform(prediction.{field}, lambda x: coalesce({one('name')} || chr(1) || {one('address')}, '-')), 'string_agg', chr(2)) END"
+    return f"nullif({sql.lowered('prediction.' + field)}, '')"
 
 
 _VARIANCE = ", ".join(
-    f"round(CASE WHEN count({k}) FILTER (WHERE {k} <> '') > 1 THEN (count(DISTINCT {k}) FILTER (WHERE {k} <> '') - 1)::DOUBLE / (count({k}) FILTER (WHERE {k} <> '') - 1) ELSE 0 END, 6) AS {f}"
-    for f, k in ((f, f"({sql.lowered('prediction.' + f)})") for f in scoring.SCALARS)
+    f"round(CASE WHEN count({f}) > 1 THEN (count(DISTINCT {f}) - 1)::DOUBLE / (count({f}) - 1) ELSE 0 END, 6) AS {f}" for f in _VOTED
 )
+_VARIANCE_SQL = f"""
+    WITH k AS (SELECT file_name, {', '.join(f'{_vote_key(f)} AS {f}' for f in _VOTED)} FROM predictions_all WHERE prediction IS NOT NULL),
+    v AS (SELECT file_name, {_VARIANCE} FROM k GROUP BY 1)
+    SELECT *, round(({' + '.join(_VOTED)}) / {len(_VOTED)}, 6) AS mean FROM v"""
 
 ORACLE = {
     "company_detector": f"""
@@ -245,13 +288,10 @@ ORACLE = {
         WITH {_E},
         s AS (SELECT rec_id, kind, pos, {sql.strip("regexp_replace(name, '[();]', ' ', 'g')")} AS name,
                      nullif({sql.strip("regexp_replace(address, '[();]', ' ', 'g')")}, '') AS address FROM entities),
-        f AS (SELECT *, row_number() OVER (PARTITION BY rec_id, kind, {sql.lowered('name')}, address ORDER BY pos) AS rn FROM s WHERE name <> '')
+        f AS (SELECT *, row_number() OVER (PARTITION BY rec_id, kind, {sql.lowered('name')}, coalesce({sql.lowered('address')}, '') ORDER BY pos) AS rn FROM s WHERE name <> '')
         SELECT rec_id, kind, row_number() OVER (PARTITION BY rec_id, kind ORDER BY pos) AS pos, name, address FROM f WHERE rn = 1""",
     "entity_merge": f"""
-        WITH raw AS (SELECT file_name, rec_id, 'inventors' AS kind, unnest(prediction.inventors) AS e, generate_subscripts(prediction.inventors, 1) AS pos FROM predictions_all WHERE prediction IS NOT NULL
-                     UNION ALL SELECT file_name, rec_id, 'assignees', unnest(prediction.assignees), generate_subscripts(prediction.assignees, 1) FROM predictions_all WHERE prediction IS NOT NULL),
-        clean AS (SELECT file_name, kind, rec_id, pos, {sql.strip('e.name')} AS name, nullif({sql.strip('e.address')}, '') AS address FROM raw WHERE {sql.present('e.name')}),
-        firsts AS (SELECT *, row_number() OVER (PARTITION BY file_name, kind, {sql.lowered('name')}, address ORDER BY rec_id, pos) AS rn FROM clean)
+        WITH {_MERGED_ENTITIES}
         SELECT file_name, kind, row_number() OVER (PARTITION BY file_name, kind ORDER BY rec_id, pos) AS pos, name, address FROM firsts WHERE rn = 1""",
     "company_move": f"""
         WITH {_E},
@@ -287,7 +327,7 @@ ORACLE = {
         SELECT rec_id, round(completeness, 6) AS completeness, round(date_coherence, 6) AS date_coherence, round(entity_quality, 6) AS entity_quality, title_in_text,
                round(least(1.0::DOUBLE, 0.45::DOUBLE * completeness + 0.25::DOUBLE * date_coherence + 0.2::DOUBLE * entity_quality + 0.1::DOUBLE * title_in_text), 6) AS confidence FROM parts""",
     **{("merge_" + (p or "legacy")): _merge_sql(p) for p in (*scoring.POLICIES, None)},
-    "field_variance": f"SELECT file_name, {_VARIANCE} FROM predictions_all WHERE prediction IS NOT NULL GROUP BY 1",
+    "field_variance": _VARIANCE_SQL,
     "json_shred": """
         SELECT raw_id, json_extract_string(p, '$.file') AS file, json_extract_string(p, '$.answer.passes[0].chunks[0].prediction.title') AS title,
                json_extract_string(p, '$.answer.passes[0].chunks[0].usage.prompt_tokens')::BIGINT AS prompt_tokens, p IS NOT NULL AS valid

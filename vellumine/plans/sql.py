@@ -44,6 +44,6 @@ ENTITIES = f"""
     raw AS (SELECT rec_id, 'inventors' AS kind, unnest(prediction.inventors) AS e, generate_subscripts(prediction.inventors, 1) AS pos FROM predictions_all WHERE prediction IS NOT NULL
             UNION ALL SELECT rec_id, 'assignees', unnest(prediction.assignees), generate_subscripts(prediction.assignees, 1) FROM predictions_all WHERE prediction IS NOT NULL),
     clean AS (SELECT rec_id, kind, pos, {strip('e.name')} AS name, nullif({strip('e.address')}, '') AS address FROM raw WHERE {present('e.name')}),
-    firsts AS (SELECT *, row_number() OVER (PARTITION BY rec_id, kind, {lowered('name')}, address ORDER BY pos) AS rn FROM clean),
+    firsts AS (SELECT *, row_number() OVER (PARTITION BY rec_id, kind, {lowered('name')}, coalesce({lowered('address')}, '') ORDER BY pos) AS rn FROM clean),
     entities AS (SELECT rec_id, kind, name, address, row_number() OVER (PARTITION BY rec_id, kind ORDER BY pos) AS pos FROM firsts WHERE rn = 1)
 """
