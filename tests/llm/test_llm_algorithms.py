@@ -241,25 +241,30 @@ def brute_unit(text, limit):
     return "none"
 
 
-@pytest.mark.parametrize("range_chars", [50, 1_000])
+@pytest.mark.parametrize("range_chars", [7, 50, 1_000])
 def test_range_summaries_stitch(range_chars):
     random.seed(7)
-    halo = 60
+    for limit in (10, 30):
+        for _ in range(150):
+            text = "".join(random.choices(["word ", "longerword ", "\n", "\n \n", "x", "  "], [5, 2, 2, 1, 3, 1], k=random.randint(1, 120)))
+            parts = [split._summary(text[a : a + range_chars]) for a in range(0, len(text), range_chars)]
+            assert split._unit(parts, limit) == brute_unit(text, limit)
+
+
+@pytest.mark.parametrize("range_chars", [60, 77, 1_000])
+def test_boundary_tables_stitch(range_chars):
+    random.seed(8)
     for _ in range(150):
-        text = "".join(random.choices(["word ", "longerword ", "\n", "\n \n", "x"], [5, 2, 2, 1, 3], k=random.randint(1, 120)))
-        n = max(1, -(-len(text) // range_chars))
-        longest = open_ = line = word = 0
-        for k in range(n):
-            part = text[k * range_chars : k * range_chars + range_chars + halo]
-            own, lost = split._own(part, k, k == n - 1, range_chars, halo)
-            a, w, first, inner, final, blank = split._summary(own)
-            if lost:
-                a = first = final = max(halo, a)
-            line, word = max(line, a), max(word, w)
-            glued = open_ + first + (1 if open_ and first else 0)
-            longest, open_ = max(longest, inner, glued), final if blank else glued
-        got = "paragraph" if max(longest, open_) <= 30 else "line" if line <= 30 else "word" if word <= 30 else "none"
-        assert got == brute_unit(text, 30) or line >= halo
+        text = "".join(random.choices(["word ", "longerword ", "\n", "\n \n", "x" * 30, "\n\n\n"], [9, 5, 2, 1, 2, 1], k=random.randint(1, 150)))
+        whole = split._Plan(60, 12).add(len(text), split._boundaries(text, "", 60), True)
+        run, got = split._Plan(60, 12), []
+        for a in range(0, len(text), range_chars):
+            own, behind = text[a : a + range_chars], text[a + range_chars : a + range_chars + 60]
+            got += run.add(len(own), split._boundaries(own, behind, 60), a + range_chars >= len(text))
+        assert got == whole
+        for (_, s, e, unit), (_, s2, _, _) in zip(got, got[1:]):
+            inner = text[s + 31 : s + 60]
+            assert e - s <= 60 and s2 == e - 12 and (unit != "none" or not any(c.isspace() for c in inner[:-1]))
 
 
 def test_letters_by_expectation():

@@ -126,6 +126,7 @@ def texts(spark, values, key="id", column="t"):
 def test_pieces_cover_their_texts(spark):
     random.seed(1)
     values = [None, "", "short", "".join(random.choices(["word ", "w\n", "\n\n", "xxxxxxxxxx"], k=900)), "x" * 3000, "字 " * 1500]
+    whole = None
     for range_chars in (500, 1 << 20):
         got = split.pieces(texts(spark, values), "id", "t", 300, 40, range_chars).collect()
         for i, t in enumerate(values):
@@ -136,14 +137,32 @@ def test_pieces_cover_their_texts(spark):
             assert own[0]["start"] == 0 and own[-1]["start"] + own[-1]["length"] == len(t) and max(r["length"] for r in own) <= 300
             assert all(b["start"] == a["start"] + a["length"] - 40 for a, b in zip(own, own[1:]))
             assert all(r["piece"] == t[r["start"] : r["start"] + r["length"]] for r in own)
-    with pytest.raises(ValueError):
-        split.pieces(texts(spark, values), "id", "t", 300, 200)
+        rows = sorted(map(tuple, got))
+        assert whole in (None, rows)  # the same by ranges and in one
+        whole = rows
+    for wrong in ((300, 200, 500), (300, 40, 200)):
+        with pytest.raises(ValueError):
+            split.pieces(texts(spark, values), "id", "t", *wrong)
+
+
+def test_files_by_byte_ranges(spark, tmp_path):
+    random.seed(2)
+    values = ["", "short é", "字é word\n" * 900, "".join(random.choices(["wörd ", "wé\n", "\n\n", "字" * 10], k=2500))]
+    for i, t in enumerate(values):
+        (tmp_path / f"{i} f.txt").write_text(t, encoding="utf-8")
+    got = split.file_pieces(spark, str(tmp_path), 300, 40, 1_501)
+    assert got.select("path").distinct().count() == 3  # an empty file isn't read
+    want = {tuple(r) for r in split.pieces(texts(spark, values), "id", "t", 300, 40).collect() if r["id"]}
+    assert {(int(r["path"].split("/")[-1][0]), *r[1:]) for r in got.collect()} == want
+    units = {int(r["path"].split("/")[-1][0]): r["boundary"] for r in split.file_boundary_units(spark, str(tmp_path), 300, 1_501).collect()}
+    assert units == {r["id"]: r["boundary"] for r in split.boundary_units(texts(spark, values), "id", "t", 300).collect()}
 
 
 def test_units(spark):
     values = [None, "", "x" * 50, "a\n\n" + "b " * 30, "a\n" * 40, "x" * 200]
-    got = {r["id"]: r["boundary"] for r in split.boundary_units(texts(spark, values), "id", "t", 40).collect()}
-    assert got == {2: "none", 3: "word", 4: "line", 5: "none"}
+    for range_chars in (45, 1 << 20):
+        got = {r["id"]: r["boundary"] for r in split.boundary_units(texts(spark, values), "id", "t", 40, range_chars).collect()}
+        assert got == {2: "none", 3: "word", 4: "line", 5: "none"}
 
 
 def test_ids(spark):

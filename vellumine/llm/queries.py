@@ -75,7 +75,31 @@ QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_paragraphs, p3_found,
 _WS = r"\t\n\x0b\x0c\r \x1c-\x1f\x{0085}\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 _INNER = _WS.replace(r"\n", "")
 
+#: What may count as characters up to a boundary of each kind, as SQL patterns.
+_UPTO = {"paragraphs": rf"(?s:.*?)\n(?:[{_INNER}]*\n)+", "lines": r"[^\n]*\n", "words": rf"[^{_WS}]*[{_WS}]+"}
+_PLACES = ", ".join(
+    f"list_transform(range(1, len({k}) + 1), lambda i: list_sum(list_transform({k}[1:i], lambda x: length(x)))::BIGINT) AS {k}" for k in _UPTO
+)
+
+
+def _last(kind: str) -> str:
+    """SQL of the last boundary of a kind in the window of the piece that starts at s."""
+    return f"list_last(list_filter({kind}, lambda x: x > s + 3500 AND x <= s + 7000))"
+
+
 ORACLE = {
+    "p3_pieces": rf"""
+        WITH RECURSIVE u AS (SELECT rec_id, ocr_text, length(ocr_text) AS n, {', '.join(f"CASE WHEN length(ocr_text) > 7000 THEN regexp_extract_all(ocr_text, '{p}') ELSE [] END AS {k}" for k, p in _UPTO.items())}
+                             FROM predictions_all WHERE ocr_text IS NOT NULL),
+        b AS (SELECT rec_id, ocr_text, n, {_PLACES} FROM u),
+        p AS (SELECT rec_id, 0 AS piece_no, 0::BIGINT AS s FROM b
+              UNION ALL
+              SELECT p.rec_id, piece_no + 1, coalesce({_last('paragraphs')}, {_last('lines')}, {_last('words')}, s + 7000) - 800 FROM p JOIN b USING (rec_id) WHERE n - s > 7000),
+        e AS (SELECT rec_id, piece_no, s, ocr_text, CASE WHEN n - s <= 7000 THEN n ELSE coalesce({_last('paragraphs')}, {_last('lines')}, {_last('words')}, s + 7000) END AS e,
+                     CASE WHEN n - s <= 7000 THEN 'end' WHEN {_last('paragraphs')} IS NOT NULL THEN 'paragraph' WHEN {_last('lines')} IS NOT NULL THEN 'line'
+                          WHEN {_last('words')} IS NOT NULL THEN 'word' ELSE 'none' END AS cut FROM p JOIN b USING (rec_id))
+        SELECT rec_id, piece_no, s AS start, e - s AS length, cut, substring(ocr_text, s + 1, e - s) AS piece FROM e
+    """,
     "p3_found": rf"""
         WITH t AS (SELECT rec_id, ocr_text FROM predictions_all WHERE length(ocr_text) > 7000),
         l AS (SELECT rec_id, list_max(list_transform(string_split(ocr_text, chr(10)), lambda x: length(x))) AS line,
