@@ -101,7 +101,7 @@ def test_passages_by_brute_force():
     random.seed(3)
     words = [f"w{i}" for i in range(400)]
     items = [(i, " ".join(random.choices(words, k=60))) for i in range(30)]
-    block = leakage._Items(items)
+    block = leakage._Items.of_texts(items)
     texts, want = [], set()
     for n in range(60):
         body = random.choices(words, k=80)
@@ -124,7 +124,7 @@ def test_passage_across_line_breaks():
     text = "Der Deckel sitzt auf der Achse und wird vom Rad " * 3
     item = [(1, "Die Größe des Rades bestimmt den Weg der Kurbel; sie läuft über zwölf Zähne, bevor das Seil die grüne Klappe am Gehäuse öffnet und schließt.")]
     body = item[0][1].replace("Zähne", "Zäh-\nne").replace("Größe", "Groesse").replace("über", "ÜBER")
-    assert [x[:2] for x in leakage.find_passages([text + body, text, "", None], leakage._Items(item))] == [(0, 1)]
+    assert [x[:2] for x in leakage.find_passages([text + body, text, "", None], leakage._Items.of_texts(item))] == [(0, 1)]
 
 
 def test_token_parts_concatenate():

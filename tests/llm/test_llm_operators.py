@@ -181,12 +181,40 @@ def test_leaks(spark):
     item = " ".join(f"word{i}" for i in range(40))
     items = spark.createDataFrame([(1, item), (2, item), (3, None), (4, ""), (5, "too short")], "item_id long, text string").withColumn("words", F.lit(0))
     docs = texts(spark, ["intro " + item.upper().replace("WORD7 ", "odd "), "word1 word2 word3", None, "", " ".join(item.split()[:12])])
-    for block_words in (1_000_000, 40):
-        got = {(r["id"], r["item_id"]) for r in leakage.leaks(docs, items, "id", "t", block_words=block_words).collect()}
-        assert got == {(0, 1), (0, 2)}
+    rows = set()
+    for held in (1_000_000, 40):  # sent to the workers, and joined by shuffle
+        got = leakage.leaks(docs, items, "id", "t", held_words=held, filter_bits=1 << 12).collect()
+        assert {(r["id"], r["item_id"]) for r in got} == {(0, 1), (0, 2)} and len(got) == 2
+        rows.add(tuple(sorted((r["id"], r["item_id"], r["words"], round(r["agreement"], 9)) for r in got)))
+    assert len(rows) == 1
+    assert leakage.leaks(docs.limit(0), items, "id", "t", held_words=1).count() == 0
     assert leakage.leaks(docs, items.limit(0), "id", "t").count() == 0 == leakage.leaks(docs.limit(0), items, "id", "t").count()
 
 
+def test_recall_of_changed_passages(spark):
+    random.seed(4)
+    vocabulary = ["".join(random.choices("abcdefghilmnoprstu", k=random.randint(3, 9))) for _ in range(1500)]
+    weights = [1 / (i + 3) for i in range(1500)]
+
+    def draw(n):
+        return random.choices(vocabulary, weights, k=n)
+
+    items = [draw(70) for _ in range(60)]
+    docs, want = [], set()
+    for i in range(240):
+        item, at, changed = random.randrange(60), random.randrange(30), i % 3
+        passage = items[item][at : at + 26]
+        for place in random.sample(range(3, 23), changed):
+            passage[place] = random.choice(vocabulary)
+        docs.append(" ".join(draw(40) + passage + draw(40)))
+        want.add((i, item))
+    docs += [" ".join(draw(80) + items[i % 60][10:22] + draw(30)) for i in range(60)]  # too short
+    table = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    got = {held: {(r["id"], r["item_id"]) for r in leakage.leaks(texts(spark, docs), table, "id", "t", held_words=held).collect()} for held in (10**6, 0)}
+    recall, precision = recall_and_precision(got[0], want)
+    assert got[0] == got[10**6] and recall >= 0.9 and precision >= 0.95, (recall, precision)
+
+
 def test_wrong_encoding(spark):
     broken = DE.encode().decode("cp1252"), DE.encode("cp1252").decode("mac_roman"), "Das R�d", FR.encode("cp1252").decode("cp1251")
     values = [DE] * 30 + [FR] * 30 + list(broken) + [None, "", "plain", "Завод Триволь указан.", "Die M&uuml;hle läuft.", "São Ø Å ≈"]

@@ -9,9 +9,11 @@ between the two positions. Around the hits of a diagonal the two word sequences
 compared word by word, tolerating substitutions; stretches on neighbouring diagonals are
 joined, so a word left out, put in or broken in two does no harm.
 
-The evaluation side is broadcast in blocks of a bounded number of words, and each block runs
-over all texts: a larger evaluation set costs more passes, not more memory of a worker. The
-driver reads the evaluation side once and holds it, so it must fit there; the texts never do.
+An evaluation side of up to ``held_words`` words is sent to the workers, which then find and
+verify in one pass over the texts. A larger one stays distributed: its seeds set the bits of a
+filter of fixed size, the texts' seeds that pass it are joined to the items' seeds by a shuffle
+(seeds only, so a frequent one costs a few bytes a text), and the pairs found this way are
+verified in just the same way. The rarity of a word is counted once over all items in both.
 
 Defined cases: null, empty and blank texts and items share nothing; an item shorter than
 ``least`` words can't be found; repeated items are each reported; a document and an item
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from vellumine.llm.edits import distance
+from vellumine.session import cut
 
 #: Positions of the six words of a seed; fixed values, see the module's text.
 MASKS = ((0, 1, 3, 4, 5, 6), (0, 1, 5, 7, 8, 9), (0, 1, 3, 4, 5, 7))
@@ -38,8 +42,9 @@ LEAST = 20
 #: The share of them that agrees, each weighted by its rarity among the items: texts of one
 #: kind share turns of phrase, and differ in just the rare words. Long passages need less.
 AGREE, AGREE_LONG, LONG = 0.9, 0.87, 32
-#: Words of the evaluation side in one block.
-BLOCK_WORDS = 1_000_000
+#: Most words of an evaluation side that is sent to the workers (some 100 bytes a word there),
+#: and bits of the filter where it isn't.
+HELD_WORDS, FILTER_BITS = 500_000, 1 << 27
 _BREAK = re.compile(r"(?<=\w)[-‐¬­]\s*\n\s*(?=\w)")
 _HIDDEN = re.compile("[­​-‏⁠﻿]")
 _WORD = re.compile(r"[^\W_]+")
@@ -68,24 +73,22 @@ def words_of(text: str) -> tuple[list[str], list[int]]:
 
 
 class _Items:
-    """A block of the evaluation side: vocabulary, seeds, and the items' word numbers."""
+    """Items of the evaluation side: vocabulary, seeds, and the items' word numbers.
 
-    def __init__(self, items: list[tuple[int, str]]):
-        self.ids, self.words, self.codes, self.numbers = [], [], [], []
+    Built from (item, words, numbers, weights); an item of fewer than half of LEAST words is left out.
+    """
+
+    def __init__(self, items: list[tuple]):
+        self.ids, self.words, self.codes, self.numbers, self.weights = [], [], [], [], []
         self.vocabulary: dict[str, int] = {}
-        for item, text in items:
-            words, numbers = words_of(text or "")
-            if numbers and numbers[-1] + 1 >= LEAST // 2:
+        for item, words, numbers, weights in items:
+            if _long_enough(numbers):
                 self.ids.append(item)
-                self.words.append(words)
+                self.words.append(list(words))
                 self.codes.append(np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words], dtype=np.int64))
                 self.numbers.append(np.array(numbers))
+                self.weights.append(np.array(weights, dtype=float))
         self.lengths = np.array([len(c) for c in self.codes], dtype=np.int64)
-        holders = np.zeros(len(self.vocabulary), dtype=np.int64)
-        for c in self.codes:
-            holders[np.unique(c)] += 1
-        rarity = np.log((1 + len(self.codes)) / np.maximum(holders, 1)) + 0.2
-        self.weights = [rarity[c] for c in self.codes]
         self.starts = np.concatenate([[0], np.cumsum(self.lengths + SPAN)]).astype(np.int64)
         self.flat = np.full(int(self.starts[-1]) + SPAN, -2, dtype=np.int64)
         self.owner = np.zeros(len(self.flat), dtype=np.int64)
@@ -99,6 +102,23 @@ class _Items:
             unique, first, count = np.unique(keys[order], return_index=True, return_counts=True)
             self.seeds.append((unique, first, count, places[order]))
 
+    @classmethod
+    def of_texts(cls, items: list[tuple[int, str]]) -> "_Items":
+        """All items from their texts."""
+        read = [(item, *words_of(text or "")) for item, text in items]
+        read = [r for r in read if _long_enough(r[2])]
+        holders = Counter(w for _, words, _ in read for w in set(words))
+        return cls([(item, words, numbers, [rarity(len(read), holders[w]) for w in words]) for item, words, numbers in read])
+
+
+def _long_enough(numbers) -> bool:
+    return len(numbers) > 0 and numbers[-1] + 1 >= LEAST // 2
+
+
+def rarity(items: int, holders: int) -> float:
+    """The weight of a word that so many of the items hold."""
+    return float(np.log((1 + items) / max(holders, 1)) + 0.2)
+
 
 def _seeds(codes: np.ndarray, mask: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the seeds without an unknown word, and their positions."""
@@ -117,29 +137,41 @@ def _seeds(codes: np.ndarray, mask: tuple[int, ...]) -> tuple[np.ndarray, np.nda
     return key, places
 
 
-def _stretches(match: np.ndarray) -> list[tuple[int, int]]:
-    """Stretches of a diagonal that agree: (first, last).
+def _stretches(same: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches of diagonals (rows) that agree: row, first, last.
 
-    A disagreement costs three agreements; a stretch begins and ends with an agreement.
+    A disagreement costs three agreements; a stretch begins and ends with an agreement and has
+    at least four more agreements than it loses. All rows are walked at once.
     """
-    out, score, best, start, end = [], 0, 0, -1, -1
-    for i, m in enumerate(match):
-        score = score + 1 if m else score - 3
-        if m and score == 1 and start < 0:
-            start = i
-        if score > best:
-            best, end = score, i
-        if score <= 0:
-            if best >= 4:
-                out.append((start, end))
-            score, best, start = 0, 0, -1
-    if best >= 4:
-        out.append((start, end))
-    return out
+    rows = len(same)
+    score, best = np.zeros(rows, dtype=np.int64), np.zeros(rows, dtype=np.int64)
+    start, end = np.full(rows, -1, dtype=np.int64), np.full(rows, -1, dtype=np.int64)
+    out = []
 
+    def close(which: np.ndarray) -> None:
+        which = which[best[which] >= 4]
+        if len(which):
+            out.append((which, start[which].copy(), end[which].copy()))
 
-def find_passages(texts: list[str], block: _Items) -> list[tuple[int, int, int, float]]:
-    """(index of the text, item, words, share in agreement) of every passage found."""
+    for i in range(same.shape[1]):
+        m = same[:, i]
+        score += np.where(m, 1, -3)
+        start[m & (score == 1) & (start < 0)] = i
+        better = score > best
+        best[better] = score[better]
+        end[better] = i
+        over = np.flatnonzero(score <= 0)
+        if len(over):
+            close(over[start[over] >= 0])
+            score[over], best[over], start[over] = 0, 0, -1
+    close(np.flatnonzero(start >= 0))
+    if not out:
+        return (np.empty(0, np.int64),) * 3
+    return tuple(np.concatenate(part) for part in zip(*out))
+
+
+def find_passages(texts: list[str], block: _Items, least: int = LEAST) -> list[tuple[int, int, int, float]]:
+    """(index of the text, item, words, share in agreement) of every passage of ``least`` words found."""
     get = block.vocabulary.get
     parts, starts, at = [], [], 0
     for t in texts:
@@ -169,12 +201,13 @@ def find_passages(texts: list[str], block: _Items) -> list[tuple[int, int, int,
         pairs.append((origin + SPAN * 1_000) * len(block.ids) + item)
     if not pairs:
         return []
-    packed, hits = np.unique(np.concatenate(pairs), return_counts=True)
+    packed = np.unique(np.concatenate(pairs))
     item = packed % len(block.ids)
     origin = packed // len(block.ids) - SPAN * 1_000
     # Agreement along each diagonal, in blocks of diagonals, all at once.
     longest = int(block.lengths.max())
-    keep = []
+    by: dict[tuple[int, int], list[tuple[int, int, int, np.ndarray]]] = {}
+    parts_ = []  # text, item, first, last, diagonal, agreements
     for a in range(0, len(packed), 20_000):
         o, k = origin[a : a + 20_000], item[a : a + 20_000]
         reach = np.arange(longest)
@@ -184,16 +217,20 @@ def find_passages(texts: list[str], block: _Items) -> list[tuple[int, int, int,
         # the most agreements in any 10 words: enough for a part of a passage?
         total = np.cumsum(np.pad(same, ((0, 0), (1, 0))), axis=1)
         dense = (total[:, 10:] - total[:, :-10]).max(axis=1) >= 8 if longest >= 10 else same.sum(axis=1) >= 8
-        keep += [(int(x), int(y), same[j]) for j, (x, y) in enumerate(zip(o, k)) if dense[j]]
-    by: dict[tuple[int, int], list[tuple[int, int, int, np.ndarray]]] = {}
-    for o, k, same in keep:
-        for s, e in _stretches(same):
-            text = int(np.searchsorted(starts_, o + s, "right")) - 1
-            by.setdefault((text, k), []).append((o - starts[text], s, e, same))
+        o, k, same = o[dense], k[dense], same[dense]
+        row, first, last = _stretches(same)
+        text = np.searchsorted(starts_, o[row] + first, "right") - 1
+        parts_.append((text, k[row], first, last, o[row] - starts_[text], same, row))
+    # of a text and an item only if the stretches together are long enough
+    text, items_, first, last, diagonal = (np.concatenate(x) for x in list(zip(*parts_))[:5])
+    pair, whose = np.unique(text * len(block.ids) + items_, return_inverse=True)
+    enough = np.bincount(whose, last - first + 1, len(pair))[whose] >= least - 4 if len(pair) else np.zeros(0, dtype=bool)
+    part = np.repeat(np.arange(len(parts_)), [len(x[0]) for x in parts_])[enough]
+    row = np.concatenate([x[6] for x in parts_])[enough]
+    for t, k, d, s, e, p, r in zip(*(x.tolist() for x in (text[enough], items_[enough], diagonal[enough], first[enough], last[enough], part, row))):
+        by.setdefault((t, k), []).append((d, s, e, parts_[p][5][r]))
     out = []
     for (text, k), found in by.items():
-        if sum(e - s + 1 for _, s, e, _ in found) < LEAST - 4:
-            continue
         best = (0, 0.0)
         own_words = None
         found.sort(key=lambda x: (x[1], x[2]))
@@ -208,7 +245,7 @@ def find_passages(texts: list[str], block: _Items) -> list[tuple[int, int, int,
                     diagonals |= dict.fromkeys(range(s2, e2 + 1), d2)
                     diagonal, e = d2, e2
             words = int(numbers[e] - numbers[s]) + 1
-            if words <= max(best[0], LEAST // 2):
+            if words < least or words <= best[0]:
                 continue
             if own_words is None:
                 own_words = _WORD.findall(normal(texts[text]))
@@ -225,36 +262,117 @@ def find_passages(texts: list[str], block: _Items) -> list[tuple[int, int, int,
     return out
 
 
-def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST, block_words: int = BLOCK_WORDS) -> DataFrame:
+def _chunked_passages(texts: list[str], block: _Items, least: int) -> Iterator[tuple[int, int, int, float]]:
+    """find_passages over a batch in parts of about as much text, so that memory has a bound."""
+    at, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size > 2_000_000 or i - at >= 1_000 or i + 1 == len(texts):
+            for found, *rest in find_passages(texts[at : i + 1], block, least):
+                yield (at + found, *rest)
+            at, size = i + 1, 0
+
+
+def leaks(
+    documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST, held_words: int = HELD_WORDS, filter_bits: int = FILTER_BITS
+) -> DataFrame:
     """The passages: key, item_id, words, agreement; one row each document and item.
 
-    items needs item_id and text. Further columns of either side don't matter.
+    items needs item_id and text. Further columns of either side don't matter. An evaluation
+    side of more than ``held_words`` words is joined instead of sent; the rows are the same.
     """
     kind = dict(documents.dtypes)[key]
-    spark = documents.sparkSession
-    blocks: list[list[tuple[int, str]]] = [[]]
-    size = 0
-    for row in items.select("item_id", "text").filter("text is not null").toLocalIterator():
-        n = len(row["text"].split())
-        if size and size + n > block_words:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((row["item_id"], row["text"]))
-        size += n
+    schema = f"_key {kind}, item_id bigint, words int, agreement double"
+    wanted = items.select(F.col("item_id").cast("bigint").alias("item_id"), "text").filter("text is not null")
     source = documents.filter(F.length(text) > 0).select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    found = None
-    for block in blocks:
-        sent = spark.sparkContext.broadcast(block)
-
-        def work(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            own = _Items(sent.value)
-            for batch in batches:
-                for a in range(0, len(batch), 1_000):
-                    some = batch.iloc[a : a + 1_000]
-                    keys = some["_key"].tolist()
-                    rows = [(keys[i], item, words, share) for i, item, words, share in (find_passages(some["_text"].tolist(), own) if own.ids else ()) if words >= least]
-                    yield pd.DataFrame(rows, columns=["_key", "item_id", "words", "agreement"])
-
-        part = source.mapInPandas(work, f"_key {kind}, item_id bigint, words int, agreement double")
-        found = part if found is None else found.unionByName(part)
-    return found.withColumnRenamed("_key", key)
+    total = wanted.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
+    if total > held_words:
+        return _joined(source, wanted, least, filter_bits, schema).withColumnRenamed("_key", key)
+    sent = documents.sparkSession.sparkContext.broadcast([(r["item_id"], r["text"]) for r in wanted.collect()])
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = _Items.of_texts(sent.value)
+        for batch in batches:
+            keys = batch["_key"].tolist()
+            rows = [(keys[i], *rest) for i, *rest in (_chunked_passages(batch["_text"].tolist(), own, least) if own.ids else ())]
+            yield pd.DataFrame(rows, columns=["_key", "item_id", "words", "agreement"])
+
+    return source.mapInPandas(work, schema).withColumnRenamed("_key", key)
+
+
+def _hashed_seeds(words: list[str]) -> np.ndarray:
+    """The distinct seeds of a sequence of words over all masks, by hashes of the words."""
+    import xxhash
+
+    codes = np.array([xxhash.xxh3_64_intdigest(w) >> 2 for w in words] + [-1] * SPAN, dtype=np.int64)
+    found = [_seeds(codes, mask)[0] ^ np.uint64(_MIX[n]) for n, mask in enumerate(MASKS)]
+    return np.unique(np.concatenate(found)).view(np.int64)
+
+
+def _bits(seeds: np.ndarray, filter_bits: int) -> list[np.ndarray]:
+    """Four places of each seed in the filter."""
+    u = seeds.view(np.uint64)
+    return [((u * _MIX[n]) >> np.uint64(20)) % np.uint64(filter_bits) for n in range(4)]
+
+
+def _joined(source: DataFrame, wanted: DataFrame, least: int, filter_bits: int, schema: str) -> DataFrame:
+    """The passages where the evaluation side stays distributed."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(item, *words_of(t)) for item, t in zip(batch["item_id"].tolist(), batch["text"])]
+            yield pd.DataFrame([r for r in rows if _long_enough(r[2])], columns=["item_id", "words", "numbers"])
+
+    def seeds_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [_hashed_seeds(list(w)) for w in batch["words"]]
+            yield pd.DataFrame({"seed": np.concatenate([*found, np.empty(0, np.int64)]), "item_id": np.repeat(batch["item_id"].to_numpy(), [len(f) for f in found])})
+
+    def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"place": np.concatenate(_bits(batch["seed"].to_numpy(), filter_bits)).astype(np.int64)})
+
+    spark = source.sparkSession
+    # repeated items are told apart by their row
+    read_ = cut(wanted.withColumn("row", F.monotonically_increasing_id()).select(F.col("row").alias("item_id"), "text").mapInPandas(read, "item_id bigint, words array<string>, numbers array<int>"))
+    names = cut(wanted.select(F.monotonically_increasing_id().alias("row"), F.col("item_id").alias("name")))
+    total = read_.agg(F.count("*").alias("n"))
+    each = read_.select("item_id", F.posexplode("words").alias("at", "word"))
+    holders = each.groupBy("word").agg(F.countDistinct("item_id").alias("holders"))
+    weight = (F.log((F.col("n") + 1) / F.col("holders")) + 0.2).alias("weight")
+    weights = each.join(holders, "word").join(F.broadcast(total)).groupBy("item_id").agg(F.array_sort(F.collect_list(F.struct("at", weight))).alias("w"))
+    told = cut(read_.join(weights, "item_id").select("item_id", "words", "numbers", F.col("w.weight").alias("weights")))
+    seeds = cut(read_.mapInPandas(seeds_of, "seed bigint, item_id bigint"))
+    # at most filter_bits / 64 rows come to the driver
+    rows = seeds.select("seed").mapInPandas(places, "place bigint").groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits")).collect()
+    bits = np.zeros(filter_bits // 64 + 1, dtype=np.int64)
+    bits[[r["word"] for r in rows]] = [r["bits"] for r in rows]
+    sent = spark.sparkContext.broadcast(bits.view(np.uint64))
+    kind = dict(source.dtypes)["_key"]
+
+    def passing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keys, out = batch["_key"].tolist(), []
+            for k, t in zip(keys, batch["_text"]):
+                own = _hashed_seeds(_WORD.findall(normal(t)))
+                there = np.ones(len(own), dtype=bool)
+                for place in _bits(own, filter_bits):
+                    there &= (sent.value[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+                out += [(k, x) for x in own[there].tolist()]
+            yield pd.DataFrame(out, columns=["_key", "seed"])
+
+    met = source.mapInPandas(passing, f"_key {kind}, seed bigint").join(seeds, "seed").select("_key", "item_id").distinct()
+    pairs = met.join(told, "item_id").join(source, "_key")
+
+    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for item, some in batch.groupby("item_id", sort=False):
+                first = some.iloc[0]
+                own = _Items([(item, first["words"], first["numbers"], first["weights"])])
+                keys = some["_key"].tolist()
+                out += [(keys[i], *rest) for i, *rest in _chunked_passages(some["_text"].tolist(), own, least)]
+            yield pd.DataFrame(out, columns=["_key", "row", "words", "agreement"])
+
+    found = pairs.mapInPandas(verify, schema.replace("item_id", "row"))
+    return found.join(names, "row").select("_key", F.col("name").alias("item_id"), "words", "agreement")
