@@ -32,6 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from vellumine.llm.edits import distance
+from vellumine.llm.filters import FILTER_BITS, fixed_filter, passing
 from vellumine.session import cut
 
 #: Positions of the six words of a seed; fixed values, see the module's text.
@@ -42,9 +43,8 @@ LEAST = 20
 #: The share of them that agrees, each weighted by its rarity among the items: texts of one
 #: kind share turns of phrase, and differ in just the rare words. Long passages need less.
 AGREE, AGREE_LONG, LONG = 0.9, 0.87, 32
-#: Most words of an evaluation side that is sent to the workers (some 100 bytes a word there),
-#: and bits of the filter where it isn't.
-HELD_WORDS, FILTER_BITS = 500_000, 1 << 27
+#: Most words of an evaluation side that is sent to the workers, some 100 bytes a word there.
+HELD_WORDS = 500_000
 _BREAK = re.compile(r"(?<=\w)[-‐¬­]\s*\n\s*(?=\w)")
 _HIDDEN = re.compile("[­​-‏⁠﻿]")
 _WORD = re.compile(r"[^\W_]+")
@@ -309,12 +309,6 @@ def _hashed_seeds(words: list[str]) -> np.ndarray:
     return np.unique(np.concatenate(found)).view(np.int64)
 
 
-def _bits(seeds: np.ndarray, filter_bits: int) -> list[np.ndarray]:
-    """Four places of each seed in the filter."""
-    u = seeds.view(np.uint64)
-    return [((u * _MIX[n]) >> np.uint64(20)) % np.uint64(filter_bits) for n in range(4)]
-
-
 def _joined(source: DataFrame, wanted: DataFrame, least: int, filter_bits: int, schema: str) -> DataFrame:
     """The passages where the evaluation side stays distributed."""
 
@@ -328,10 +322,6 @@ def _joined(source: DataFrame, wanted: DataFrame, least: int, filter_bits: int,
             found = [_hashed_seeds(list(w)) for w in batch["words"]]
             yield pd.DataFrame({"seed": np.concatenate([*found, np.empty(0, np.int64)]), "item_id": np.repeat(batch["item_id"].to_numpy(), [len(f) for f in found])})
 
-    def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"place": np.concatenate(_bits(batch["seed"].to_numpy(), filter_bits)).astype(np.int64)})
-
     spark = source.sparkSession
     # repeated items are told apart by their row
     read_ = cut(wanted.withColumn("row", F.monotonically_increasing_id()).select(F.col("row").alias("item_id"), "text").mapInPandas(read, "item_id bigint, words array<string>, numbers array<int>"))
@@ -343,25 +333,16 @@ def _joined(source: DataFrame, wanted: DataFrame, least: int, filter_bits: int,
     weights = each.join(holders, "word").join(F.broadcast(total)).groupBy("item_id").agg(F.array_sort(F.collect_list(F.struct("at", weight))).alias("w"))
     told = cut(read_.join(weights, "item_id").select("item_id", "words", "numbers", F.col("w.weight").alias("weights")))
     seeds = cut(read_.mapInPandas(seeds_of, "seed bigint, item_id bigint"))
-    # at most filter_bits / 64 rows come to the driver
-    rows = seeds.select("seed").mapInPandas(places, "place bigint").groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits")).collect()
-    bits = np.zeros(filter_bits // 64 + 1, dtype=np.int64)
-    bits[[r["word"] for r in rows]] = [r["bits"] for r in rows]
-    sent = spark.sparkContext.broadcast(bits.view(np.uint64))
+    sent = spark.sparkContext.broadcast(fixed_filter(seeds, "seed", filter_bits))
     kind = dict(source.dtypes)["_key"]
 
-    def passing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def possible(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keys, out = batch["_key"].tolist(), []
-            for k, t in zip(keys, batch["_text"]):
-                own = _hashed_seeds(_WORD.findall(normal(t)))
-                there = np.ones(len(own), dtype=bool)
-                for place in _bits(own, filter_bits):
-                    there &= (sent.value[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
-                out += [(k, x) for x in own[there].tolist()]
-            yield pd.DataFrame(out, columns=["_key", "seed"])
-
-    met = source.mapInPandas(passing, f"_key {kind}, seed bigint").join(seeds, "seed").select("_key", "item_id").distinct()
+            found = [_hashed_seeds(_WORD.findall(normal(t))) for t in batch["_text"]]
+            found = [x[passing(x, sent.value)] for x in found]
+            yield pd.DataFrame({"_key": batch["_key"].repeat([len(x) for x in found]), "seed": np.concatenate([*found, np.empty(0, np.int64)])})
+
+    met = source.mapInPandas(possible, f"_key {kind}, seed bigint").join(seeds, "seed").select("_key", "item_id").distinct()
     pairs = met.join(told, "item_id").join(source, "_key")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

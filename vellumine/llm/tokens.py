@@ -1,8 +1,7 @@
-"""Encoding a corpus with a public byte-level BPE vocabulary, each chunk once.
+"""Encoding a corpus with a public byte-level BPE vocabulary, each shared chunk once.
 
 A rolling hash over the characters sets content-defined chunk borders, so a passage that
-stands in many documents gives the same chunks in all of them. Every distinct chunk is
-encoded once and its ids are joined back.
+stands in many documents gives the same chunks in all of them.
 
 What a border does to the merges is repaired exactly. A position before a single space
 that stands between two visible characters always starts a new pre-token, whatever comes
@@ -12,6 +11,17 @@ the last certain position of one chunk to the first of the next, is re-encoded a
 string across the border; a chunk without a certain position becomes part of that string,
 so the re-encoded window widens until both ends are certain.
 
+Three passes over the texts, of which only the narrow sides are shuffled:
+
+1. the hashes of all cores are counted; those of two and more set the bits of a filter of
+   fixed size, which every task gets;
+2. a text without a shared core is encoded where it is;
+3. of the others, everything between shared cores is encoded where it is; a shared core
+   goes on as a digest. Each distinct core is encoded once and its ids are joined back.
+
+What passes the filter wrongly is treated as shared, which costs a shuffle of that core and
+changes no id.
+
 Defined cases: null and empty texts give an empty list; strings that look like special
 tokens are ordinary text; repeated texts give equal lists.
 """
@@ -27,14 +37,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from vellumine.session import cut
+from vellumine.llm.filters import FILTER_BITS, fixed_filter, passing
+from vellumine.session import cut, spread
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pattern that belongs to the vocabulary; a fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Characters the rolling hash sees, and the mean distance of its borders.
 WINDOW, SPACING = 24, 512
-_PRIME = np.uint64(1_099_511_628_211)
+_POWERS = {k: np.uint64(pow(1_099_511_628_211, k, 1 << 64)) for k in (1, 2, 4, 8, 16)}
 
 
 @lru_cache(maxsize=2)
@@ -47,82 +58,107 @@ def encoder(path: str, pattern: str = PATTERN):
     return tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-def _borders(codes: np.ndarray, spacing: int) -> list[int]:
+def _borders(codes: np.ndarray, spacing: int) -> np.ndarray:
     """Positions at which the hash of the WINDOW characters before asks for a border."""
-    if len(codes) <= WINDOW:
-        return []
-    mixed = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    hashed = np.zeros(len(codes) - WINDOW, dtype=np.uint64)
-    for i in range(WINDOW):
-        hashed = hashed * _PRIME + mixed[i : i + len(hashed)]
-    hashed ^= hashed >> np.uint64(29)
-    return (np.flatnonzero(hashed % np.uint64(spacing) == 0) + WINDOW).tolist()
+    n = len(codes)
+    if n <= WINDOW:
+        return np.empty(0, dtype=np.int64)
+    # hashes of 1, 2, 4, 8 and 16 characters, each from two of half the length; WINDOW is 8 + 16
+    hashed = eight = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for size in (1, 2, 4, 8):
+        eight = hashed
+        hashed = hashed[: n - 2 * size + 1] * _POWERS[size] + hashed[size : size + n - 2 * size + 1]
+    last = n - WINDOW
+    whole = eight[:last] * _POWERS[16] + hashed[8 : 8 + last]
+    whole ^= whole >> np.uint64(29)
+    return np.flatnonzero(whole % np.uint64(spacing) == 0) + WINDOW
 
 
-_SPACES = np.array([c for c in range(0x3001) if chr(c).isspace()], dtype=np.uint32)
+_WHITE = np.array([chr(c).isspace() for c in range(0x3002)])
 
 
 def _certain(codes: np.ndarray) -> np.ndarray:
     """Positions of single spaces between visible characters, in order."""
-    white = np.isin(codes, _SPACES)
-    if len(codes) < 3:
-        return np.empty(0, dtype=np.int64)
-    return np.flatnonzero((codes[1:-1] == 32) & ~white[:-2] & ~white[2:]) + 1
+    blanks = np.flatnonzero(codes == 32)
+    blanks = blanks[(blanks > 0) & (blanks < len(codes) - 1)]
+    white = _WHITE[np.minimum(codes[np.stack([blanks - 1, blanks + 1])], 0x3001)]
+    return blanks[~white.any(axis=0)]
 
 
-def parts(text: str, spacing: int = SPACING) -> list[tuple[bool, str]]:
-    """The text as (reusable, string) parts; their encodings concatenate to that of the text."""
+def cores(text: str, spacing: int = SPACING) -> list[tuple[int, int]]:
+    """Begin and end of the reusable part of each chunk that is long enough to be worth it."""
+    if len(text) <= 2 * WINDOW:
+        return []
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    certain = _certain(codes)
-    out: list[tuple[bool, str]] = []
-    begin = 0  # of what isn't emitted yet
-    edges = [0, *_borders(codes, spacing), len(text)]
-    for a, b in zip(edges, edges[1:]):
-        inner = certain[np.searchsorted(certain, a, "left") : np.searchsorted(certain, b, "right")]
-        # The text's own ends are certain too.
-        first = 0 if a == 0 else (int(inner[0]) if len(inner) else None)
-        last = len(text) if b == len(text) else (int(inner[-1]) if len(inner) else None)
-        if first is None or last is None or first >= last:
-            continue
-        if first > begin:
-            out.append((False, text[begin:first]))
-        out.append((True, text[first:last]))
-        begin = last
-    if begin < len(text):
-        out.append((False, text[begin:]))
-    return out
-
-
-def encode_corpus(df: DataFrame, key: str, text: str, path: str = VOCABULARY, spacing: int = SPACING, pattern: str = PATTERN) -> DataFrame:
+    certain = np.concatenate([[0], _certain(codes), [len(text)]])  # the text's own ends are certain too
+    edges = np.concatenate([[0], _borders(codes, spacing), [len(text)]])
+    first = certain[np.searchsorted(certain, edges[:-1], "left")]
+    last = certain[np.searchsorted(certain, edges[1:], "right") - 1]
+    good = last - first > 2 * WINDOW
+    return list(zip(first[good].tolist(), last[good].tolist()))
+
+
+def parts(text: str, reused: list[tuple[int, int]]) -> list[tuple[bool, str]]:
+    """The text as (reused, string) parts; their encodings concatenate to that of the text."""
+    out, at = [], 0
+    for begin, end in reused:
+        if begin > at:
+            out.append((False, text[at:begin]))
+        out.append((True, text[begin:end]))
+        at = end
+    return [*out, (False, text[at:])] if at < len(text) else out
+
+
+def _hashes(strings: list[str]) -> np.ndarray:
+    import xxhash
+
+    return np.array([xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) for x in strings], dtype=np.uint64).view(np.int64)
+
+
+def encode_corpus(df: DataFrame, key: str, text: str, path: str = VOCABULARY, spacing: int = SPACING, pattern: str = PATTERN, filter_bits: int = FILTER_BITS) -> DataFrame:
     """key and ids (array<int>) of each row.
 
-    key must be unique; ``path`` must name the vocabulary on every executor. The chunks are
-    written once; one shuffle of the distinct cores with a map-side combine, one of their
-    digests and ids.
+    key must be unique; ``path`` must name the vocabulary on every executor.
     """
     kind = dict(df.dtypes)[key]
+    some = df.filter(F.length(text) > 0).select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [t[a:b] for t in batch.column(0).to_pylist() for a, b in cores(t, spacing)]
+            yield pa.RecordBatch.from_arrays([pa.array(_hashes(found), pa.int64())], names=["core"])
+
+    counted = some.select("_text").mapInArrow(hashed, "core bigint").groupBy("core").agg(F.count("*").alias("n")).filter("n > 1")
+    sent = df.sparkSession.sparkContext.broadcast(fixed_filter(counted, "core", filter_bits))
+
+    def shared(texts: list[str]) -> list[list[tuple[int, int]]]:
+        """The cores of each text that pass the filter."""
+        spans = [cores(t, spacing) for t in texts]
+        there = iter(passing(_hashes([t[a:b] for t, own in zip(texts, spans) for a, b in own]), sent.value).tolist())
+        return [[x for x in own if next(there)] for own in spans]
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = encoder(path, pattern)
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            kept = [i for i, spans in enumerate(shared(texts)) if not spans]
+            ids = own.encode_ordinary_batch([texts[i] for i in kept], num_threads=1)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(kept, pa.int64())), pa.array(ids, pa.list_(pa.int32()))], names=["_key", "ids"])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, pattern)
-        seam: dict[str, list[int]] = {}
         for batch in batches:
-            index, seq, digest, core, ids = [], [], [], [], []
-            for i, t in enumerate(batch.column(1).to_pylist()):
-                for n, (reusable, s) in enumerate(parts(t, spacing)):
+            index, seq, digest, core, between = [], [], [], [], []
+            texts = batch.column(1).to_pylist()
+            for i, (t, spans) in enumerate(zip(texts, shared(texts))):
+                for n, (reused, s) in enumerate(parts(t, spans) if spans else ()):
                     index.append(i)
                     seq.append(n)
-                    if reusable and len(s) > 2 * WINDOW:
-                        digest.append(hashlib.blake2b(s.encode("utf-8", "surrogatepass"), digest_size=16).digest())
-                        core.append(s)
-                        ids.append(None)
-                    else:
-                        if s not in seam:
-                            if len(seam) > 50_000:
-                                seam.clear()
-                            seam[s] = own.encode_ordinary(s)
-                        digest.append(None)
-                        core.append(None)
-                        ids.append(seam[s])
+                    digest.append(hashlib.blake2b(s.encode("utf-8", "surrogatepass"), digest_size=16).digest() if reused else None)
+                    core.append(s if reused else None)
+                    between.append("" if reused else s)
+            ids = own.encode_ordinary_batch(between, num_threads=1)
+            ids = [None if d else x for d, x in zip(digest, ids)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(index, pa.int64())), pa.array(seq, pa.int32()), pa.array(digest, pa.binary()), pa.array(core, pa.string()), pa.array(ids, pa.list_(pa.int32()))],
                 names=["_key", "seq", "digest", "core", "ids"],
@@ -134,15 +170,10 @@ def encode_corpus(df: DataFrame, key: str, text: str, path: str = VOCABULARY, sp
             lists = own.encode_ordinary_batch(batch.column(1).to_pylist(), num_threads=1)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.list_(pa.int32()))], names=["digest", "coded"])
 
-    some = df.filter(F.length(text) > 0).select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    # two stages read the chunks, so they are written once rather than cut twice
+    # two stages read these parts of texts with shared cores, so they are written once
     chunks = cut(some.mapInArrow(split, f"_key {kind}, seq int, digest binary, core string, ids array<int>"))
-    coded = (
-        chunks.filter(F.col("digest").isNotNull())
-        .groupBy("digest").agg(F.first("core").alias("core"))
-        .mapInArrow(encode, "digest binary, coded array<int>")
-    )
-    whole = (
+    coded = spread(chunks.filter(F.col("digest").isNotNull()).groupBy("digest").agg(F.first("core").alias("core"))).mapInArrow(encode, "digest binary, coded array<int>")
+    joined = (
         chunks.drop("core")
         .join(coded, "digest", "left")
         .groupBy("_key")
@@ -150,4 +181,4 @@ def encode_corpus(df: DataFrame, key: str, text: str, path: str = VOCABULARY, sp
         .select("_key", F.flatten(F.col("_parts.ids")).alias("ids"))
     )
     none = df.filter(F.coalesce(F.length(text), F.lit(0)) == 0).select(F.col(key).alias("_key"), F.array().cast("array<int>").alias("ids"))
-    return whole.unionByName(none).withColumnRenamed("_key", key)
+    return some.mapInArrow(whole, f"_key {kind}, ids array<int>").unionByName(joined).unionByName(none).withColumnRenamed("_key", key)
