@@ -133,7 +133,7 @@ def test_token_parts_concatenate():
     texts += ["".join(random.choices("ab  \n字é'1", k=3000)) for _ in range(20)]
     for t in texts:
         for spacing in (16, 512):
-            assert "".join(s for _, s in tokens.parts(t, tokens.cores(t, spacing))) == t
+            assert "".join(s for _, s in tokens.parts(t, tokens.cores([t], spacing)[0])) == t
 
 
 def test_tokens_exact():
@@ -143,10 +143,11 @@ def test_tokens_exact():
         pytest.skip("no vocabulary here")
     own = tokens.encoder(tokens.VOCABULARY)
     random.seed(5)
-    texts = [EN * 9 + FR * 7, "x  y\n\n z \t" * 200, "字" * 900 + " " + "ab" * 900, " leading", "trailing  "]
+    texts = [EN * 9 + FR * 7, "x  y\n\n z \t" * 200, "字" * 900 + " " + "ab" * 900, " leading", "trailing  ", "\n x" + EN * 3, EN * 3 + "x \n"]
     texts += ["".join(random.choices("ab  \n字é'1s.", k=2000)) for _ in range(30)]
+    assert tokens.cores(texts, 32) == [tokens.cores([t], 32)[0] for t in texts]
     for t in texts:
-        assert [i for _, s in tokens.parts(t, tokens.cores(t, 32)) for i in own.encode_ordinary(s)] == own.encode_ordinary(t)
+        assert [i for _, s in tokens.parts(t, tokens.cores([t], 32)[0]) for i in own.encode_ordinary(s)] == own.encode_ordinary(t)
 
 
 def test_languages_held_out():

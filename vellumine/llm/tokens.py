@@ -45,7 +45,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Characters the rolling hash sees, and the mean distance of its borders.
 WINDOW, SPACING = 24, 512
-_POWERS = {k: np.uint64(pow(1_099_511_628_211, k, 1 << 64)) for k in (1, 2, 4, 8, 16)}
+_POWERS = {k: np.uint32(pow(0x01000193, k, 1 << 32)) for k in (1, 2, 4, 8, 16)}
 
 
 @lru_cache(maxsize=2)
@@ -64,14 +64,15 @@ def _borders(codes: np.ndarray, spacing: int) -> np.ndarray:
     if n <= WINDOW:
         return np.empty(0, dtype=np.int64)
     # hashes of 1, 2, 4, 8 and 16 characters, each from two of half the length; WINDOW is 8 + 16
-    hashed = eight = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    hashed = eight = codes * np.uint32(0x9E3779B1)
     for size in (1, 2, 4, 8):
         eight = hashed
         hashed = hashed[: n - 2 * size + 1] * _POWERS[size] + hashed[size : size + n - 2 * size + 1]
     last = n - WINDOW
     whole = eight[:last] * _POWERS[16] + hashed[8 : 8 + last]
-    whole ^= whole >> np.uint64(29)
-    return np.flatnonzero(whole % np.uint64(spacing) == 0) + WINDOW
+    whole ^= whole >> np.uint32(15)
+    whole *= np.uint32(0x85EBCA77)
+    return np.flatnonzero(whole < np.uint32((1 << 32) // spacing)) + WINDOW
 
 
 _WHITE = np.array([chr(c).isspace() for c in range(0x3002)])
@@ -79,23 +80,50 @@ _WHITE = np.array([chr(c).isspace() for c in range(0x3002)])
 
 def _certain(codes: np.ndarray) -> np.ndarray:
     """Positions of single spaces between visible characters, in order."""
-    blanks = np.flatnonzero(codes == 32)
-    blanks = blanks[(blanks > 0) & (blanks < len(codes) - 1)]
-    white = _WHITE[np.minimum(codes[np.stack([blanks - 1, blanks + 1])], 0x3001)]
-    return blanks[~white.any(axis=0)]
-
-
-def cores(text: str, spacing: int = SPACING) -> list[tuple[int, int]]:
-    """Begin and end of the reusable part of each chunk that is long enough to be worth it."""
-    if len(text) <= 2 * WINDOW:
-        return []
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    certain = np.concatenate([[0], _certain(codes), [len(text)]])  # the text's own ends are certain too
-    edges = np.concatenate([[0], _borders(codes, spacing), [len(text)]])
-    first = certain[np.searchsorted(certain, edges[:-1], "left")]
-    last = certain[np.searchsorted(certain, edges[1:], "right") - 1]
+    white = _WHITE[np.minimum(codes, np.uint32(0x3001))]
+    return np.flatnonzero((codes[1:-1] == 32) & ~white[:-2] & ~white[2:]) + 1
+
+
+def cores(texts: list[str], spacing: int = SPACING) -> list[list[tuple[int, int]]]:
+    """For each text, begin and end of the reusable part of each chunk that is long enough to be worth it.
+
+    Done on many texts at once; a text's cores depend on that text alone.
+    """
+    out: list[list[tuple[int, int]]] = []
+    at = size = 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size > 1_000_000 or i + 1 == len(texts):
+            out += _cores(texts[at : i + 1], spacing)
+            at, size = i + 1, 0
+    return out
+
+
+def _cores(texts: list[str], spacing: int) -> list[list[tuple[int, int]]]:
+    ends = np.cumsum([len(t) for t in texts])
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    out: list[list[tuple[int, int]]] = [[] for _ in texts]
+    if len(codes) <= 2 * WINDOW:
+        return out
+    bounds = np.unique(np.concatenate([[0], ends]))
+
+    # the characters at the ends of a text have no neighbour on one side: line feeds make nothing certain
+    codes_ = codes.copy()
+    codes_[np.minimum(bounds, len(codes) - 1)] = codes_[np.maximum(bounds - 1, 0)] = 10
+    certain, places = _certain(codes_), _borders(codes, spacing)
+    text = np.searchsorted(bounds, places, "right") - 1
+    edges = np.unique(np.concatenate([bounds, places[places - bounds[text] >= WINDOW]]))
+    # the texts' own ends are borders, and certain too
+    padded = np.concatenate([[-1], certain, [len(codes)]])
+    first = np.minimum(padded[1:][np.searchsorted(certain, edges[:-1], "left")], bounds[np.searchsorted(bounds, edges[:-1], "left")])
+    last = np.maximum(padded[np.searchsorted(certain, edges[1:], "right")], bounds[np.searchsorted(bounds, edges[1:], "right") - 1])
     good = last - first > 2 * WINDOW
-    return list(zip(first[good].tolist(), last[good].tolist()))
+    first, last = first[good], last[good]
+    owner = np.searchsorted(ends, first, "right")
+    base = np.concatenate([[0], ends])[owner]
+    for k, a, b in zip(owner.tolist(), (first - base).tolist(), (last - base).tolist()):
+        out[k].append((a, b))
+    return out
 
 
 def parts(text: str, reused: list[tuple[int, int]]) -> list[tuple[bool, str]]:
@@ -125,7 +153,8 @@ def encode_corpus(df: DataFrame, key: str, text: str, path: str = VOCABULARY, sp
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [t[a:b] for t in batch.column(0).to_pylist() for a, b in cores(t, spacing)]
+            texts = batch.column(0).to_pylist()
+            found = [t[a:b] for t, own in zip(texts, cores(texts, spacing)) for a, b in own]
             yield pa.RecordBatch.from_arrays([pa.array(_hashes(found), pa.int64())], names=["core"])
 
     counted = some.select("_text").mapInArrow(hashed, "core bigint").groupBy("core").agg(F.count("*").alias("n")).filter("n > 1")
@@ -133,7 +162,7 @@ def encode_corpus(df: DataFrame, key: str, text: str, path: str = VOCABULARY, sp
 
     def shared(texts: list[str]) -> list[list[tuple[int, int]]]:
         """The cores of each text that pass the filter."""
-        spans = [cores(t, spacing) for t in texts]
+        spans = cores(texts, spacing)
         there = iter(passing(_hashes([t[a:b] for t, own in zip(texts, spans) for a, b in own]), sent.value).tolist())
         return [[x for x in own if next(there)] for own in spans]
 
