@@ -270,5 +270,5 @@ def test_boundary_tables_stitch(range_chars):
 
 def test_letters_by_expectation():
     rows = [("l", "ä", "W", 90), ("r", "ä", "r", 90), ("l", "é", "r", 50), ("r", "é", "g", 50), ("l", "‰", "W", 1), ("r", "‰", "r", 1)]
-    share = encoding._expect([("W", "r", 3)], encoding.Bigrams(rows))
+    share = encoding._expect([("W", "r", 3)], encoding._Fits(encoding.Bigrams(rows)))
     assert encoding.LETTERS[int(np.argmax(share))] == "ä"

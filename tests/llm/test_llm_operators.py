@@ -226,6 +226,37 @@ def test_wrong_encoding(spark):
     assert encoding.affected(docs.limit(0), "id", "t").count() == 0
 
 
+UMLAUTS = "Der Träger hält die Wärme, die Räder fällen den Zähler nicht, die Schwäche wäre größer, die Wände lägen höher, könnte man öfter für die Hülse fühlen, müßte die Büchse über die Kühlung führen, löst, stößt, öffnet man die Röhre. "
+
+
+def test_pages_outside_the_list_are_learned(spark):
+    assert "cp1253" not in encoding.PAGES
+    broken = [UMLAUTS.encode("cp1252").decode("cp1253")] * 3
+    values = [UMLAUTS] * 60 + [FR] * 40 + broken + ["Der Fluß Αλφα heißt Ωμεγα."]
+    docs = texts(spark, values).withColumn("source", F.when(F.col("id").between(100, 102), "greek").otherwise("s"))
+    fixed = {r["id"]: r["restored"] for r in encoding.restore(docs, "id", "t").collect()}
+    assert set(fixed) == {100, 101, 102}
+    wrong = [a for a, b in zip(fixed[100], UMLAUTS) if a != b]
+    assert len(fixed[100]) == len(UMLAUTS) and len(wrong) <= 9  # ß, and ö and ü beside it, have too few neighbours here
+    assert encoding.restore(docs, "id", "t", learn=False).count() == 0  # nothing but learning finds them
+
+
+def test_learning_decides_between_letters_of_one_symbol(spark):
+    # one symbol is one letter read from one page, another letter read from another page; the place can't tell
+    assert {"ä", "è"} <= set(encoding.swaps()["Š"])
+    plain = ["die Wäb e Häl"] * 30 + ["la Wèb e tèl"] * 30 + ["das Kät und Häl"] * 20
+    odd = ["so Häl Kät Häl Wäb".replace("ä", "Š")]
+    docs = texts(spark, plain + odd).withColumn("source", F.when(F.col("id") < 80, "s").otherwise("mac"))
+    fixed = [r["restored"] for r in encoding.restore(docs, "id", "t").collect()]
+    blind = [r["restored"] for r in encoding.restore(docs, "id", "t", learn=False).collect()]
+    assert fixed == ["so Häl Kät Häl Wäb"] and blind != fixed
+
+
+def test_translation():
+    assert encoding.translated("a‰b‰cÃ¤", [(1, "‰", "ä"), (3, "‰", "ä"), (5, "Ã¤", "ä")]) == "aäbäcä"
+    assert encoding.translated("a‰b‰c", [(3, "‰", "ä")]) == "a‰bäc" and encoding.translated("x\ufffdy", [(1, "\ufffd", None)]) == "x\ufffdy"
+
+
 def test_relabelled(spark):
     rows = [(i, DE * 3, "de", (1,)) for i in range(8)] + [(i, FR * 3, "fr", (1,)) for i in range(10, 18)]
     rows += [(20, DE * 2, "FR", (1,)), (21, DE * 2, None, (1,)), (22, DE * 2, "german", (1,)), (23, DE * 2 + "\n\n" + FR * 2, "de-CH", (1,)), (24, DE, "fr", None), (25, "", "xx", (1,)), (26, None, "xx", (1,)), (27, DE, "und", (1,))]

@@ -7,15 +7,20 @@ group of them. What stands for what is learned, not looked up:
    (the language bigrams), and in how many texts it occurs; frequent ones are proper;
 2. the other characters and groups, the symbols, are collected with their neighbours and
    summed by source before anything is shuffled by source;
-3. for each source, expectation-maximization: which letter a symbol stands for is hidden;
-   the expectation weighs each letter by its bigrams with the neighbours and by how often
-   the symbol stood for it so far, the maximization counts anew;
-4. an exact check follows: a symbol's letter is kept only if some code page read as some
-   other turns that letter into just this symbol;
+3. expectation-maximization: which letter a symbol stands for is hidden; the expectation weighs
+   each letter by its bigrams with the neighbours and by how often the symbol stood for it so
+   far, the maximization counts anew. First over all sources, then for each source with that
+   result as the prior, so a rare symbol leans on the others and a frequent one on itself;
+4. letters with a share of the symbol's uses make the source's map. A check follows: some code
+   page read as some other must turn the letter into just this symbol. For code pages outside
+   the check's list the learned evidence must be strong instead: a letter between many different
+   neighbours, nearly always inside words, and one letter that takes nearly all its uses;
 5. a text is affected if one of its symbols is far more likely one of its letters than
-   itself in its place, or can't be proper text at all (replacement and control characters).
+   itself in its place, or can't be proper text at all (replacement and control characters,
+   and runs of another script that are valid UTF-8 read under a page; neither can be learned).
 
-``restore`` then applies the learned letters, and says what could not be recovered.
+``restore`` applies the map with translate() where a symbol stands for one letter all over a
+text, and place by place where it doesn't, and says what could not be recovered.
 
 Defined cases: null, empty and blank texts aren't affected; texts without a source count as
 one source; other scripts, rare characters and markup references are left alone because no
@@ -33,7 +38,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from vellumine.session import cut
+from vellumine.session import cut, spread
 
 #: Code pages that may be swapped; fixed values.
 PAGES = ("cp1252", "latin-1", "cp1250", "cp1251", "cp850", "cp437", "mac_roman", "iso8859-2", "iso8859-15", "cp1254", "cp1257", "cp852")
@@ -41,6 +46,10 @@ PAGES = ("cp1252", "latin-1", "cp1250", "cp1251", "cp850", "cp437", "mac_roman",
 LETTERS = "äöüÄÖÜßéèêëàâáçîïíôóòûùúñæœøåÉÈÊÀÂÇÎÔÙìÌ°½¼¾±×’‘“”–—…«»§µ€„·²³¿¡"
 #: Share of texts a character is in to be proper; margin a letter must win by.
 PROPER, MARGIN = 0.02, 2.0
+#: Share of a symbol's uses that a letter must have; uses that the prior counts for.
+LEAST_SHARE, PRIOR = 0.0001, 4.0
+#: Without a check: different pairs of neighbours, share of uses in words, and share of the one letter.
+USES, IN_WORDS, SURE = 5, 0.8, 0.8
 _OUTSIDE = re.compile(r"[^\x00-\x7f]+")
 
 
@@ -156,16 +165,34 @@ class Bigrams:
         return float(np.log(a * b / (t + 1.0)))
 
 
-def _expect(contexts: list[tuple[str, str, int]], bigrams: Bigrams, rounds: int = 12) -> np.ndarray:
-    """Expectation-maximization for one symbol: the share of each letter of LETTERS."""
-    fits = np.array([[bigrams.fit(a, c, b) for c in LETTERS] for a, b, _ in contexts])
-    weight = np.exp(fits - fits.max(axis=1, keepdims=True))
+class _Fits:
+    """The weight of each letter of LETTERS between two neighbours, computed once a pair."""
+
+    def __init__(self, bigrams: Bigrams):
+        self.bigrams, self.known = bigrams, {}
+
+    def of(self, left: str, right: str) -> np.ndarray:
+        found = self.known.get((left, right))
+        if found is None:
+            fits = np.array([self.bigrams.fit(left, c, right) for c in LETTERS])
+            found = self.known[left, right] = np.exp(fits - fits.max())
+        return found
+
+
+def _expect(contexts: list[tuple[str, str, int]], fits: _Fits, prior: np.ndarray | None = None, rounds: int = 12) -> np.ndarray:
+    """Expectation-maximization for one symbol: the share of each letter of LETTERS.
+
+    contexts: left and right neighbour and number of uses. prior: shares to start from, which
+    count as PRIOR uses.
+    """
+    weight = np.array([fits.of(a, b) for a, b, _ in contexts])
     n = np.array([c[2] for c in contexts], dtype=float)
-    share = np.full(len(LETTERS), 1.0 / len(LETTERS))
+    share = np.full(len(LETTERS), 1.0 / len(LETTERS)) if prior is None else prior
+    more = 0.02 if prior is None else PRIOR * prior + 1e-4
     for _ in range(rounds):
         post = weight * share
         post /= post.sum(axis=1, keepdims=True)
-        share = (n[:, None] * post).sum(axis=0) + 0.02
+        share = (n[:, None] * post).sum(axis=0) + more
         share /= share.sum()
     return share
 
@@ -214,32 +241,54 @@ def _model(documents: DataFrame, text: str) -> tuple[Bigrams, frozenset]:
     return Bigrams([r for r in rows if r[0] != "d"]), proper
 
 
-def learned_letters(occurrences: DataFrame, bigrams: Bigrams) -> DataFrame:
-    """source, symbol and the letters it may stand for there, each with its share."""
+def _map_of(symbol: str, share: np.ndarray, contexts: list[tuple[str, str, int]]) -> list[tuple[str, float]]:
+    """The letters that a symbol was learned to stand for and that pass the check, with their shares."""
+    allowed = swaps().get(symbol, "")
+    # no text has a group by itself, so one of the letters that make it is meant
+    whole = sum(x for c, x in zip(LETTERS, share) if c in allowed) if allowed and len(symbol) > 1 else 1.0
+    uses = sum(n for _, _, n in contexts)
+    inside = sum(n for a, b, n in contexts if (a.isalpha() or b.isalpha()) and not {a, b} & {"0", "."})
+    sure = symbol.isalpha() and len({c[:2] for c in contexts}) >= USES and inside >= IN_WORDS * uses
+    return [
+        (c, float(x / whole)) for c, x in zip(LETTERS, share)
+        if (x > LEAST_SHARE * whole if c in allowed else sure and x >= SURE and c.isalpha())
+    ]
+
+
+def learned_letters(occurrences: DataFrame, bigrams: Bigrams, learn: bool = True) -> DataFrame:
+    """source, symbol and the letters it stands for there, each with its share.
+
+    learn: without it all letters keep equal shares (for tests of what learning is worth).
+    """
     sent = occurrences.sparkSession.sparkContext.broadcast(bigrams)
+    counted = occurrences.groupBy("source", "symbol", "left", "right").agg(F.count("*").alias("n"))
+    context = F.struct("left", "right", "n")
+    everywhere = counted.groupBy("symbol", "left", "right").agg(F.sum("n").alias("n")).groupBy("symbol").agg(F.collect_list(context).alias("all"))
+    by_source = counted.groupBy("source", "symbol").agg(F.collect_list(context).alias("contexts"))
+
+    def over_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fits = _Fits(sent.value)
+        for batch in batches:
+            shares = [_expect([tuple(c.values()) for c in own], fits).tolist() if learn else [1.0 / len(LETTERS)] * len(LETTERS) for own in batch["all"]]
+            yield pd.DataFrame({"symbol": batch["symbol"], "prior": shares})
 
-    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def by_one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fits = _Fits(sent.value)
         for batch in batches:
             rows = []
-            for source, symbol, contexts in batch.itertuples(index=False):
-                allowed = swaps().get(symbol, "")
-                if not allowed:
-                    continue
-                share = _expect([(c["left"], c["right"], c["n"]) for c in contexts], sent.value)
-                letters = [(c, float(share[LETTERS.index(c)])) for c in allowed]
-                letters = [{"letter": c, "share": s} for c, s in letters if s > 0.005 or len(symbol) > 1]
+            for symbol, source, contexts, prior in batch[["symbol", "source", "contexts", "prior"]].itertuples(index=False):
+                own = [tuple(c.values()) for c in contexts]
+                share = _expect(own, fits, np.array(prior)) if learn else np.array(prior)
+                letters = [{"letter": c, "share": x} for c, x in _map_of(symbol, share, own)]
                 if letters:
                     rows.append((source, symbol, letters))
             yield pd.DataFrame(rows, columns=["source", "symbol", "letters"])
 
-    return (
-        occurrences.groupBy("source", "symbol", "left", "right").agg(F.count("*").alias("n"))
-        .groupBy("source", "symbol").agg(F.collect_list(F.struct("left", "right", "n")).alias("contexts"))
-        .mapInPandas(learn, "source string, symbol string, letters array<struct<letter:string,share:double>>")
-    )
+    priors = spread(everywhere).mapInPandas(over_all, "symbol string, prior array<double>")
+    return spread(by_source.join(priors, "symbol")).mapInPandas(by_one, "source string, symbol string, letters array<struct<letter:string,share:double>>")
 
 
-def judge(documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+def judge(documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", learn: bool = True) -> DataFrame:
     """Each symbol occurrence with its letter and how far it beats the symbol itself.
 
     Result: key, at, symbol, letter (null if it can't be recovered), gain.
@@ -259,7 +308,7 @@ def judge(documents: DataFrame, key: str = "doc_id", text: str = "text", source:
 
     some = documents.filter(F.length(text) > 0).select(F.col(key).alias("_key"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), F.col(text).alias("_text"))
     seen = cut(some.mapInPandas(find, f"_key {kind}, source string, at int, symbol string, left string, right string"))
-    letters = learned_letters(seen, bigrams)
+    letters = learned_letters(seen, bigrams, learn)
 
     def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -292,11 +341,30 @@ def affected(documents: DataFrame, key: str = "doc_id", text: str = "text", sour
     return judge(documents, key, text, source).filter(F.col("gain") > margin).select(key).distinct()
 
 
-def restore(documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", margin: float = MARGIN) -> DataFrame:
+def translated(text: str, found: list[tuple[int, str, str | None]]) -> str:
+    """The text with the symbols at the given places replaced by their letters.
+
+    A single character that stands for one letter at all its places goes by translate().
+    """
+    letters: dict[str, set] = {}
+    for _, symbol, letter in found:
+        if len(symbol) == 1:
+            letters.setdefault(symbol, set()).add(letter)
+    places = Counter(symbol for _, symbol, _ in found)
+    table = {s: next(iter(ls)) for s, ls in letters.items() if len(ls) == 1 and None not in ls and text.count(s) == places[s]}
+    out, at = [], 0
+    for place, symbol, letter in found:
+        if symbol not in table and letter is not None:
+            out += [text[at:place].translate(str.maketrans(table)), letter]
+            at = place + len(symbol)
+    return "".join(out) + text[at:].translate(str.maketrans(table))
+
+
+def restore(documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", margin: float = MARGIN, learn: bool = True) -> DataFrame:
     """The affected texts restored: key, restored, replaced (symbols), lost (not recovered)."""
     kind = dict(documents.dtypes)[key]
     found = (
-        judge(documents, key, text, source).filter(F.col("gain") > margin)
+        judge(documents, key, text, source, learn).filter(F.col("gain") > margin)
         .groupBy(key).agg(F.array_sort(F.collect_list(F.struct("at", "symbol", "letter"))).alias("_found"))
     )
 
@@ -304,12 +372,9 @@ def restore(documents: DataFrame, key: str = "doc_id", text: str = "text", sourc
         for batch in batches:
             rows = []
             for k, t, found_ in batch.itertuples(index=False):
-                out, at, lost = [], 0, 0
-                for f in found_:
-                    out += [t[at : f["at"]], f["symbol"] if f["letter"] is None else f["letter"]]
-                    lost += f["letter"] is None
-                    at = f["at"] + len(f["symbol"])
-                rows.append((k, "".join(out) + t[at:], len(found_) - lost, lost))
+                places = [tuple(f.values()) for f in found_]
+                lost = sum(letter is None for _, _, letter in places)
+                rows.append((k, translated(t, places), len(places) - lost, lost))
             yield pd.DataFrame(rows, columns=[key, "restored", "replaced", "lost"])
 
     return (

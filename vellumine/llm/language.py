@@ -122,7 +122,7 @@ class _Blocks:
         if not len(self.key):
             return out
         block, gram = self.key >> (3 * _BITS), self.key & ((1 << (3 * _BITS)) - 1)
-        order = np.argsort((block << 8) | (255 - np.minimum(self.times, 255)), kind="stable")
+        order = np.lexsort((-self.times, block))
         block, gram = block[order], gram[order]
         first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
         rank = np.arange(len(block)) - np.repeat(first, np.diff(np.concatenate([first, [len(block)]])))
