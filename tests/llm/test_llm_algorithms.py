@@ -218,7 +218,48 @@ def test_line_defects_of_odd_texts():
     words = lexicon()
     for text in ("", "\n\n", "x", "Il1" * 5000, "-\n-\n", "a" * 20_000 + "-\nb"):
         assert isinstance(ocr.line_defects(text, ocr.LineModel(), words), list)
-    assert ocr.fit_lines([]).label("x_Px") == "BBRB"
+    assert ocr.fit_lines([]).label("x_Px") == "SRRB" and ocr.LineModel().label_all(["", "x", "x_Px"]) == ["", ocr.LineModel().label("x"), "SRRB"]
+
+
+def test_line_model_decodes_like_brute_force():
+    random.seed(6)
+    model = ocr.LineModel()
+    looks = ["".join(random.choices(ocr.LOOKS, k=random.randint(1, 5))) for _ in range(40)]
+    for own, got in zip(looks, model.label_all(looks)):
+        def score(path):
+            at = [ocr.STATES.index(s) for s in path]
+            seen = [ocr.LOOKS.index(x) for x in own]
+            return ocr._FIRST_STATE[at[0]] + sum(model.emit[k, x] for k, x in zip(at, seen)) + sum(model.move[a, b] for a, b in zip(at, at[1:]))
+
+        assert score(got) >= max(score(p) for p in itertools.product(ocr.STATES, repeat=len(own))) - 1e-9
+
+
+def test_model_tells_paragraphs_and_running_heads():
+    line = "Die Welle ist mit dem Lager verbunden und wird"
+    text = "\n".join([line, line, "gehalten.", "Das Rad liegt frei neben der Stange und dem Deckel", line, "", "DECKEL FÜR RÄDER", "", "gehalten.", "", line, line])
+    words = ocr.Lexicon({w: 100 for w in text.split()})
+    got = ocr.repaired(text, ocr.LineModel(), words)
+    assert len(got) == 3 and "DECKEL" not in " ".join(got) and got[1].startswith("Das Rad") and got[1].endswith("wird gehalten.")
+    assert (7, "running") in ocr.line_defects(text, ocr.LineModel(), words)
+    furniture = ocr._EMIT.copy()
+    furniture[ocr.STATES.index("R")] = ocr._EMIT[1]  # a model that knows no furniture
+    assert (7, "running") not in ocr.line_defects(text, ocr.LineModel(furniture), words)
+
+
+def test_confusions_are_learned():
+    random.seed(9)
+    proper = {"".join(random.choices("abcdefghilmnoprstuz", k=8)): 400 for _ in range(400)}
+    proper = {w: n for w, n in proper.items() if "z" in w[1:-2]}
+    swapped = {w[:1] + w[1:-2].replace("z", "x", 1) + w[-2:]: 3 for w in list(proper)[:40]}
+    learned = ocr.learned_confusions(proper | swapped)
+    assert "z" in learned["x"] and "e" in learned["c"]  # seen often; believed, and no evidence against it yet
+    word = next(iter(swapped))
+    fresh = list(proper)[60]
+    wrong = fresh[:1] + fresh[1:-2].replace("z", "x", 1) + fresh[-2:]
+    assert ocr.Lexicon(proper | swapped, total=1000).correction(wrong) == fresh
+    assert ocr.Lexicon(proper, total=1000, confusions=ocr.learned_confusions({})).correction(wrong) is None and word != wrong
+    many = {"".join(random.choices("cehilmnorst", k=9)): 4000 for _ in range(20_000)}
+    assert "e" not in ocr.learned_confusions(many).get("c", ())  # believed, but it never happens
 
 
 def test_swapped_pages_round_trip():
