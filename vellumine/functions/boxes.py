@@ -22,6 +22,58 @@ def shared(a: Column, b: Column) -> Column:
     return F.greatest(w, F.lit(0)).cast("bigint") * F.greatest(h, F.lit(0))
 
 
+def size(b: Column) -> Column:
+    """Width and height of a box, 0 where it is inside out."""
+    return F.struct(F.greatest(b["x2"] - b["x1"], F.lit(0)).alias("width"), F.greatest(b["y2"] - b["y1"], F.lit(0)).alias("height"))
+
+
+def inner(b: Column, share: float) -> Column:
+    """The box without a margin of ``share`` of its width and height on each side, never empty."""
+    mx, my = ((F.lit(share) * (b[f"{d}2"] - b[f"{d}1"])).cast("int") for d in "xy")
+    x1, y1 = F.least(b["x2"] - 1, b["x1"] + mx), F.least(b["y2"] - 1, b["y1"] + my)
+    return F.struct(x1.alias("x1"), y1.alias("y1"), F.greatest(x1 + 1, b["x2"] - mx).alias("x2"), F.greatest(y1 + 1, b["y2"] - my).alias("y2"))
+
+
+def median_skew(angles: Text, most: float, least: int = 5) -> Column:
+    """Median of the angles of at most ``most`` degrees; 0 for fewer than ``least`` of them.
+
+    Angles of one page, from its line segments.
+    """
+    near = F.array_sort(F.filter(_c(angles), lambda a: F.abs(a) <= most))
+    n = F.size(near)
+    middle = (F.get(near, F.floor((n - 1) / 2).cast("int")) + F.get(near, F.floor(n / 2).cast("int"))) / 2
+    return F.when(n >= least, middle).otherwise(0.0)
+
+
+def title_and_columns(b: Column, ink: Column, title: float = 0.22, least: int = 60, valley: float = 0.75, margin: float = 0.1) -> Column:
+    """A dominant box as a title band and what is below it, in two columns where the ink has a valley.
+
+    ink: dark pixels of each column of the part below the title. The valley is the first
+    least inked column between the margins; it must have less than ``valley`` of the most.
+    """
+    height, width = b["y2"] - b["y1"], b["x2"] - b["x1"]
+    cut = b["y1"] + F.least(F.greatest(F.lit(least), (F.lit(title) * height).cast("int")), height - least)
+    edge = F.greatest(F.lit(5), (F.lit(margin) * width).cast("int"))
+    middle = F.slice(ink, edge + 1, F.greatest(width - 2 * edge, F.lit(0)))
+    low, high = F.array_min(middle), F.array_max(middle)
+    at = b["x1"] + edge + F.array_position(middle, low).cast("int") - 1
+
+    def box(x1, y1, x2, y2):
+        return F.struct(*[v.cast("int").alias(n) for v, n in ((x1, "x1"), (y1, "y1"), (x2, "x2"), (y2, "y2"))])
+
+    head, body = box(b["x1"], b["y1"], b["x2"], cut), box(b["x1"], cut, b["x2"], b["y2"])
+    two = F.coalesce((high > 0) & (low / high < valley), F.lit(False))
+    return F.when(two, F.array(head, box(b["x1"], cut, at, b["y2"]), box(at, cut, b["x2"], b["y2"]))).otherwise(F.array(head, body))
+
+
+def segmented(candidates: Text, width: Text, height: Text, ink: Column | None = None) -> Column:
+    """The boxes of a page from candidates: nested ones out, fused, one a band, and a single dominant box split."""
+    done = band_boxes(fused(without_nested(candidates)))
+    if ink is None:
+        return done
+    return F.when(needs_split(done, width, height), title_and_columns(F.get(done, F.lit(0)), ink)).otherwise(done)
+
+
 def without_nested(boxes: Text, share: float = 0.7) -> Column:
     """Boxes not lying for more than ``share`` of their area in a larger one."""
     bs = _c(boxes)

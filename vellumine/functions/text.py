@@ -292,6 +292,22 @@ def phrase_score(normal_text: Text, normal_phrase: Text, least: float = 88.0) ->
 
 
 def phrase_present(score: Text, n_tokens: Text) -> Column:
-    """Whether enough of a phrase is there: all of one token, two thirds of three, else 3/4."""
+    """Whether enough of a phrase is there: all of one token, two thirds of three, else 3/4; null without a score."""
     least = F.when(_c(n_tokens) <= 1, 1.0).when(_c(n_tokens) <= 3, 2 / 3).otherwise(0.75)
-    return F.coalesce(_c(score) >= least, F.lit(False))
+    return _c(score) >= least
+
+
+def classification_present(normal_text: Text, normal_value: Text) -> Column:
+    """Whether a classification stands in a text, both in search form; null for an empty one."""
+    return F.when(_c(normal_value) != "", F.contains(_c(normal_text), _c(normal_value)))
+
+
+def printed(x: Text, places: int = 4) -> Column:
+    """A number with so many places, NA for null."""
+    return F.coalesce(F.format_string(f"%.{places}f", _c(x).cast("double")), F.lit("NA"))
+
+
+def languages(x: Text) -> Column:
+    """The languages of a comma separated list, stripped, blank ones left out; null if there is none."""
+    found = F.filter(F.transform(F.split(_c(x), ","), strip), lambda v: v != "")
+    return F.when(F.size(found) > 0, found)

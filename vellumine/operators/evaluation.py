@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vellumine.functions import text as tx
 from vellumine.functions.text import Text, _c, safe_ratio
+from vellumine.session import cut
 
 
 def last_per_key(df: DataFrame, key: str, *order: Column) -> DataFrame:
@@ -46,40 +47,188 @@ def worst(scored: DataFrame, n: int, *order: Column) -> DataFrame:
     return scored.orderBy(*order).limit(n)
 
 
-def summary(df: DataFrame, values: list[str], among: Column | None = None, prefix: str = "") -> list[Column]:
-    """Mean, median, least and most of columns, over all rows or those where ``among`` holds."""
-    out = []
-    for v in values:
-        x = F.col(v) if among is None else F.when(among, F.col(v))
-        for name, f in (("mean", F.avg), ("median", F.median), ("min", F.min), ("max", F.max)):
-            out.append(F.round(f(x).cast("double"), 6).alias(f"{prefix}{v}_{name}"))
-    return out
+def cumulated(df: DataFrame, groups: list[str], order: list[Column | str], **sums: Column) -> DataFrame:
+    """df with, for each name in sums, name_upto (the sum over the group's rows up to this one) and name_all.
+
+    The rows are sorted into ranges of (group, order); each range is summed by itself and
+    shifted by the sums of the ranges before it, so no task holds more than a range, however
+    large a group is. The order should be total.
+    """
+    keys = [f"_k{i}" for i in range(len(groups))]
+    named = df.withColumns({k: F.col(g) for k, g in zip(keys, groups)} | {f"_v_{n}": c for n, c in sums.items()})
+    # written once, as the ranges must be the same for the sums and for the rows
+    placed = cut(named.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()))
+    totals = placed.groupBy(*keys, "_part").agg(*[F.sum(f"_v_{n}").alias(f"_s_{n}") for n in sums])
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    shifts = totals.select(
+        *[F.col(k).alias(f"{k}_") for k in keys], F.col("_part").alias("_part_"),
+        *[c for n in sums for c in (F.coalesce(F.sum(f"_s_{n}").over(before), F.lit(0)).alias(f"_b_{n}"), F.sum(f"_s_{n}").over(whole).alias(f"{n}_all"))],
+    )
+    same = F.col("_part") == F.col("_part_")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}_"))
+    within = Window.partitionBy(*keys, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    joined = placed.withColumns({f"_w_{n}": F.sum(f"_v_{n}").over(within) for n in sums}).join(shifts, same)
+    return joined.select(*df.columns, *[c for n in sums for c in ((F.col(f"_w_{n}") + F.col(f"_b_{n}")).alias(f"{n}_upto"), F.col(f"{n}_all"))])
+
+
+def numbered(df: DataFrame, *order: Column | str, start: int = 1, name: str = "rank") -> DataFrame:
+    """Rows with their number in an order."""
+    ranked = cumulated(df, [], list(order), n=F.lit(1).cast("bigint"))
+    return ranked.select(*df.columns, (F.col("n_upto") + (start - 1)).alias(name))
+
+
+def _counted(df: DataFrame, groups: list[str], value: str) -> DataFrame:
+    """The distinct values of each group with how many rows have them and how many have them or less."""
+    return cumulated(df.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count("*").alias("_n")), groups, [value], n=F.col("_n"))
 
 
 def nearest_rank(df: DataFrame, group: str, value: str, quantiles: dict[str, float]) -> DataFrame:
     """The value at position round((n - 1) q), half to even, of each group's sorted values.
 
-    Positions come from counts of equal values, so a group's rows are never gathered: equal
-    values are counted first, then the counts are added up in order.
+    Positions come from counts of equal values, so a group's rows are never gathered.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("_n"))
-    w = Window.partitionBy(group)
-    up = counted.withColumn("_upto", F.sum("_n").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))).withColumn("_all", F.sum("_n").over(w))
-    picks = [F.min(F.when(F.col("_upto") > F.bround((F.col("_all") - 1) * F.lit(q)), F.col(value))).alias(name) for name, q in quantiles.items()]
-    return up.groupBy(group).agg(*picks)
+    picks = [F.min(F.when(F.col("n_upto") > F.bround((F.col("n_all") - 1) * F.lit(q)), F.col(value))).alias(name) for name, q in quantiles.items()]
+    return _counted(df, [group], value).groupBy(group).agg(*picks)
 
 
-def presence(items: DataFrame, run: str, key: str, field: str, present: Text, score: Text) -> DataFrame:
-    """By run, document and field: items, present items, sum of scores."""
+def medians(df: DataFrame, groups: list[str], values: list[str]) -> DataFrame:
+    """The groups with the median of each value, as value_median; the mean of both middle values where there are two.
+
+    Without groups one row. Counts of equal values, not the rows, are put in order.
+    """
+    if not groups:
+        return medians(df.withColumn("_one", F.lit(1)), ["_one"], values).drop("_one")
+    out = None
+    for v in values:
+        lower, upper = ((F.min(F.when(F.col("n_upto") > F.floor((F.col("n_all") - 1 + k) / 2), F.col(v)))) for k in (0, 1))
+        one = _counted(df.select(*groups, v), groups, v).groupBy(*groups).agg(((lower + upper) / 2).alias(f"{v}_median"))
+        out = one if out is None else out.join(one, groups, "full_outer")
+    return out
+
+
+def presence_by_field(items: DataFrame, run: str, key: str, field: str, present: Text, score: Text) -> DataFrame:
+    """By run, document and field: items that could be judged, items present, rate, sum and mean of scores.
+
+    A row for each field of a document, also without an item; rates of none are null.
+    """
+    n, there = F.count(_c(score)), F.count_if(_c(score).isNotNull() & _c(present))
+    total = F.coalesce(F.sum(_c(score)), F.lit(0.0))
     return items.groupBy(run, key, field).agg(
-        F.count("*").alias("n_items"), F.count_if(_c(present)).alias("n_present"), F.round(F.sum(_c(score)), 6).alias("score_sum")
+        n.alias("n_items"), there.alias("n_present"), F.round(F.when(n > 0, there / n), 6).alias("presence_rate"),
+        F.round(total, 6).alias("score_sum"), F.round(F.when(n > 0, total / n), 6).alias("score_mean"),
+    )
+
+
+def presence_by_document(fields: DataFrame, run: str, key: str) -> DataFrame:
+    """By run and document, over the rows of presence_by_field: items, items present, their share, mean score."""
+    n, there, total = F.sum("n_items"), F.sum("n_present"), F.sum("score_sum")
+    return fields.groupBy(run, key).agg(
+        n.alias("n_items"), there.alias("n_present"), F.round(F.when(n > 0, there / n), 6).alias("presence"), F.round(F.when(n > 0, total / n), 6).alias("score")
     )
 
 
+def presence_summary(fields: DataFrame, run: str, field: str, labels: dict[str, str]) -> DataFrame:
+    """By run and field, over the rows of presence_by_field: sums, rates of the sums and the field's label."""
+    n, there, total = F.sum("n_items"), F.sum("n_present"), F.sum("score_sum")
+    label = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])[F.col(field)]
+    return fields.groupBy(run, field).agg(
+        n.alias("n_items"), there.alias("n_present"), F.round(F.when(n > 0, there / n), 6).alias("presence_rate"), F.round(F.when(n > 0, total / n), 6).alias("score_mean")
+    ).withColumn("label", label)
+
+
 def ecdf(df: DataFrame, group: str, value: str, tie: str) -> DataFrame:
     """Each row's share (i + 1) / n of its group's rows, in the order of the value."""
-    w = Window.partitionBy(group)
-    return df.withColumn("ecdf", F.round(F.row_number().over(w.orderBy(value, tie)) / F.count("*").over(w), 6))
+    ranked = cumulated(df, [group], [value, tie], n=F.lit(1).cast("bigint"))
+    return ranked.select(*df.columns, F.round(F.col("n_upto") / F.col("n_all"), 6).alias("ecdf"))
+
+
+def running_mean(df: DataFrame, group: str, value: str, every: int, *order: Column | str) -> DataFrame:
+    """Mean of all values up to every ``every``-th row of a group's order."""
+    summed = cumulated(df, [group], list(order), n=F.lit(1).cast("bigint"), v=F.col(value).cast("double"))
+    return summed.filter(F.col("n_upto") % every == 0).select(group, F.col("n_upto").cast("int").alias("n"), F.round(F.col("v_upto") / F.col("n_upto"), 6).alias("running_avg"))
+
+
+def first_seen(df: DataFrame, key: str, *order: Column) -> DataFrame:
+    """The distinct keys with the row in which each was seen first; null keys go."""
+    rank = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
+    return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(rank).alias("first")).select(key, *[F.col(f"first.o{i}").alias(f"first_{i}") for i in range(len(order))])
+
+
+def request_timing() -> dict[str, Column]:
+    """Durations of a request from its times, floored at 0; null where a time is missing or out of order."""
+    def at(name: str) -> Column:
+        return F.greatest(F.col(name), F.lit(0.0))
+
+    def span(a: str, b: str) -> Column:
+        return F.when(F.col(a).isNotNull() & F.col(b).isNotNull() & (at(b) >= at(a)), F.round(at(b) - at(a), 6))
+
+    def own(name: str) -> Column:
+        return F.when(F.col(name).isNotNull(), F.round(at(name), 6))
+
+    return {
+        "t_request": span("arrival_time", "finished_time"),
+        "t_ttft": span("arrival_time", "first_token_time"),
+        "t_decode": span("first_token_time", "finished_time"),
+        "t_queue": F.coalesce(own("time_in_queue"), span("arrival_time", "first_scheduled_time")),
+        "t_scheduler": own("scheduler_time"),
+        "t_model_forward": own("model_forward_time"),
+        "t_model_execute": own("model_execute_time"),
+    }
+
+
+def batch_rollup(df: DataFrame, doc: str, batch: Text, sums: list[str], shared: str, parts: list[str]) -> DataFrame:
+    """By document: the sums of its requests' times, the shared time of its batches, and the total.
+
+    Of the shared time the most in each batch counts, then the sum over batches. The total is
+    the sum of the ``parts`` of the sums, or the shared time where they are nothing. Negative
+    times count as 0.
+    """
+    floored = df.select(doc, _c(batch).alias("_b"), *[F.when(F.col(c).isNotNull(), F.greatest(F.col(c), F.lit(0.0))).alias(c) for c in dict.fromkeys([*sums, shared])])
+    per_batch = floored.groupBy(doc, "_b").agg(*[F.sum(c).alias(f"_s_{c}") for c in sums], F.max(shared).alias("_shared"))
+    by_doc = per_batch.groupBy(doc).agg(*[F.round(F.sum(f"_s_{c}"), 6).alias(c) for c in sums], F.round(F.sum("_shared"), 6).alias("t_shared"))
+    total = sum((F.coalesce(F.col(c), F.lit(0.0)) for c in parts), F.lit(0.0))
+    return by_doc.withColumn("t_total", F.when(total > 0, F.round(total, 6)).otherwise(F.col("t_shared")))
+
+
+def compared(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """pairs of texts with exact_equal, normal_equal (single blanks, ends stripped), ratio, and both lengths."""
+    x, y = tx.collapsed(a), tx.collapsed(b)
+    return pairs.withColumns({
+        "exact_equal": F.col(a) == F.col(b), "normal_equal": x == y,
+        "ratio": F.when(x == y, 1.0).otherwise(F.round(tx.matching_ratio(x, y), 6)), "length_a": F.length(a), "length_b": F.length(b),
+    })
+
+
+def comparison_summary(rows: DataFrame, seconds: str | None = None) -> DataFrame:
+    """One row: pairs, those equal exactly and in normal form, and seconds a pair."""
+    timed = [F.round(F.sum(seconds) / F.count("*"), 3).alias("seconds_each")] if seconds else []
+    return rows.agg(F.count("*").alias("n"), F.count_if("exact_equal").alias("exact_equal"), F.count_if("normal_equal").alias("normal_equal"), *timed)
+
+
+def chosen_file(wanted: DataFrame, key: str, better: DataFrame, worse: DataFrame) -> DataFrame:
+    """wanted with the path of each key in ``better``, else in ``worse`` (key, path); source names the one, missing where there is none."""
+    one, two = (x.groupBy(key).agg(F.min("path").alias(n)) for x, n in ((better, "_better"), (worse, "_worse")))
+    joined = wanted.join(one, key, "left").join(two, key, "left")
+    source = F.when(F.col("_better").isNotNull(), "better").when(F.col("_worse").isNotNull(), "worse").otherwise("missing")
+    return joined.select(*wanted.columns, F.coalesce("_better", "_worse").alias("path"), source.alias("source"))
+
+
+def with_texts(report: DataFrame, texts: DataFrame, path: str) -> DataFrame:
+    """report with has_text: whether its path is among the texts' paths."""
+    known = texts.select(F.col("path").alias("_path")).distinct().withColumn("_there", F.lit(True))
+    return report.join(known, F.col(path) == F.col("_path"), "left").withColumn("has_text", F.coalesce("_there", F.lit(False))).drop("_path", "_there")
+
+
+def summary(df: DataFrame, values: list[str], among: Column | None = None, prefix: str = "") -> list[Column]:
+    """Mean, least and most of columns, over all rows or those where ``among`` holds; see medians for the rest."""
+    out = []
+    for v in values:
+        x = F.col(v) if among is None else F.when(among, F.col(v))
+        for name, f in (("mean", F.avg), ("min", F.min), ("max", F.max)):
+            out.append(F.round(f(x).cast("double"), 6).alias(f"{prefix}{v}_{name}"))
+    return out
 
 
 def reconciled(expected: DataFrame, found: DataFrame, group: str, key: str) -> DataFrame:
@@ -94,11 +243,6 @@ def reconciled(expected: DataFrame, found: DataFrame, group: str, key: str) -> D
     )
 
 
-def numbered(df: DataFrame, *order: Column | str, start: int = 1, name: str = "rank") -> DataFrame:
-    """Rows of a small table with their number in an order. For manifests; not for documents."""
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*order)) + (start - 1))
-
-
 def evenly_spaced(ids: DataFrame, key: str, *order: Column | str, count: int) -> DataFrame:
     """``count`` of the ids at even distances in the order; an error if there are fewer.
 
@@ -113,37 +257,6 @@ def evenly_spaced(ids: DataFrame, key: str, *order: Column | str, count: int) ->
     return numbered(ids.select(key), *order, name="_at").join(F.broadcast(wanted), "_at").select("sample_rank", key)
 
 
-def running_mean(df: DataFrame, group: str, value: str, every: int, *order: Column | str) -> DataFrame:
-    """Mean of all values up to every ``every``-th row of a group's order."""
-    w = Window.partitionBy(group).orderBy(*order)
-    return (
-        df.withColumn("n", F.row_number().over(w)).withColumn("running_avg", F.avg(value).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        .filter(F.col("n") % every == 0).select(group, "n", F.round("running_avg", 6).alias("running_avg"))
-    )
-
-
-def request_timing() -> dict[str, Column]:
-    """Durations of a request from its times; null where a time is missing or out of order."""
-    def span(a: str, b: str) -> Column:
-        return F.when(F.col(b) >= F.col(a), F.round(F.col(b) - F.col(a), 6))
-
-    def own(name: str, fallback: Column) -> Column:
-        return F.when(F.col(name).isNotNull(), F.round(F.greatest(F.col(name), F.lit(0.0)), 6)).otherwise(fallback)
-
-    return {
-        "t_request": span("arrival_time", "finished_time"),
-        "t_ttft": span("arrival_time", "first_token_time"),
-        "t_decode": span("first_token_time", "finished_time"),
-        "t_queue": own("time_in_queue", span("arrival_time", "first_scheduled_time")),
-    }
-
-
-def batch_rollup(df: DataFrame, doc: str, batch: Text, request: str, shared: str) -> DataFrame:
-    """By document: sum of request times; of shared times the most in each batch, then the sum."""
-    per_batch = df.withColumn("_b", _c(batch)).groupBy(doc, "_b").agg(F.sum(request).alias("_r"), F.max(shared).alias("_s"))
-    return per_batch.groupBy(doc).agg(F.round(F.sum("_r"), 6).alias("t_requests"), F.round(F.sum("_s"), 6).alias("t_shared"))
-
-
 def resumed(docs: DataFrame, done: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """Documents still to do, and those skipped because their output is there."""
     return docs.join(done.select(key).distinct(), key, "left_anti"), docs.join(done.select(key).distinct(), key, "left_semi").withColumn("status", F.lit("skipped"))

@@ -67,7 +67,8 @@ def resume_skip(spark: SparkSession, folder: str) -> DataFrame:
 
 def report_status(spark: SparkSession, folder: str) -> DataFrame:
     r = _report(spark, folder)
-    return r.groupBy("status").agg(F.count("*").alias("n"), F.round(F.avg("t_total_s"), 4).alias("mean_s"), F.round(F.median("t_total_s"), 4).alias("median_s"), F.sum("n_blocks").cast("bigint").alias("blocks"))
+    mid = ev.medians(r, ["status"], ["t_total_s"]).select("status", F.round("t_total_s_median", 4).alias("median_s"))
+    return r.groupBy("status").agg(F.count("*").alias("n"), F.round(F.avg("t_total_s"), 4).alias("mean_s"), F.sum("n_blocks").cast("bigint").alias("blocks")).join(mid, "status", "left")
 
 
 def confidence_percentiles(spark: SparkSession, folder: str) -> DataFrame:
@@ -78,8 +79,14 @@ def confidence_percentiles(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def run_summary(spark: SparkSession, folder: str) -> DataFrame:
-    p = table(spark, folder, "predictions_all")
-    return p.groupBy("model").agg(F.count("*").alias("docs"), F.count_if(F.col("error").isNotNull()).alias("errors"), F.count_if(F.col("prediction").isNotNull()).alias("valid"), *ev.summary(p, ["confidence_score"], F.col("prediction").isNotNull()))
+    p = table(spark, folder, "predictions_all").withColumn("model", F.coalesce("model", F.lit("")))
+    valid = F.col("prediction").isNotNull()
+    seconds = F.sum(F.col("timing")["t_total_file_s"])
+    mid = ev.medians(p.filter(valid), ["model"], ["confidence_score"]).withColumn("confidence_score_median", F.round("confidence_score_median", 6))
+    told = p.groupBy("model").agg(
+        F.count("*").alias("docs"), F.count_if(F.col("error").isNotNull()).alias("errors"), F.count_if(valid).alias("valid"), F.round(F.count("*") / seconds, 6).alias("docs_per_s"), *ev.summary(p, ["confidence_score"], valid)
+    )
+    return told.join(mid, "model", "left")
 
 
 def run_compare_delta(spark: SparkSession, folder: str) -> DataFrame:
@@ -89,37 +96,78 @@ def run_compare_delta(spark: SparkSession, folder: str) -> DataFrame:
     return side.select("strategy_used", F.round(a, 6).alias("once"), F.round(b, 6).alias("again"), F.round(b - a, 6).alias("delta"))
 
 
-def _items(spark: SparkSession, folder: str) -> DataFrame:
-    """One row an item of a record: its field and whether it stands in the text as it is."""
-    p = table(spark, folder, "predictions_all").filter("prediction is not null and ocr_text is not null")
-    names = lambda k: F.transform(entities.normalized(f"prediction.{k}"), lambda e: e["name"])
-    fields = {"title": F.array("prediction.title"), "inventors": names("inventors"), "assignees": names("assignees"), "classification": F.array("prediction.classification")}
-    each = F.array(*[F.struct(F.lit(k).alias("field"), c.alias("items")) for k, c in fields.items()])
-    return (
-        p.select("strategy_used", "rec_id", "ocr_text", F.explode(each).alias("f")).select("strategy_used", "rec_id", "ocr_text", "f.field", F.explode("f.items").alias("item"))
-        .filter(~tx.blank("item"))
-        .select("strategy_used", "rec_id", "field", F.contains("ocr_text", tx.strip("item")).alias("present"))
-        .withColumn("score", F.col("present").cast("double"))
-    )
+#: The fields whose presence is looked for, with their labels.
+LABELS = {
+    "title": "Title", "inventor_name": "Inventor name", "inventor_address": "Inventor address", "assignee_name": "Assignee name", "assignee_address": "Assignee address",
+    "pub_date_application": "Application date", "pub_date_publication": "Publication date", "pub_date_foreign": "Priority date", "classification": "Classification", "industrial_field": "Industrial field",
+}
+#: Those that SQL can look for as well: phrases are matched by a ratio that it lacks.
+EXACT = ("pub_date_application", "pub_date_publication", "pub_date_foreign", "classification")
+
+
+def field_items(record: str = "prediction") -> dict:
+    """The items of each field of a record, an array each; blank ones don't count."""
+    r = F.col(record)
+    both = {f"{one}_{what}": r[many][what] for one, many in (("inventor", "inventors"), ("assignee", "assignees")) for what in ("name", "address")}
+    plain = {f: F.array(r[f]) for f in LABELS if f not in both}
+    return {f: F.filter(F.coalesce((both | plain)[f], F.array().cast("array<string>")), lambda x: ~tx.blank(x)) for f in LABELS}
+
+
+def runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs over the files, united: the first and the last answer to each. run, norm_id, prediction, ocr_text."""
+    p = table(spark, folder, "predictions_all").filter("prediction is not null and ocr_text is not null and file_name is not null").select(_id("file_name"), "rec_id", "prediction", "ocr_text")
+    kept = [c for c in p.columns if c != "norm_id"]
+    first = p.groupBy("norm_id").agg(F.min_by(F.struct(*kept), "rec_id").alias("r"))
+    last = p.groupBy("norm_id").agg(F.max_by(F.struct(*kept), "rec_id").alias("r"))
+    return first.withColumn("run", F.lit("first")).unionByName(last.withColumn("run", F.lit("last"))).select("run", "norm_id", "r.prediction", "r.ocr_text")
+
+
+def _judged(spark: SparkSession, folder: str, fields: tuple[str, ...]) -> DataFrame:
+    """One row an item, and one a field without any: run, norm_id, field, present, score."""
+    own = field_items()
+    each = F.array(*[F.struct(F.lit(f).alias("field"), own[f].alias("items")) for f in fields])
+    r = runs(spark, folder).withColumn("normal", tx.search_normal("ocr_text"))
+    items = r.select("run", "norm_id", "ocr_text", "normal", F.explode(each).alias("f")).select("run", "norm_id", "ocr_text", "normal", "f.field", F.explode_outer("f.items").alias("item"))
+    dated, classed = F.col("field").startswith("pub_date_"), F.col("field") == "classification"
+    value = tx.search_normal("item")
+    exact = F.when(dated, dates.date_present("normal", "ocr_text", dates.iso_date("item"))).when(classed, tx.classification_present("normal", value))
+    if set(fields) <= set(EXACT):
+        return items.select("run", "norm_id", "field", exact.alias("present"), exact.cast("double").alias("score"))
+    marked = items.withColumns({"exact": exact, "score": F.when(dated | classed, exact.cast("double")).otherwise(tx.phrase_score("normal", F.when(~(dated | classed), value)))})
+    fits = tx.phrase_present("score", F.size(tx.search_tokens(value)))
+    return marked.select("run", "norm_id", "field", F.when(dated | classed, F.col("exact")).otherwise(fits).alias("present"), "score")
+
+
+def presence_all_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """Presence of the items of all ten fields, by run, document and field; phrases nearly or exactly."""
+    return ev.presence_by_field(_judged(spark, folder, tuple(LABELS)), "run", "norm_id", "field", "present", "score")
+
+
+def presence_all_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """The same by run and field, with labels."""
+    return ev.presence_summary(presence_all_fields(spark, folder), "run", "field", LABELS)
 
 
 def field_presence(spark: SparkSession, folder: str) -> DataFrame:
-    return ev.presence(_items(spark, folder), "strategy_used", "rec_id", "field", "present", "score")
+    """Presence of dates and classifications by run, document and field."""
+    return ev.presence_by_field(_judged(spark, folder, EXACT), "run", "norm_id", "field", "present", "score")
 
 
 def field_presence_rate(spark: SparkSession, folder: str) -> DataFrame:
-    per_doc = field_presence(spark, folder)
-    return per_doc.groupBy("strategy_used", "field").agg(F.sum("n_items").alias("n_items"), F.sum("n_present").alias("n_present")).withColumn("rate", F.round(tx.safe_ratio("n_present", "n_items"), 6))
+    return ev.presence_summary(field_presence(spark, folder), "run", "field", LABELS)
+
+
+def _by_document(spark: SparkSession, folder: str) -> DataFrame:
+    return ev.presence_by_document(field_presence(spark, folder), "run", "norm_id")
 
 
 def doc_presence_mean(spark: SparkSession, folder: str) -> DataFrame:
-    per_doc = _items(spark, folder).groupBy("strategy_used", "rec_id").agg(F.avg("score").alias("s"))
-    return per_doc.groupBy("strategy_used").agg(F.round(F.avg("s"), 6).alias("mean_presence"), F.count("*").alias("docs"))
+    return _by_document(spark, folder).groupBy("run").agg(F.round(F.avg("presence"), 6).alias("mean_presence"), F.round(F.avg("score"), 6).alias("mean_score"), F.count("*").alias("docs"))
 
 
 def presence_ecdf(spark: SparkSession, folder: str) -> DataFrame:
-    per_doc = _items(spark, folder).groupBy("strategy_used", "rec_id").agg(F.round(F.avg("score"), 6).alias("s"))
-    return ev.ecdf(per_doc, "strategy_used", "s", "rec_id")
+    per_doc = _by_document(spark, folder).filter("presence is not null").select("run", "norm_id", "presence")
+    return ev.ecdf(per_doc, "run", "presence", "norm_id")
 
 
 def _titles(spark: SparkSession, folder: str) -> DataFrame:
@@ -140,7 +188,10 @@ def cer_top20(spark: SparkSession, folder: str) -> DataFrame:
 
 def cer_summary(spark: SparkSession, folder: str) -> DataFrame:
     s = title_error_rates(spark, folder)
-    return s.agg(F.count("*").alias("n"), *ev.summary(s, ["cer", "wer"]), *ev.summary(s, ["cer"], F.col("char_dist") > 0, "changed_"))
+    one = s.agg(F.count("*").alias("n"), *ev.summary(s, ["cer", "wer"]), *ev.summary(s, ["cer"], F.col("char_dist") > 0, "changed_"))
+    mid = ev.medians(s.withColumn("changed_cer", F.when(F.col("char_dist") > 0, F.col("cer"))).withColumn("k", F.lit(1)), ["k"], ["cer", "wer", "changed_cer"])
+    told = mid.select("k", *[F.round(f"{v}_median", 6).alias(f"{v}_median") for v in ("cer", "wer", "changed_cer")])
+    return one.withColumn("k", F.lit(1)).join(told, "k", "left").drop("k")
 
 
 def request_timing(spark: SparkSession, folder: str) -> DataFrame:
@@ -148,7 +199,11 @@ def request_timing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def batch_timing_rollup(spark: SparkSession, folder: str) -> DataFrame:
-    return ev.batch_rollup(table(spark, folder, "request_metrics"), "file_name", F.floor(F.col("arrival_time") / 600), "model_execute_time", "scheduler_time").select("file_name", F.round("t_requests", 3).alias("t_requests"), F.round("t_shared", 3).alias("t_shared"))
+    """Per document: times of its requests summed, of the scheduler the most of each ten minutes."""
+    m = table(spark, folder, "request_metrics").withColumns({n: c for n, c in ev.request_timing().items()})
+    sums = ["t_request", "t_ttft", "t_decode", "t_queue", "t_model_forward", "t_model_execute"]
+    rolled = ev.batch_rollup(m, "file_name", F.floor(F.col("arrival_time") / 600), sums, "t_scheduler", ["t_request"])
+    return rolled.select("file_name", *[F.round(c, 3).alias(c) for c in (*sums, "t_shared", "t_total")])
 
 
 def timing_map_sum(spark: SparkSession, folder: str) -> DataFrame:
@@ -176,6 +231,69 @@ def combined_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return ev.numbered(a.unionByName(b), "src", "pos", name="rank").select(F.col("rank").cast("bigint").alias("rank"), "norm_id", "src")
 
 
+def input_positions(spark: SparkSession, folder: str) -> DataFrame:
+    """Position of each file in the order of the names, from 0."""
+    names = table(spark, folder, "ocr_report").filter("file_name is not null").select("file_name").distinct()
+    return ev.numbered(names, "file_name", start=0, name="position")
+
+
+def first_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The first fifty files by name: the limit is the operator."""
+    return input_positions(spark, folder).filter("position < 50").select("file_name")
+
+
+def first_seen_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Identifiers of two catalogs, once each, by where they were seen first."""
+    a = table(spark, folder, "sample_manifest").select("norm_id", F.lit(0).alias("src"), F.col("sample_rank").cast("string").alias("at"))
+    b = table(spark, folder, "patent_catalog").select("norm_id", F.lit(1).alias("src"), F.col("norm_id").alias("at"))
+    return ev.first_seen(a.unionByName(b), "norm_id", F.col("src"), F.col("at")).select("norm_id", F.col("first_0").alias("src"), F.col("first_1").alias("place"))
+
+
+def manifest_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The file of each sample: its page image if named, else the scan of the catalog, else none."""
+    wanted = table(spark, folder, "sample_manifest").select("norm_id").distinct()
+    images = table(spark, folder, "sample_manifest").filter("source is not null").select("norm_id", F.col("png_name").alias("path")).filter("path is not null")
+    scans = table(spark, folder, "ocr_report").select(_id("file_name"), F.col("file_name").alias("path")).filter("path is not null")
+    return ev.chosen_file(wanted, "norm_id", images, scans)
+
+
+def report_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Scans of the report with whether their text was delivered."""
+    r = table(spark, folder, "ocr_report").select("file_name", "status", "out_txt")
+    texts = table(spark, folder, "predictions_all").filter("ocr_text is not null").select(F.col("file_name").alias("path"))
+    return ev.with_texts(r, texts, "file_name").groupBy("status", "has_text").agg(F.count("*").alias("n"), F.count("out_txt").alias("named"))
+
+
+def wrapper_comparison(spark: SparkSession, folder: str) -> DataFrame:
+    """First against last title of each file: equal as they stand, in normal form, and lengths."""
+    p = table(spark, folder, "predictions_all").filter("prediction.title is not null and file_name is not null").select("file_name", "rec_id", F.col("prediction.title").alias("title"))
+    pairs = p.groupBy("file_name").agg(F.min_by("title", "rec_id").alias("a"), F.max_by("title", "rec_id").alias("b"))
+    return ev.compared(pairs, "a", "b").select("file_name", "exact_equal", "normal_equal", "ratio", "length_a", "length_b")
+
+
+def wrapper_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """How many of these pairs are equal."""
+    return ev.comparison_summary(wrapper_comparison(spark, folder))
+
+
+def score_coverage(spark: SparkSession, folder: str) -> DataFrame:
+    """Entries of the catalog with a prediction, without, and the share that has one."""
+    g = gold_pred_left(spark, folder)
+    has = ~F.col("pred_missing")
+    return g.agg(F.count("*").alias("wanted"), F.count_if(has).alias("found"), F.count_if(~has).alias("missing"), F.count_if(has & (F.col("error") == "")).alias("ok"), F.round(tx.safe_ratio(F.count_if(has), F.count("*")), 6).alias("coverage"))
+
+
+def printed_confidence(spark: SparkSession, folder: str) -> DataFrame:
+    """Confidence with two places, NA where there is none."""
+    return table(spark, folder, "predictions_all").select("rec_id", tx.printed("confidence_score", 2).alias("confidence"))
+
+
+def skew_medians(spark: SparkSession, folder: str) -> DataFrame:
+    """Median skew of the scans of a status: of angles within five degrees, 0 for fewer than five."""
+    r = table(spark, folder, "ocr_report").filter("deskew_angle is not null").groupBy("status").agg(F.collect_list("deskew_angle").alias("angles"))
+    return r.select("status", F.round(boxes.median_skew("angles", 5.0), 6).alias("angle"))
+
+
 def _pages(spark: SparkSession, folder: str) -> DataFrame:
     """Boxes of invented pages, one an order."""
     li = table(spark, folder, "lineitem")
@@ -204,6 +322,21 @@ def boxes_band_merge(spark: SparkSession, folder: str) -> DataFrame:
     return _pages(spark, folder).select("l_orderkey", F.to_json(boxes.band_boxes("boxes")).alias("boxes"))
 
 
+def boxes_inner(spark: SparkSession, folder: str) -> DataFrame:
+    """Width, height and inner crop of each page's first box."""
+    b = F.element_at("boxes", 1)
+    d = _pages(spark, folder).select("l_orderkey", boxes.size(b).alias("s"), boxes.inner(b, 0.15).alias("c"))
+    return d.select("l_orderkey", "s.width", "s.height", F.col("c.x1").alias("x1"), F.col("c.y1").alias("y1"), F.col("c.x2").alias("x2"), F.col("c.y2").alias("y2"))
+
+
+def boxes_split(spark: SparkSession, folder: str) -> DataFrame:
+    """A page of one large box split into title and columns, by its line numbers as ink."""
+    li = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", F.col("l_quantity").cast("int").alias("ink")))).alias("l"))
+    box = F.struct(F.lit(0).alias("x1"), F.lit(0).alias("y1"), (F.size("l") * 10).alias("x2"), F.lit(500).alias("y2"))
+    ink = F.flatten(F.transform("l", lambda x: F.array_repeat(x["ink"], 10)))
+    return li.select("l_orderkey", F.to_json(boxes.title_and_columns(box, ink)).alias("boxes"))
+
+
 def boxes_fused(spark: SparkSession, folder: str) -> DataFrame:
     """Boxes merged to a fixed point."""
     return _pages(spark, folder).select("l_orderkey", F.size(boxes.fused("boxes")).alias("n"))
@@ -225,7 +358,8 @@ QUERIES = {
     for f in (
         gold_pred_inner, gold_pred_left, report_left, catalog_anti, wanted_semi, id_reconciliation, resume_skip, report_status, confidence_percentiles, run_summary, run_compare_delta,
         field_presence, field_presence_rate, doc_presence_mean, presence_ecdf, title_error_rates, cer_top20, cer_summary, request_timing, batch_timing_rollup, timing_map_sum,
-        running_avg_progress, catalog_ids, even_sample, combined_manifest, boxes_nested, boxes_fallback, boxes_order, boxes_band_merge, boxes_fused,
+        presence_all_fields, presence_all_summary, input_positions, first_files, first_seen_ids, manifest_files, report_texts, wrapper_comparison, wrapper_summary, score_coverage,
+        printed_confidence, skew_medians, boxes_inner, boxes_split, running_avg_progress, catalog_ids, even_sample, combined_manifest, boxes_nested, boxes_fallback, boxes_order, boxes_band_merge, boxes_fused,
         *[_strategy(s) for s in strategies.STRATEGIES],
     )
 }
@@ -240,12 +374,26 @@ _CAT = """cat AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY norm_
         FROM patent_catalog WHERE norm_id IS NOT NULL) WHERE rn = 1)"""
 _REP = f"""rep AS (SELECT * FROM (SELECT {_stem('file_name')} AS norm_id, status, t_total_s, n_blocks, row_number() OVER (PARTITION BY {_stem('file_name')}
         ORDER BY scanned_at DESC NULLS LAST, ingested_at DESC NULLS LAST, coalesce(t_total_s, -1) DESC, status DESC) AS rn FROM ocr_report) WHERE rn = 1)"""
-_ITEMS = f"""{sql.ENTITIES},
-    items AS (
-        SELECT strategy_used, rec_id, 'title' AS field, prediction.title AS item, ocr_text FROM predictions_all WHERE prediction IS NOT NULL AND ocr_text IS NOT NULL
-        UNION ALL SELECT strategy_used, rec_id, 'classification', prediction.classification, ocr_text FROM predictions_all WHERE prediction IS NOT NULL AND ocr_text IS NOT NULL
-        UNION ALL SELECT strategy_used, p.rec_id, kind, name, ocr_text FROM predictions_all p JOIN entities USING (rec_id) WHERE prediction IS NOT NULL AND ocr_text IS NOT NULL),
-    scored AS (SELECT strategy_used, rec_id, field, contains(ocr_text, {sql.strip('item')}) AS present, contains(ocr_text, {sql.strip('item')})::INT::DOUBLE AS score FROM items WHERE coalesce({sql.strip('item')}, '') <> '')"""
+_RUNS = f"""runs AS (
+        SELECT run, norm_id, prediction, ocr_text FROM (
+            SELECT {_stem('file_name')} AS norm_id, prediction, ocr_text, unnest(['first', 'last']) AS run,
+                   row_number() OVER (PARTITION BY {_stem('file_name')} ORDER BY rec_id) AS a, row_number() OVER (PARTITION BY {_stem('file_name')} ORDER BY rec_id DESC) AS z
+            FROM predictions_all WHERE prediction IS NOT NULL AND ocr_text IS NOT NULL AND file_name IS NOT NULL) WHERE CASE run WHEN 'first' THEN a ELSE z END = 1)"""
+_MONTHS = "[" + ", ".join("[" + ", ".join(f"'{n}'" for n in names) + "]" for names in dates.MONTHS) + "]"
+_DATED = f"""n AS (SELECT run, norm_id, prediction, ocr_text, {sql.normal('ocr_text')} AS normal FROM runs),
+    items AS ({' UNION ALL '.join(f"SELECT run, norm_id, '{f}' AS field, prediction.{f} AS item, ocr_text, normal FROM n" for f in EXACT)}),
+    days AS (SELECT *, CASE WHEN field <> 'classification' THEN {sql.iso('item')} END AS day, {sql.normal('item')} AS plain FROM items),
+    spelt AS (SELECT *, day::VARCHAR AS iso, strftime(day, '%d') AS dd, strftime(day, '%m') AS mm, strftime(day, '%Y') AS yy, dayofmonth(day)::VARCHAR AS d, month(day)::VARCHAR AS m FROM days),
+    there AS (SELECT run, norm_id, field, CASE
+        WHEN NOT coalesce({sql.present('item')}, false) THEN NULL
+        WHEN field = 'classification' THEN CASE WHEN plain <> '' THEN contains(normal, plain) END
+        WHEN day IS NOT NULL THEN contains(normal, yy || ' ' || mm || ' ' || dd) OR contains(normal, dd || ' ' || mm || ' ' || yy) OR contains(normal, d || ' ' || m || ' ' || yy)
+            OR len(list_filter(({_MONTHS})[month(day)], lambda x: contains(normal, d || ' ' || x || ' ' || yy) OR contains(normal, dd || ' ' || x || ' ' || yy))) > 0
+            OR regexp_matches(ocr_text, '\\b(?:' || dd || '[./-]' || mm || '[./-]' || yy || '|' || d || '[./-]' || m || '[./-]' || yy || '|' || yy || '[./-]' || mm || '[./-]' || dd || ')\\b') END AS present FROM spelt),
+    fields AS (SELECT run, norm_id, field, count(present) AS n_items, count(*) FILTER (WHERE present) AS n_present,
+                      CASE WHEN count(present) > 0 THEN round(count(*) FILTER (WHERE present)::DOUBLE / count(present), 6) END AS presence_rate,
+                      count(*) FILTER (WHERE present)::DOUBLE AS score_sum FROM there GROUP BY 1, 2, 3),
+    docs AS (SELECT run, norm_id, sum(n_present)::DOUBLE / nullif(sum(n_items), 0) AS p FROM fields GROUP BY 1, 2)"""
 _TITLES = """t AS (SELECT rec_id, file_name, regexp_replace(lower(prediction.title), '[^a-z0-9 ]', '', 'g') AS pred FROM predictions_all WHERE prediction.title IS NOT NULL),
     f AS (SELECT file_name, arg_min(pred, rec_id) AS gold FROM t GROUP BY 1),
     n AS (SELECT rec_id, trim(regexp_replace(gold, ' +', ' ', 'g')) AS g, trim(regexp_replace(pred, ' +', ' ', 'g')) AS p FROM t JOIN f USING (file_name)),
@@ -262,7 +410,11 @@ def _stats(v: str, name: str, where: str = "") -> str:
     return ", ".join(f"round({f}({v}){w}::DOUBLE, 6) AS {name}_{s}" for s, f in (("mean", "avg"), ("median", "median"), ("min", "min"), ("max", "max")))
 
 
-_SPAN = lambda a, b: f"CASE WHEN {b} >= {a} THEN round({b} - {a}, 6) END"
+_SPAN = lambda a, b: f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL AND greatest({b}, 0) >= greatest({a}, 0) THEN round(greatest({b}, 0) - greatest({a}, 0), 6) END"
+_OWN = lambda c: f"CASE WHEN {c} IS NOT NULL THEN round(greatest({c}, 0), 6) END"
+_TIMES = f"""{_SPAN('arrival_time', 'finished_time')} AS t_request, {_SPAN('arrival_time', 'first_token_time')} AS t_ttft, {_SPAN('first_token_time', 'finished_time')} AS t_decode,
+    coalesce({_OWN('time_in_queue')}, {_SPAN('arrival_time', 'first_scheduled_time')}) AS t_queue, {_OWN('scheduler_time')} AS t_scheduler, {_OWN('model_forward_time')} AS t_model_forward, {_OWN('model_execute_time')} AS t_model_execute"""
+_SUMMED = ("t_request", "t_ttft", "t_decode", "t_queue", "t_model_forward", "t_model_execute")
 _SAMPLE = r"""ids AS (SELECT DISTINCT norm_id, regexp_extract(norm_id, '^[A-Z]{2}-(\d+)-', 1)::BIGINT AS number FROM patent_catalog WHERE regexp_matches(norm_id, '^CH-\d+-')),
     o AS (SELECT norm_id, row_number() OVER (ORDER BY number, norm_id) - 1 AS pos, count(*) OVER () AS total FROM ids),
     s AS (SELECT k + 1 AS sample_rank, norm_id FROM (SELECT unnest(range(40)) AS k) JOIN o ON pos = least(greatest(round_even((k + 0.5) * total::DOUBLE / 40 - 0.5, 0), 0), total - 1))"""
@@ -292,27 +444,57 @@ ORACLE = {
         SELECT strategy_used, n, mean, rerun_pct, l[1 + round_even((len(l) - 1) * 0.1::DOUBLE, 0)::BIGINT] AS p10, l[1 + round_even((len(l) - 1) * 0.5::DOUBLE, 0)::BIGINT] AS p50,
                l[1 + round_even((len(l) - 1) * 0.9::DOUBLE, 0)::BIGINT] AS p90 FROM g""",
     "run_summary": f"""
-        SELECT model, count(*) AS docs, count(error) AS errors, count(*) FILTER (WHERE prediction IS NOT NULL) AS valid,
+        SELECT coalesce(model, '') AS model, count(*) AS docs, count(error) AS errors, count(*) FILTER (WHERE prediction IS NOT NULL) AS valid, round(count(*) / sum(timing['t_total_file_s']), 6) AS docs_per_s,
                {_stats('confidence_score', 'confidence_score', 'prediction IS NOT NULL')} FROM predictions_all GROUP BY 1""",
     "run_compare_delta": """
         SELECT strategy_used, round(avg(confidence_score) FILTER (WHERE NOT was_rerun), 6) AS once, round(avg(confidence_score) FILTER (WHERE was_rerun), 6) AS again,
                round(avg(confidence_score) FILTER (WHERE was_rerun) - avg(confidence_score) FILTER (WHERE NOT was_rerun), 6) AS delta
         FROM predictions_all WHERE was_rerun IS NOT NULL GROUP BY 1""",
-    "field_presence": f"WITH {_ITEMS} SELECT strategy_used, rec_id, field, count(*) AS n_items, count(*) FILTER (WHERE present) AS n_present, round(sum(score), 6) AS score_sum FROM scored GROUP BY 1, 2, 3",
-    "field_presence_rate": f"""WITH {_ITEMS} SELECT strategy_used, field, count(*) AS n_items, count(*) FILTER (WHERE present) AS n_present,
-        round(count(*) FILTER (WHERE present)::DOUBLE / count(*), 6) AS rate FROM scored GROUP BY 1, 2""",
-    "doc_presence_mean": f"WITH {_ITEMS}, d AS (SELECT strategy_used, rec_id, avg(score) AS s FROM scored GROUP BY 1, 2) SELECT strategy_used, round(avg(s), 6) AS mean_presence, count(*) AS docs FROM d GROUP BY 1",
-    "presence_ecdf": f"""WITH {_ITEMS}, d AS (SELECT strategy_used, rec_id, round(avg(score), 6) AS s FROM scored GROUP BY 1, 2)
-        SELECT *, round(row_number() OVER (PARTITION BY strategy_used ORDER BY s, rec_id)::DOUBLE / count(*) OVER (PARTITION BY strategy_used), 6) AS ecdf FROM d""",
+    "field_presence": f"WITH {_RUNS}, {_DATED} SELECT *, presence_rate AS score_mean FROM fields",
+    "field_presence_rate": f"""WITH {_RUNS}, {_DATED} SELECT run, field, sum(n_items)::BIGINT AS n_items, sum(n_present)::BIGINT AS n_present,
+        round(sum(n_present)::DOUBLE / nullif(sum(n_items), 0), 6) AS presence_rate, round(sum(n_present)::DOUBLE / nullif(sum(n_items), 0), 6) AS score_mean,
+        CASE field {' '.join(f"WHEN '{f}' THEN '{LABELS[f]}'" for f in EXACT)} END AS label FROM fields GROUP BY 1, 2""",
+    "doc_presence_mean": f"WITH {_RUNS}, {_DATED} SELECT run, round(avg(round(p, 6)), 6) AS mean_presence, round(avg(round(p, 6)), 6) AS mean_score, count(*) AS docs FROM docs GROUP BY 1",
+    "presence_ecdf": f"""WITH {_RUNS}, {_DATED} SELECT run, norm_id, round(p, 6) AS presence,
+        round(row_number() OVER (PARTITION BY run ORDER BY round(p, 6), norm_id)::DOUBLE / count(*) OVER (PARTITION BY run), 6) AS ecdf FROM docs WHERE p IS NOT NULL""",
     "title_error_rates": f"WITH {_TITLES} SELECT * FROM e",
     "cer_top20": f"WITH {_TITLES} SELECT rec_id, cer, wer FROM e ORDER BY cer DESC NULLS LAST, wer DESC NULLS LAST, rec_id LIMIT 20",
     "cer_summary": f"WITH {_TITLES} SELECT count(*) AS n, {_stats('cer', 'cer')}, {_stats('wer', 'wer')}, {_stats('cer', 'changed_cer', 'char_dist > 0')} FROM e",
-    "request_timing": f"""
-        SELECT request_id, {_SPAN('arrival_time', 'finished_time')} AS t_request, {_SPAN('arrival_time', 'first_token_time')} AS t_ttft, {_SPAN('first_token_time', 'finished_time')} AS t_decode,
-               CASE WHEN time_in_queue IS NOT NULL THEN round(greatest(time_in_queue, 0), 6) ELSE {_SPAN('arrival_time', 'first_scheduled_time')} END AS t_queue FROM request_metrics""",
-    "batch_timing_rollup": """
-        WITH b AS (SELECT file_name, floor(arrival_time / 600) AS b, sum(model_execute_time) AS r, max(scheduler_time) AS s FROM request_metrics GROUP BY 1, 2)
-        SELECT file_name, round(round(sum(r), 6), 3) AS t_requests, round(round(sum(s), 6), 3) AS t_shared FROM b GROUP BY 1""",
+    "request_timing": f"SELECT request_id, {_TIMES} FROM request_metrics",
+    "batch_timing_rollup": f"""
+        WITH t AS (SELECT file_name, floor(arrival_time / 600) AS b, {_TIMES} FROM request_metrics),
+        b AS (SELECT file_name, b, {', '.join(f'sum({c}) AS {c}' for c in _SUMMED)}, max(t_scheduler) AS s FROM t GROUP BY 1, 2),
+        d AS (SELECT file_name, {', '.join(f'round(round(sum({c}), 6), 3) AS {c}' for c in _SUMMED)}, round(round(sum(s), 6), 3) AS t_shared FROM b GROUP BY 1)
+        SELECT *, CASE WHEN coalesce(t_request, 0) > 0 THEN t_request ELSE t_shared END AS t_total FROM d""",
+    "input_positions": "SELECT file_name, row_number() OVER (ORDER BY file_name) - 1 AS position FROM (SELECT DISTINCT file_name FROM ocr_report WHERE file_name IS NOT NULL)",
+    "first_files": "SELECT DISTINCT file_name FROM ocr_report WHERE file_name IS NOT NULL ORDER BY file_name LIMIT 50",
+    "first_seen_ids": """
+        WITH u AS (SELECT norm_id, 0 AS src, sample_rank::VARCHAR AS place FROM sample_manifest UNION ALL SELECT norm_id, 1, norm_id FROM patent_catalog)
+        SELECT norm_id, src, place FROM (SELECT *, row_number() OVER (PARTITION BY norm_id ORDER BY src, place) AS rn FROM u WHERE norm_id IS NOT NULL) WHERE rn = 1""",
+    "manifest_files": f"""
+        WITH w AS (SELECT DISTINCT norm_id FROM sample_manifest), p AS (SELECT norm_id, min(png_name) AS png FROM sample_manifest WHERE source IS NOT NULL GROUP BY 1),
+        r AS (SELECT {_stem('file_name')} AS norm_id, min(file_name) AS scan FROM ocr_report GROUP BY 1)
+        SELECT norm_id, coalesce(png, scan) AS path, CASE WHEN png IS NOT NULL THEN 'better' WHEN scan IS NOT NULL THEN 'worse' ELSE 'missing' END AS source
+        FROM w LEFT JOIN p USING (norm_id) LEFT JOIN r USING (norm_id)""",
+    "report_texts": """
+        SELECT status, has_text, count(*) AS n, count(out_txt) AS named FROM (
+            SELECT status, out_txt, coalesce(file_name IN (SELECT file_name FROM predictions_all WHERE ocr_text IS NOT NULL AND file_name IS NOT NULL), false) AS has_text FROM ocr_report) GROUP BY 1, 2""",
+    "wrapper_summary": f"""
+        WITH p AS (SELECT file_name, arg_min(prediction.title, rec_id) AS a, arg_max(prediction.title, rec_id) AS b FROM predictions_all WHERE prediction.title IS NOT NULL AND file_name IS NOT NULL GROUP BY 1)
+        SELECT count(*) AS n, count(*) FILTER (WHERE a = b) AS exact_equal, count(*) FILTER (WHERE {sql.collapsed('a')} = {sql.collapsed('b')}) AS normal_equal FROM p""",
+    "score_coverage": f"""
+        WITH {_PRED}, {_CAT}, g AS (SELECT cat.norm_id, rec_id, coalesce(error, '') AS error FROM cat LEFT JOIN pred USING (norm_id))
+        SELECT count(*) AS wanted, count(rec_id) AS found, count(*) - count(rec_id) AS missing, count(*) FILTER (WHERE rec_id IS NOT NULL AND error = '') AS ok, round(count(rec_id)::DOUBLE / count(*), 6) AS coverage FROM g""",
+    "printed_confidence": "SELECT rec_id, coalesce(printf('%.2f', confidence_score), 'NA') AS confidence FROM predictions_all",
+    "skew_medians": """
+        SELECT status, round(CASE WHEN count(deskew_angle) FILTER (WHERE abs(deskew_angle) <= 5) >= 5 THEN median(deskew_angle) FILTER (WHERE abs(deskew_angle) <= 5) ELSE 0 END::DOUBLE, 6) AS angle
+        FROM ocr_report WHERE deskew_angle IS NOT NULL GROUP BY 1""",
+    "boxes_inner": """
+        WITH f AS (SELECT l_orderkey, unnest(arg_min({'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2}, (x1, y1, x2, y2))) FROM (SELECT l_orderkey, 40 * (l_partkey % 20) AS x1, 30 * l_linenumber AS y1,
+            40 * (l_partkey % 20) + 20 * trunc(l_quantity)::BIGINT AS x2, 30 * l_linenumber + 25 + l_suppkey % 10 AS y2 FROM lineitem) GROUP BY 1),
+        m AS (SELECT *, trunc(0.15::DOUBLE * (x2 - x1))::BIGINT AS mx, trunc(0.15::DOUBLE * (y2 - y1))::BIGINT AS my FROM f),
+        a AS (SELECT *, least(x2 - 1, x1 + mx) AS ax, least(y2 - 1, y1 + my) AS ay FROM m)
+        SELECT l_orderkey, greatest(x2 - x1, 0) AS width, greatest(y2 - y1, 0) AS height, ax AS x1, ay AS y1, greatest(ax + 1, x2 - mx) AS x2, greatest(ay + 1, y2 - my) AS y2 FROM a""",
     "timing_map_sum": """
         SELECT strategy_used, k, count(*) AS n, round(sum(v), 3) AS total
         FROM (SELECT strategy_used, unnest(map_keys(timing)) AS k, unnest(map_values(timing)) AS v FROM predictions_all WHERE timing IS NOT NULL) GROUP BY 1, 2""",

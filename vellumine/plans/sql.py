@@ -31,6 +31,14 @@ def iso(x: str) -> str:
     return rf"(CASE WHEN regexp_full_match({strip(x)}, '\d{{4}}-\d{{2}}-\d{{2}}') THEN try_strptime({strip(x)}, '%Y-%m-%d')::DATE END)"
 
 
+def normal(x: str) -> str:
+    """The search form: without accents and case, & read as "and", other signs one blank. Halves and the like as they decompose."""
+    parts = f"lower(strip_accents({x}))"
+    for sign, plain in (("½", "1 2"), ("¼", "1 4"), ("¾", "3 4"), ("²", "2"), ("³", "3"), ("ſ", "s"), ("ª", "a"), ("º", "o"), ("¹", "1"), ("ĳ", "ij"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("™", "tm"), ("&", " and ")):
+        parts = f"replace({parts}, '{sign}', '{plain}')"
+    return f"trim(regexp_replace({parts}, '[^a-z0-9]+', ' ', 'g'))"
+
+
 COMPANY = r"\&|\bund\b|\bet\b|\bgmbh\b|\bag\b|\bsa\b|\bco\.|\bkg\b|\bltd\b|\binc\b|\bcorp\b|\bs\.a\.|\bs\.r\.l\."
 
 
