@@ -150,6 +150,49 @@ def load_profile(path: str | Path) -> Profile:
     return Profile(**given)
 
 
+def prompt_path(profile_path: str | Path, explicit: str | None = None, resource: str | None = None, resources: str | Path = ".", relative: str | None = None) -> Path | None:
+    """The prompt's file: the explicit one, else a resource of the library, else one beside the profile; None without any.
+
+    The last two must exist.
+    """
+    if explicit:
+        return Path(explicit).expanduser().resolve()
+    found = Path(resources) / resource if resource else Path(profile_path).parent / relative if relative else None
+    if found is not None and not found.exists():
+        raise FileNotFoundError(f"no prompt {found}")
+    return found.resolve() if found is not None else None
+
+
+def timings_kept(profile: "Profile", times: Mapping[str, tuple[float | None, float | None]]) -> dict[str, float]:
+    """Durations of begin and end times at the profile's level: none, total and generate, or all; never negative."""
+    wanted = {"off": (), "basic": ("t_total_s", "t_generate_s"), "detailed": tuple(times)}[profile.timings]
+    return {k: max(0.0, b - a) for k, (a, b) in times.items() if k in wanted and a is not None and b is not None}
+
+
+def flags(line: list[str]) -> dict[str, Any]:
+    """Overrides from arguments like --chunk-size-chars 5 and the pairs --x and --no-x; what isn't named isn't in it.
+
+    >>> flags(["--strategy", "chunked", "--no-do-sample", "--temperature", "0.5"])
+    {'strategy': 'chunked', 'do_sample': False, 'temperature': 0.5}
+    """
+    out: dict[str, Any] = {}
+    words = iter(line)
+    for word in words:
+        key = word.removeprefix("--").replace("-", "_")
+        name = key.removeprefix("no_")
+        if isinstance(SETTINGS.get(name, Setting("", None)).default, bool):
+            out[name] = key == name
+            continue
+        if not word.startswith("--") or key not in SETTINGS and key != "strategy":
+            raise ValueError(f"unknown argument {word!r}")
+        value = next(words, None)
+        if value is None:
+            raise ValueError(f"{word} needs a value")
+        kind = type(SETTINGS["name" if key == "strategy" else key].default)
+        out[key] = kind(value) if kind in (int, float) else value
+    return out
+
+
 def tesseract_options(line: str) -> tuple[int | None, int | None, dict[str, str]]:
     """Page mode, engine mode and variables of a command line like "--psm 6 -c a=b".
 

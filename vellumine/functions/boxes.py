@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from vellumine.functions.text import Text, _c
 
@@ -66,14 +66,6 @@ def title_and_columns(b: Column, ink: Column, title: float = 0.22, least: int =
     return F.when(two, F.array(head, box(b["x1"], cut, at, b["y2"]), box(at, cut, b["x2"], b["y2"]))).otherwise(F.array(head, body))
 
 
-def segmented(candidates: Text, width: Text, height: Text, ink: Column | None = None) -> Column:
-    """The boxes of a page from candidates: nested ones out, fused, one a band, and a single dominant box split."""
-    done = band_boxes(fused(without_nested(candidates)))
-    if ink is None:
-        return done
-    return F.when(needs_split(done, width, height), title_and_columns(F.get(done, F.lit(0)), ink)).otherwise(done)
-
-
 def without_nested(boxes: Text, share: float = 0.7) -> Column:
     """Boxes not lying for more than ``share`` of their area in a larger one."""
     bs = _c(boxes)
@@ -170,3 +162,12 @@ def resized(width: Text, height: Text, longest: int) -> Column:
     w, h = _c(width), _c(height)
     scale = F.least(F.lit(1.0), F.lit(float(longest)) / F.greatest(w, h))
     return F.struct(F.bround(w * scale).cast("int").alias("width"), F.bround(h * scale).cast("int").alias("height"))
+
+
+def segmented(df: DataFrame, candidates: str, width: Text, height: Text, ink: Column | None = None, out: str = "boxes") -> DataFrame:
+    """df with the boxes of each page from candidates: nested ones out, fused, one a band, and a single dominant box split by its ink."""
+    step = df.withColumn("_fused", fused(without_nested(candidates))).withColumn("_bands", band_boxes("_fused"))
+    done = F.col("_bands")
+    if ink is not None:
+        done = F.when(needs_split(done, width, height), title_and_columns(F.get(done, F.lit(0)), ink)).otherwise(done)
+    return step.withColumn(out, done).drop("_fused", "_bands")

@@ -75,8 +75,8 @@ def cumulated(df: DataFrame, groups: list[str], order: list[Column | str], **sum
 
 def numbered(df: DataFrame, *order: Column | str, start: int = 1, name: str = "rank") -> DataFrame:
     """Rows with their number in an order."""
-    ranked = cumulated(df, [], list(order), n=F.lit(1).cast("bigint"))
-    return ranked.select(*df.columns, (F.col("n_upto") + (start - 1)).alias(name))
+    ranked = cumulated(df, [], list(order), _r=F.lit(1).cast("bigint"))
+    return ranked.select(*df.columns, (F.col("_r_upto") + (start - 1)).alias(name))
 
 
 def _counted(df: DataFrame, groups: list[str], value: str) -> DataFrame:
@@ -140,14 +140,14 @@ def presence_summary(fields: DataFrame, run: str, field: str, labels: dict[str,
 
 def ecdf(df: DataFrame, group: str, value: str, tie: str) -> DataFrame:
     """Each row's share (i + 1) / n of its group's rows, in the order of the value."""
-    ranked = cumulated(df, [group], [value, tie], n=F.lit(1).cast("bigint"))
-    return ranked.select(*df.columns, F.round(F.col("n_upto") / F.col("n_all"), 6).alias("ecdf"))
+    ranked = cumulated(df, [group], [value, tie], _r=F.lit(1).cast("bigint"))
+    return ranked.select(*df.columns, F.round(F.col("_r_upto") / F.col("_r_all"), 6).alias("ecdf"))
 
 
 def running_mean(df: DataFrame, group: str, value: str, every: int, *order: Column | str) -> DataFrame:
     """Mean of all values up to every ``every``-th row of a group's order."""
-    summed = cumulated(df, [group], list(order), n=F.lit(1).cast("bigint"), v=F.col(value).cast("double"))
-    return summed.filter(F.col("n_upto") % every == 0).select(group, F.col("n_upto").cast("int").alias("n"), F.round(F.col("v_upto") / F.col("n_upto"), 6).alias("running_avg"))
+    summed = cumulated(df, [group], list(order), _r=F.lit(1).cast("bigint"), _m=F.col(value).cast("double"))
+    return summed.filter(F.col("_r_upto") % every == 0).select(group, F.col("_r_upto").cast("int").alias("n"), F.round(F.col("_m_upto") / F.col("_r_upto"), 6).alias("running_avg"))
 
 
 def first_seen(df: DataFrame, key: str, *order: Column) -> DataFrame:

@@ -23,6 +23,8 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+#: Tag of the row of a document that could not be read.
+ERROR = "error"
 TAGGED_SCHEMA = "root BIGINT, tag STRING, pk STRING, parent_pk STRING, ordinal INT, payload STRING"
 _ARROW = pa.schema(
     [
@@ -103,7 +105,8 @@ def tagged_rows(df: DataFrame, root: str, document: str, nodes: tuple[Node, ...]
     """Rows of all tables of the specification, from the JSON strings in ``document``.
 
     root: BIGINT column that identifies the record. through: members read through from the
-    document's top. Rows with a null root or document give nothing. The order of the rows
+    document's top. Rows with a null root or document, and text that is no JSON, give nothing;
+    a document nested too deep to be read gives one row tagged ``error``. The order of the rows
     isn't defined; the work is one narrow stage.
     """
 
@@ -113,14 +116,18 @@ def tagged_rows(df: DataFrame, root: str, document: str, nodes: tuple[Node, ...]
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if key is None or text is None:
                     continue
+                own: list = []
                 try:
                     value = _opened(json.loads(text))
-                except (ValueError, RecursionError):
+                    for step in through:
+                        value = _opened(value.get(step)) if isinstance(value, dict) else None
+                    if isinstance(value, dict):
+                        _visit(key, str(key), value, nodes, own)
+                except RecursionError:  # valid, but nested deeper than the parser goes
+                    own = [(key, ERROR, str(key), "", 0, '{"error": "too deep"}')]
+                except ValueError:
                     continue
-                for step in through:
-                    value = _opened(value.get(step)) if isinstance(value, dict) else None
-                if isinstance(value, dict):
-                    _visit(key, str(key), value, nodes, out)
+                out += own
             columns = list(zip(*out)) if out else [[]] * len(_ARROW)
             yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW)
 

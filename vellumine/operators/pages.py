@@ -6,12 +6,14 @@ return, how blocks of several pages share a batch, and what a failure costs.
 
 from __future__ import annotations
 
+import importlib
 import time
 from collections.abc import Callable, Iterator
 from typing import Any, Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark import Accumulator
+from pyspark.sql import Column, DataFrame, functions as F
 
 from vellumine.functions.text import class_snippets, has_class_cue, strip
 from vellumine.session import cut
@@ -37,6 +39,27 @@ class Recogniser(Protocol):
     def run_blocks(self, blocks: list[Any]) -> list[str]: ...
 
 
+#: Short names of recognisers: name to "module:factory". Plug-ins add theirs.
+RECOGNISERS: dict[str, str] = {}
+
+
+def plug_in(spec: str, known: dict[str, str] = RECOGNISERS) -> Callable[..., Any]:
+    """The factory of a plug-in, by short name, as "module:factory" or as "module.factory"."""
+    target = known.get(spec, spec)
+    module, _, name = target.partition(":") if ":" in target else target.rpartition(".")
+    if not module or not name:
+        raise ValueError(f"unknown plug-in {spec!r}; known: {', '.join(sorted(known))}, or module:factory")
+    found = getattr(importlib.import_module(module), name, None)
+    if found is None:
+        raise ImportError(f"no {name} in {module}")
+    return found
+
+
+def block_prompts(blocks: str, header: str, other: str, first: int = 1) -> Column:
+    """The prompt of each block of a page: ``header`` for the first ones, ``other`` for the rest."""
+    return F.transform(blocks, lambda b, i: F.when(i < first, F.lit(header)).otherwise(F.lit(other)))
+
+
 def recognised(engine: Recogniser, blocks: list[Any]) -> list[str]:
     """Texts of blocks; a batch that fails goes block by block, a block that fails is empty.
 
@@ -53,12 +76,12 @@ def recognised(engine: Recogniser, blocks: list[Any]) -> list[str]:
     return [""] if len(blocks) == 1 else [t for b in blocks for t in recognised(engine, [b])]
 
 
-def read_pages(files: DataFrame, decoder: Callable[[], Decoder], segmenter: Callable[[], Segmenter], engine: Callable[[], Recogniser], batch: int = 16) -> DataFrame:
+def read_pages(files: DataFrame, decoder: Callable[[], Decoder], segmenter: Callable[[], Segmenter], engine: Callable[[], Recogniser], batch: int = 16, progress: Accumulator | None = None) -> DataFrame:
     """path, blocks, boxes, error and timings of each file (path, content).
 
     Blocks of several pages fill one batch of the engine. Plug-ins are built once a worker.
     A page that can't be read or segmented has an error and no blocks. Written once, so
-    that no engine runs twice for a page.
+    that no engine runs twice for a page. progress: an accumulator that counts read pages.
     """
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -97,6 +120,8 @@ def read_pages(files: DataFrame, decoder: Callable[[], Decoder], segmenter: Call
                     if len(waiting) == batch:
                         flush()
             flush()
+            if progress is not None:
+                progress.add(len(pages))
             yield pd.DataFrame(pages, columns=[c.split()[0] for c in ("path", "blocks", "boxes", "error", "t_load_s", "t_segment_s", "t_ocr_s")])
 
     return cut(files.select("path", "content").mapInPandas(run, PAGE_SCHEMA))

@@ -30,6 +30,16 @@ _PARTY = """
     WHERE v IS NOT NULL"""
 
 ORACLE = {
+    "p4_passes": r"""
+        WITH ps AS (SELECT rec_id, unnest(json_extract(payload, '$.answer.passes[*]')) AS x, generate_subscripts(json_extract(payload, '$.answer.passes[*]'), 1) AS place FROM raw_outputs WHERE json_valid(payload)),
+        cs AS (SELECT rec_id, coalesce(try_cast(json_extract_string(x, '$.pass') AS INT), place) AS pass_no,
+                      unnest(CASE json_type(x, '$.chunks') WHEN 'ARRAY' THEN json_extract(x, '$.chunks[*]') ELSE [json_extract(x, '$.chunks')] END) AS c,
+                      generate_subscripts(CASE json_type(x, '$.chunks') WHEN 'ARRAY' THEN json_extract(x, '$.chunks[*]') ELSE [json_extract(x, '$.chunks')] END, 1) AS place FROM ps),
+        pr AS (SELECT rec_id, pass_no, coalesce(try_cast(json_extract_string(c, '$.chunk') AS INT), place) AS chunk_no, c,
+                      CASE json_type(c, '$.prediction') WHEN 'VARCHAR' THEN CASE WHEN json_valid(json_extract_string(c, '$.prediction')) THEN json_extract_string(c, '$.prediction')::JSON END
+                           ELSE coalesce(json_extract(c, '$.prediction'), c) END AS p FROM cs WHERE json_type(c) = 'OBJECT')
+        SELECT DISTINCT rec_id AS root, rec_id || '/pass:' || pass_no || '/chunk:' || chunk_no AS pk, rec_id || '/pass:' || pass_no AS parent_pk, chunk_no AS ordinal,
+               json_extract_string(p, '$.title') AS title, json_extract_string(p, '$.identifier') AS identifier FROM pr""",
     "p4_found": rf"""
         WITH ps AS (SELECT rec_id, unnest(json_extract(payload, '$.answer.passes[*]')) AS x FROM raw_outputs WHERE json_valid(payload)),
         cs AS (SELECT rec_id, json_extract_string(x, '$.pass')::INT AS pass_no,

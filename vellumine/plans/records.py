@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vellumine.functions import dates, entities, records, scoring, text as tx
+from vellumine import config
+from vellumine.functions import dates, entities, records, results, scoring, text as tx
+from vellumine.operators import delivery
 from vellumine.operators.merging import merged_records
 from vellumine.plans import sql
 from vellumine.session import table
@@ -154,6 +156,59 @@ def guardrail(spark: SparkSession, folder: str) -> DataFrame:
     return marked.select("rec_id", F.coalesce(F.size(entities.guarded_assignees("inventors", "assignees", "ocr_text", F.col("same"))), F.lit(0)).alias("n"), "same")
 
 
+def _trees(spark: SparkSession, folder: str) -> DataFrame:
+    """Invented page trees, one an order: a block a return flag, a line an item, words."""
+    word = F.struct("l_linenumber", F.array(F.concat(F.lit("p"), F.col("l_partkey").cast("string")), F.lit(" "), F.lit(None).cast("string"), F.concat(F.lit(" "), F.col("l_linestatus"))).alias("words"))
+    lines = table(spark, folder, "lineitem").groupBy("l_orderkey", "l_returnflag").agg(F.array_sort(F.collect_list(word)).alias("l"))
+    blocks = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_returnflag", F.col("l.words").alias("b")))).alias("p"))
+    return blocks.select("l_orderkey", F.col("p.b").alias("blocks"))
+
+
+def page_tree_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Text of page trees."""
+    return _trees(spark, folder).select("l_orderkey", results.page_text("blocks").alias("text"))
+
+
+def _answers(spark: SparkSession, folder: str, line: str, before: str, after: str) -> DataFrame:
+    li = table(spark, folder, "lineitem").select("l_orderkey", F.struct("l_linenumber", F.expr(line).alias("x")).alias("x"))
+    return li.groupBy("l_orderkey").agg(F.concat(F.lit(before), F.array_join(F.array_sort(F.collect_list("x"))["x"], ","), F.lit(after)).alias("answer"))
+
+
+def classic_ocr_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of classic answers, with detection and without; odd items are left out."""
+    boxed = _answers(spark, folder, "if(l_linenumber = 3, '[1]', concat('[[1,2],[\"p', l_partkey, ' \",0.9]]'))", "[[", "]]")
+    plain = _answers(spark, folder, "if(l_linenumber = 2, '[\" \",1]', concat('[\"', l_linestatus, '\",0.5]'))", "[", "]")
+    a = boxed.select("l_orderkey", results.classic_text("answer").alias("detected"))
+    return a.join(plain.select("l_orderkey", results.classic_text("answer", False).alias("plain")), "l_orderkey")
+
+
+def line_object_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of object answers, and all their strings."""
+    d = _answers(spark, folder, "concat('{\"text\":\"', if(l_linenumber = 2, ' ', concat('p', l_partkey)), '\",\"confidence\":1}')", '{"text_lines":[', "]}")
+    return d.select("l_orderkey", F.array_join(results.line_texts("answer"), "|").alias("lines"), F.array_join(results.harvested("answer"), "|").alias("harvest"))
+
+
+def delivered_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Answers assembled into the records that are delivered: successes and errors."""
+    p = table(spark, folder, "predictions_all")
+    got = p.select(F.col("rec_id").alias("id"), F.col("prediction").cast(records.RECORD).alias("record"), "error", "error_type", "error_detail", F.col("confidence_score").alias("confidence"), "strategy_used", "pass_count", "was_rerun", F.lit("[]").alias("raw_output"))
+    docs = p.select(F.col("rec_id").alias("id"), F.coalesce("file_name", F.lit("")).alias("file_name"), "ocr_path", "ocr_text")
+    d = delivery.delivered(got, docs, config.Profile(prompt_id="v2", save_strategy_meta=True, strategy="chunked"), "abc")
+    return d.select(F.col("id").alias("rec_id"), "file_name", "model", F.col("prediction.identifier").alias("identifier"), F.col("prediction.title").alias("title"), "error", "error_type", "strategy_used", "confidence_score", "prompt_id", "prompt_hash", "pass_count", "was_rerun", F.length("ocr_text").alias("n"))
+
+
+def ocr_only_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Records of the scans that were recognised well, with their delivered texts."""
+    texts = table(spark, folder, "predictions_all").filter("ocr_text is not null and file_name is not null").select("file_name", F.col("ocr_path").alias("path"), "ocr_text")
+    d = delivery.ocr_only(table(spark, folder, "ocr_report").select("file_name", "status"), texts)
+    return d.select("file_name", "ocr_path", "status", F.md5("ocr_text").alias("digest"))
+
+
+def raw_file_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw answers as the texts of their files."""
+    return table(spark, folder, "raw_outputs").select("raw_id", F.md5(delivery.raw_text("payload")).alias("digest"))
+
+
 def phrase_presence(spark: SparkSession, folder: str) -> DataFrame:
     """How much of the title stands in the text."""
     d = _delivered(spark, folder, "ocr_text").filter("ocr_text is not null")
@@ -167,7 +222,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         company_detector, entity_normalize, entity_from_string, entity_merge, company_move, entity_quality, date_parse, date_order_repair, date_duplicate_repair, date_coherence,
-        date_presence, missing_critical, confidence_score, *_MERGES, field_variance, json_shred, extract_json_object, identity_keys, guardrail, phrase_presence,
+        date_presence, missing_critical, confidence_score, *_MERGES, field_variance, json_shred, page_tree_text, classic_ocr_text, line_object_texts, delivered_records, ocr_only_records, raw_file_texts, extract_json_object, identity_keys, guardrail, phrase_presence,
     )
 }
 
@@ -260,6 +315,7 @@ def _merge_sql(policy: str | None) -> str:
         SELECT file_name, {one}, {alone} FROM checked LEFT JOIN people USING (file_name)"""
 
 
+_MONTHS = "[" + ", ".join("[" + ", ".join(f"'{n}'" for n in names) + "]" for names in dates.MONTHS) + "]"
 _VOTED = ("title", "inventors", "assignees", "pub_date_application", "pub_date_publication", "pub_date_foreign", "classification", "industrial_field")
 
 
@@ -328,6 +384,33 @@ ORACLE = {
                round(least(1.0::DOUBLE, 0.45::DOUBLE * completeness + 0.25::DOUBLE * date_coherence + 0.2::DOUBLE * entity_quality + 0.1::DOUBLE * title_in_text), 6) AS confidence FROM parts""",
     **{("merge_" + (p or "legacy")): _merge_sql(p) for p in (*scoring.POLICIES, None)},
     "field_variance": _VARIANCE_SQL,
+    "date_presence": f"""
+        WITH n AS (SELECT rec_id, ocr_text, {sql.normal('ocr_text')} AS normal, {_ISO['publication']} AS day FROM predictions_all WHERE prediction IS NOT NULL AND ocr_text IS NOT NULL),
+        s AS (SELECT *, strftime(day, '%d') AS dd, strftime(day, '%m') AS mm, strftime(day, '%Y') AS yy, dayofmonth(day)::VARCHAR AS d, month(day)::VARCHAR AS m FROM n)
+        SELECT rec_id, CASE WHEN day IS NOT NULL THEN contains(normal, yy || ' ' || mm || ' ' || dd) OR contains(normal, dd || ' ' || mm || ' ' || yy) OR contains(normal, d || ' ' || m || ' ' || yy)
+            OR len(list_filter(({_MONTHS})[month(day)], lambda x: contains(normal, d || ' ' || x || ' ' || yy) OR contains(normal, dd || ' ' || x || ' ' || yy))) > 0
+            OR regexp_matches(ocr_text, '\\b(?:' || dd || '[./-]' || mm || '[./-]' || yy || '|' || d || '[./-]' || m || '[./-]' || yy || '|' || yy || '[./-]' || mm || '[./-]' || dd || ')\\b') END AS present FROM s""",
+    "page_tree_text": """
+        WITH l AS (SELECT l_orderkey, l_returnflag, l_linenumber, trim(('p' || l_partkey) || '   ' || trim(l_linestatus)) AS t FROM lineitem),
+        b AS (SELECT l_orderkey, l_returnflag, string_agg(t, chr(10) ORDER BY l_linenumber, t) AS t FROM l GROUP BY 1, 2)
+        SELECT l_orderkey, string_agg(t, chr(10) || chr(10) ORDER BY l_returnflag) AS text FROM b GROUP BY 1""",
+    "classic_ocr_text": """
+        SELECT l_orderkey, coalesce(string_agg(('p' || l_partkey), chr(10) ORDER BY l_linenumber, 'p' || l_partkey) FILTER (WHERE l_linenumber <> 3), '') AS detected,
+               CASE WHEN count(*) = 1 THEN '' ELSE coalesce(string_agg(trim(l_linestatus), chr(10) ORDER BY l_linenumber, l_linestatus) FILTER (WHERE l_linenumber <> 2), '') END AS plain FROM lineitem GROUP BY 1""",
+    "line_object_texts": """
+        WITH l AS (SELECT l_orderkey, string_agg(('p' || l_partkey), '|' ORDER BY l_linenumber, 'p' || l_partkey) FILTER (WHERE l_linenumber <> 2) AS t,
+                          string_agg(('p' || l_partkey) || '|' || ('p' || l_partkey), '|' ORDER BY l_linenumber, 'p' || l_partkey) FILTER (WHERE l_linenumber <> 2) AS h FROM lineitem GROUP BY 1)
+        SELECT l_orderkey, coalesce(t, '') AS lines, coalesce(h, '') AS harvest FROM l""",
+    "delivered_records": r"""
+        SELECT rec_id, coalesce(file_name, '') AS file_name, CASE WHEN prediction IS NOT NULL THEN 'mistralai/Mistral-Small-3.1-24B-Instruct-2503' END AS model,
+               CASE WHEN prediction IS NOT NULL THEN split_part(regexp_replace(regexp_replace(coalesce(file_name, ''), '^.*/', ''), '\.[^.]*$', ''), '_', 1) END AS identifier, prediction.title AS title,
+               CASE WHEN prediction IS NULL THEN coalesce(error, 'exception: RuntimeError') END AS error, CASE WHEN prediction IS NULL THEN error_type END AS error_type,
+               coalesce(strategy_used, 'chunked') AS strategy_used, CASE WHEN prediction IS NOT NULL THEN coalesce(confidence_score, 0) ELSE 0 END AS confidence_score, 'v2' AS prompt_id, 'abc' AS prompt_hash,
+               CASE WHEN prediction IS NOT NULL THEN pass_count END AS pass_count, CASE WHEN prediction IS NOT NULL THEN was_rerun END AS was_rerun,
+               CASE WHEN prediction IS NOT NULL THEN length(ocr_text) END AS n FROM predictions_all""",
+    "ocr_only_records": r"""
+        SELECT file_name, ocr_path, 'ocr_only' AS status, md5(ocr_text) AS digest FROM predictions_all WHERE ocr_text IS NOT NULL AND file_name IS NOT NULL
+        AND regexp_replace(regexp_replace(file_name, '^.*/', ''), '\.[^.]*$', '') IN (SELECT regexp_replace(regexp_replace(file_name, '^.*/', ''), '\.[^.]*$', '') FROM ocr_report WHERE status = 'ok' AND file_name IS NOT NULL)""",
     "json_shred": """
         SELECT raw_id, json_extract_string(p, '$.file') AS file, json_extract_string(p, '$.answer.passes[0].chunks[0].prediction.title') AS title,
                json_extract_string(p, '$.answer.passes[0].chunks[0].usage.prompt_tokens')::BIGINT AS prompt_tokens, p IS NOT NULL AS valid

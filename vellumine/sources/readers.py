@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import re
 import tarfile
 from collections.abc import Iterator
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -16,10 +18,49 @@ REPORT = (
 )
 
 
-def pages(spark: SparkSession, folder: str, recursive: bool = True, suffixes: tuple[str, ...] = IMAGES) -> DataFrame:
-    """path and content of images and PDFs, by suffix in any case, in the order of the paths."""
+def file_names(spark: SparkSession, folder: str, recursive: bool = True, suffixes: tuple[str, ...] = IMAGES) -> DataFrame:
+    """path and length of a folder's files with one of the suffixes, in any case; no file is opened."""
     scan = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(folder)
-    return scan.filter(F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).isin(*suffixes)).select("path", "length", "content").orderBy("path")
+    return scan.filter(F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).isin(*suffixes)).select("path", "length")
+
+
+def pages(spark: SparkSession, folder: str, recursive: bool = True, suffixes: tuple[str, ...] = IMAGES, limit: int | None = None) -> DataFrame:
+    """path, length and content of images and PDFs, by suffix in any case.
+
+    In no order: sorting would move every scan's bytes; sort by path what is made of them.
+    limit: only the first so many by path, chosen by their names before any is read.
+    """
+    if limit is not None:
+        named = [r["path"] for r in file_names(spark, folder, recursive, suffixes).select("path").orderBy("path").limit(limit).collect()]
+        scan = spark.read.format("binaryFile").load(named) if named else file_names(spark, folder, recursive, suffixes).limit(0).withColumn("content", F.lit(None).cast("binary"))
+        return scan.select("path", "length", "content")
+    scan = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(folder)
+    return scan.filter(F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).isin(*suffixes)).select("path", "length", "content")
+
+
+def sample_pages(spark: SparkSession, folder: str, count: int, seed: int) -> DataFrame:
+    """path, length and content of ``count`` files drawn at random; the same seed draws the same files."""
+    names = file_names(spark, folder)
+    drawn = [r["path"] for r in names.orderBy(F.xxhash64(F.lit(seed), "path"), "path").limit(count).collect()]
+    return spark.read.format("binaryFile").load(drawn).select("path", "length", "content") if drawn else pages(spark, folder, limit=0)
+
+
+def ids_from_names(spark: SparkSession, folder: str, suffix: str, pattern: str = r"^(CH-\d+-[A-Z0-9]+)_full$") -> DataFrame:
+    """norm_id of the files whose name without its suffix fits the pattern's first group, once each."""
+    name = F.regexp_replace(F.substring_index("path", "/", -1), r"\.[^.]*$", "")
+    found = F.regexp_extract(name, pattern, 1)
+    return file_names(spark, folder, False, (suffix,)).select(found.alias("norm_id")).filter("norm_id <> ''").distinct()
+
+
+def manifest_ids(spark: SparkSession, path: str, column: str = "norm_id") -> DataFrame:
+    """The stripped identifiers of a manifest CSV, in no order, repeated ones as often as they stand there."""
+    return spark.read.csv(path, header=True).select(F.trim(column).alias(column))
+
+
+def json_object(path: str) -> dict:
+    """The object in a JSON file on the driver, empty if there is no file."""
+    file = Path(path)
+    return json.loads(file.read_text(encoding="utf-8")) if file.exists() else {}
 
 
 def texts(spark: SparkSession, folder: str, bad_bytes: str = "drop") -> DataFrame:
@@ -63,8 +104,10 @@ def report(spark: SparkSession, path: str) -> DataFrame:
 
 
 def catalog_ids(spark: SparkSession, paths: list[str], column: str = "norm_id", pattern: str = r"^CH-\d+-") -> DataFrame:
-    """Identifiers of several catalog files that fit a pattern, once each, by their number."""
-    ids = spark.read.csv(paths, header=True).select(F.trim(column).alias(column)).filter(F.col(column).rlike(pattern)).distinct()
+    """Identifiers of several catalog files that fit a pattern, once each, by their number; source is the first file that has it."""
+    ranks = F.create_map(*[F.lit(x) for i, p in enumerate(paths) for x in (p.rsplit("/", 1)[-1], i)])
+    read = spark.read.csv(paths, header=True).select(F.trim(column).alias(column), ranks[F.substring_index(F.input_file_name(), "/", -1)].alias("source"))
+    ids = read.filter(F.col(column).rlike(pattern)).groupBy(column).agg(F.min("source").alias("source"))
     return ids.orderBy(F.regexp_extract(column, r"-(\d+)-", 1).try_cast("int"), column)
 
 

@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
+import dataclasses
+import json
+from collections.abc import Mapping
+from datetime import datetime
+from pathlib import Path, PurePath
+from typing import Any
+
 from pyspark.sql import DataFrame, functions as F
 
+from vellumine.operators.delivery import raw_text
 from vellumine.sources.readers import REPORT
 
 _MODES = {False: "errorifexists", True: "overwrite"}
@@ -38,6 +46,39 @@ def texts(df: DataFrame, path: str, keep_empty: bool = True, force: bool = False
     (rows if keep_empty else rows.filter(F.trim("ocr_text") != "")).write.mode(_MODES[force]).parquet(path)
 
 
-def raw_outputs(df: DataFrame, outputs: str = "outputs") -> DataFrame:
-    """Raw answers of a row's chunks joined by a separator line."""
-    return df.withColumn(outputs, F.array_join(outputs, "\n\n--- CHUNK ---\n\n"))
+def raw_outputs(df: DataFrame, path: str, raw: str = "raw_output", force: bool = False) -> None:
+    """Raw answers as a parquet table of file_name and text, named as the files they stand for."""
+    df.filter(F.col(raw).isNotNull()).select(F.concat("file_name", F.lit(".raw.txt")).alias("file_name"), raw_text(raw).alias("text")).write.mode(_MODES[force]).parquet(path)
+
+
+def ocr_only(df: DataFrame, path: str, force: bool = False) -> None:
+    """Records of scans that were only recognised, one JSON object a line."""
+    json_lines(df.select("file_name", "ocr_path", "status", "ocr_text"), path, keep_nulls=False, force=force)
+
+
+def plain(value: Any) -> Any:
+    """A value as JSON can hold it: paths as strings, also inside mappings, sequences and dataclasses."""
+    if isinstance(value, PurePath):
+        return str(value)
+    if dataclasses.is_dataclass(value) and not isinstance(value, type):
+        return plain(dataclasses.asdict(value))
+    if isinstance(value, Mapping):
+        return {str(k): plain(v) for k, v in value.items()}
+    return [plain(v) for v in value] if isinstance(value, (list, tuple, set, frozenset)) else value
+
+
+def run_metadata(path: str, started: datetime, finished: datetime, **told: Any) -> dict:
+    """Writes what is told of a run, with its times, as one JSON file on the driver; returns it."""
+    meta = plain({**told, "started_at": started.isoformat(), "finished_at": finished.isoformat(), "wall_s": round(max(0.0, (finished - started).total_seconds()), 6)})
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    Path(path).write_text(json.dumps(meta, ensure_ascii=False, indent=2) + "\n", encoding="utf-8")
+    return meta
+
+
+def scored(scores: DataFrame, summary: DataFrame, folder: str, order: list[str], worst: DataFrame | None = None, force: bool = False) -> None:
+    """Rows as CSV in an order, the worst ones as one CSV file, and a summary of one row or few as JSON, in one folder."""
+    mode = _MODES[force]
+    scores.orderBy(*order).write.mode(mode).csv(f"{folder}/scores", header=True)
+    if worst is not None:
+        manifest(worst, f"{folder}/worst", force)
+    summary.coalesce(1).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.mode(mode).text(f"{folder}/summary")
