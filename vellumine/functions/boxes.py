@@ -137,10 +137,23 @@ def _fuse(boxes: list[tuple[int, int, int, int]], overlap: float, near: int) ->
     return todo
 
 
-def fused(boxes: Text, overlap: float = 0.15, near: int = 20) -> Column:
+def _outer(page: list[tuple[int, int, int, int]], share: float) -> list[tuple[int, int, int, int]]:
+    """As without_nested."""
+    def own(b):
+        return max(b[2] - b[0], 0) * max(b[3] - b[1], 0)
+
+    def both(a, b):
+        return max(min(a[2], b[2]) - max(a[0], b[0]), 0) * max(min(a[3], b[3]) - max(a[1], b[1]), 0)
+
+    return [a for a in page if not any(own(a) < own(b) and both(a, b) > own(a) * share for b in page)]
+
+
+def fused(boxes: Text, overlap: float = 0.15, near: int = 20, nested: float | None = None) -> Column:
     """Boxes merged to a fixed point where they overlap or nearly touch from above.
 
     The result depends on the order, so it can't be an aggregate; an Arrow batch a page.
+    nested: leave out nested boxes first, as without_nested does with this share (the argument
+    of a Python stage must not hold a lambda, so it can't be called before).
     """
 
     @F.pandas_udf(f"array<{BOX}>")
@@ -150,7 +163,8 @@ def fused(boxes: Text, overlap: float = 0.15, near: int = 20) -> Column:
             if page is None:
                 out.append(None)
                 continue
-            merged = _fuse([(b["x1"], b["y1"], b["x2"], b["y2"]) for b in page], overlap, near)
+            all_ = [(b["x1"], b["y1"], b["x2"], b["y2"]) for b in page]
+            merged = _fuse(all_ if nested is None else _outer(all_, nested), overlap, near)
             out.append([dict(zip(("x1", "y1", "x2", "y2"), map(int, b))) for b in merged])
         return pd.Series(out)
 
@@ -166,7 +180,7 @@ def resized(width: Text, height: Text, longest: int) -> Column:
 
 def segmented(df: DataFrame, candidates: str, width: Text, height: Text, ink: Column | None = None, out: str = "boxes") -> DataFrame:
     """df with the boxes of each page from candidates: nested ones out, fused, one a band, and a single dominant box split by its ink."""
-    step = df.withColumn("_fused", fused(without_nested(candidates))).withColumn("_bands", band_boxes("_fused"))
+    step = df.withColumn("_fused", fused(candidates, nested=0.7)).withColumn("_bands", band_boxes("_fused"))
     done = F.col("_bands")
     if ink is not None:
         done = F.when(needs_split(done, width, height), title_and_columns(F.get(done, F.lit(0)), ink)).otherwise(done)
