@@ -422,7 +422,37 @@ _BOXES = """b AS (SELECT l_orderkey, 40 * (l_partkey % 20) AS x1, 30 * l_linenum
         row_number() OVER () AS id FROM lineitem),
     a AS (SELECT *, greatest(x2 - x1, 0) * greatest(y2 - y1, 0) AS area FROM b)"""
 
+_BOX_LISTS = """pages AS (SELECT l_orderkey, {'y1': y1, 'x1': x1, 'x2': x2, 'y2': y2} AS b, row_number() OVER (PARTITION BY l_orderkey ORDER BY y1, x1, x2, y2) AS rn FROM b)"""
+
+
+def _bands(least: float) -> str:
+    """SQL of the groups of boxes of a page: each box, from the top, joins the first group with one in its band."""
+    over, lower = "(least(m.y2, p.b.y2) - greatest(m.y1, p.b.y1))", "greatest(least(m.y2 - m.y1, p.b.y2 - p.b.y1), 1)"
+    at = f"list_position(list_transform(gs, lambda g: len(list_filter(g, lambda m: {over}::DOUBLE / {lower} >= {least}::DOUBLE)) > 0), true)"
+    return f"""WITH RECURSIVE {_BOXES}, {_BOX_LISTS},
+        steps AS (SELECT l_orderkey, 1 AS i, [[b]] AS gs FROM pages WHERE rn = 1
+                  UNION ALL
+                  SELECT s.l_orderkey, i + 1, CASE WHEN coalesce({at}, 0) = 0 THEN list_append(gs, [p.b]) ELSE list_transform(gs, lambda g, k: CASE WHEN k = {at} THEN list_append(g, p.b) ELSE g END) END
+                  FROM steps s JOIN pages p ON p.l_orderkey = s.l_orderkey AND p.rn = i + 1),
+        bands AS (SELECT l_orderkey, arg_max(gs, i) AS gs FROM steps GROUP BY 1)"""
+
+
+def _edge(f: str, name: str) -> str:
+    return f"'{name}': list_{f}(list_transform(g, lambda m: m.{name}))"
+
+
 ORACLE = {
+    "boxes_order": f"""{_bands(0.3)}
+        SELECT l_orderkey, to_json(flatten(list_transform(gs, lambda g: list_sort(list_transform(g, lambda m: {{'x1': m.x1, 'y1': m.y1, 'x2': m.x2, 'y2': m.y2}})))))::VARCHAR AS boxes FROM bands""",
+    "boxes_band_merge": f"""{_bands(0.2)}
+        SELECT l_orderkey, to_json(list_transform(gs, lambda g: {{{_edge('min', 'x1')}, {_edge('min', 'y1')}, {_edge('max', 'x2')}, {_edge('max', 'y2')}}}))::VARCHAR AS boxes FROM bands""",
+    "boxes_split": """
+        WITH i AS (SELECT l_orderkey, count(*) * 10 AS w, flatten(list(list_transform(range(10), lambda k: trunc(l_quantity)::BIGINT) ORDER BY l_linenumber, trunc(l_quantity)::BIGINT)) AS ink FROM lineitem GROUP BY 1),
+        m AS (SELECT *, greatest(5, trunc(0.1::DOUBLE * w)::BIGINT) AS edge FROM i),
+        v AS (SELECT *, list_slice(ink, edge + 1, w - edge) AS mid FROM m),
+        a AS (SELECT *, edge + list_position(mid, list_min(mid)) - 1 AS split_x, coalesce(list_max(mid) > 0 AND list_min(mid)::DOUBLE / list_max(mid) < 0.75, false) AS two FROM v)
+        SELECT l_orderkey, CASE WHEN two THEN to_json([{'x1': 0, 'y1': 0, 'x2': w, 'y2': 110}, {'x1': 0, 'y1': 110, 'x2': split_x, 'y2': 500}, {'x1': split_x, 'y1': 110, 'x2': w, 'y2': 500}])
+               ELSE to_json([{'x1': 0, 'y1': 0, 'x2': w, 'y2': 110}, {'x1': 0, 'y1': 110, 'x2': w, 'y2': 500}]) END::VARCHAR AS boxes FROM a""",
     "gold_pred_inner": f"WITH {_PRED}, {_CAT} SELECT norm_id, grant_year, rec_id, confidence_score FROM cat JOIN pred USING (norm_id)",
     "gold_pred_left": f"WITH {_PRED}, {_CAT} SELECT cat.norm_id, grant_year, rec_id, rec_id IS NULL AS pred_missing, coalesce(error, '') AS error FROM cat LEFT JOIN pred USING (norm_id)",
     "report_left": f"WITH {_REP} SELECT rec_id, p.norm_id, coalesce(status, 'missing') AS status, n_blocks FROM (SELECT rec_id, {_stem('file_name')} AS norm_id FROM predictions_all) p LEFT JOIN rep USING (norm_id)",

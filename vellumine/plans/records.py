@@ -384,6 +384,9 @@ ORACLE = {
                round(least(1.0::DOUBLE, 0.45::DOUBLE * completeness + 0.25::DOUBLE * date_coherence + 0.2::DOUBLE * entity_quality + 0.1::DOUBLE * title_in_text), 6) AS confidence FROM parts""",
     **{("merge_" + (p or "legacy")): _merge_sql(p) for p in (*scoring.POLICIES, None)},
     "field_variance": _VARIANCE_SQL,
+    "identity_keys": f"""
+        SELECT DISTINCT name, {sql.identity('name')} AS key
+        FROM (SELECT unnest(prediction.inventors).name AS name FROM predictions_all UNION ALL SELECT unnest(prediction.assignees).name FROM predictions_all) WHERE name IS NOT NULL""",
     "date_presence": f"""
         WITH n AS (SELECT rec_id, ocr_text, {sql.normal('ocr_text')} AS normal, {_ISO['publication']} AS day FROM predictions_all WHERE prediction IS NOT NULL AND ocr_text IS NOT NULL),
         s AS (SELECT *, strftime(day, '%d') AS dd, strftime(day, '%m') AS mm, strftime(day, '%Y') AS yy, dayofmonth(day)::VARCHAR AS d, month(day)::VARCHAR AS m FROM n)

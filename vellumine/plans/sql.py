@@ -33,10 +33,18 @@ def iso(x: str) -> str:
 
 def normal(x: str) -> str:
     """The search form: without accents and case, & read as "and", other signs one blank. Halves and the like as they decompose."""
-    parts = f"lower(strip_accents({x}))"
-    for sign, plain in (("½", "1 2"), ("¼", "1 4"), ("¾", "3 4"), ("²", "2"), ("³", "3"), ("ſ", "s"), ("ª", "a"), ("º", "o"), ("¹", "1"), ("ĳ", "ij"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("™", "tm"), ("&", " and ")):
-        parts = f"replace({parts}, '{sign}', '{plain}')"
-    return f"trim(regexp_replace({parts}, '[^a-z0-9]+', ' ', 'g'))"
+    return identity(f"replace({x}, '&', ' and ')")
+
+
+#: Characters whose compatibility form isn't a letter with marks, as far as the tables have them; fixed values.
+_COMPATIBLE = {"½": "1 2", "¼": "1 4", "¾": "3 4", "²": "2", "³": "3", "¹": "1", "ſ": "s", "ª": "a", "º": "o", "ĳ": "ij", "ﬁ": "fi", "ﬂ": "fl", "™": "tm", "ⁿ": "n"}
+
+
+def identity(x: str) -> str:
+    """Letters and digits without accents and case, in single blanks."""
+    for sign, plain in _COMPATIBLE.items():
+        x = f"replace({x}, '{sign}', '{plain}')"
+    return f"trim(regexp_replace(lower(strip_accents({x})), '[^a-z0-9]+', ' ', 'g'))"
 
 
 COMPANY = r"\&|\bund\b|\bet\b|\bgmbh\b|\bag\b|\bsa\b|\bco\.|\bkg\b|\bltd\b|\binc\b|\bcorp\b|\bs\.a\.|\bs\.r\.l\."

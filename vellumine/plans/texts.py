@@ -102,7 +102,7 @@ def self_applicant_cue(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def search_normal_text(spark: SparkSession, folder: str) -> DataFrame:
-    """Accent-free normal form of every text; decomposition isn't expressible in SQL."""
+    """Accent-free normal form of every text."""
     return _docs(spark, folder).filter("text is not null").select("doc_id", F.md5(tx.search_normal("text")).alias("digest"))
 
 
@@ -134,6 +134,7 @@ _SNIP_LINES = rf"list_filter(list_transform({sql.lines('ocr_text')}, lambda l: {
 _SNIP_INLINE = rf"list_filter(list_transform(regexp_extract_all(ocr_text, '{tx.CLASS_INLINE}', 0), lambda l: {sql.strip('l')}), lambda l: l <> '')"
 
 ORACLE = {
+    "search_normal_text": f"SELECT doc_id, md5({sql.normal('text')}) AS digest FROM documents WHERE text IS NOT NULL",
     "doc_proxy_metrics": f"""
         SELECT doc_id, length(text)::BIGINT AS n_chars, len({_FULL_LINES})::BIGINT AS n_lines, (len({sql.lines('text')}) - len({_FULL_LINES}))::BIGINT AS n_empty_lines,
                round(CASE WHEN len({_FULL_LINES}) > 0 THEN coalesce(list_sum(list_transform({_FULL_LINES}, lambda l: length(l))), 0)::DOUBLE / len({_FULL_LINES}) ELSE 0 END, 6) AS avg_line_len,
