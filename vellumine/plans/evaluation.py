@@ -203,7 +203,7 @@ def batch_timing_rollup(spark: SparkSession, folder: str) -> DataFrame:
     m = table(spark, folder, "request_metrics").withColumns({n: c for n, c in ev.request_timing().items()})
     sums = ["t_request", "t_ttft", "t_decode", "t_queue", "t_model_forward", "t_model_execute"]
     rolled = ev.batch_rollup(m, "file_name", F.floor(F.col("arrival_time") / 600), sums, "t_scheduler", ["t_request"])
-    return rolled.select("file_name", *[F.round(c, 3).alias(c) for c in (*sums, "t_shared", "t_total")])
+    return rolled.select("file_name", *sums, "t_shared", "t_total")
 
 
 def timing_map_sum(spark: SparkSession, folder: str) -> DataFrame:
@@ -494,7 +494,7 @@ ORACLE = {
     "batch_timing_rollup": f"""
         WITH t AS (SELECT file_name, floor(arrival_time / 600) AS b, {_TIMES} FROM request_metrics),
         b AS (SELECT file_name, b, {', '.join(f'sum({c}) AS {c}' for c in _SUMMED)}, max(t_scheduler) AS s FROM t GROUP BY 1, 2),
-        d AS (SELECT file_name, {', '.join(f'round(round(sum({c}), 6), 3) AS {c}' for c in _SUMMED)}, round(round(sum(s), 6), 3) AS t_shared FROM b GROUP BY 1)
+        d AS (SELECT file_name, {', '.join(f'round(sum({c}), 6) AS {c}' for c in _SUMMED)}, round(sum(s), 6) AS t_shared FROM b GROUP BY 1)
         SELECT *, CASE WHEN coalesce(t_request, 0) > 0 THEN t_request ELSE t_shared END AS t_total FROM d""",
     "input_positions": "SELECT file_name, row_number() OVER (ORDER BY file_name) - 1 AS position FROM (SELECT DISTINCT file_name FROM ocr_report WHERE file_name IS NOT NULL)",
     "first_files": "SELECT DISTINCT file_name FROM ocr_report WHERE file_name IS NOT NULL ORDER BY file_name LIMIT 50",
