@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from vellumine.functions import boxes, dates, entities, text as tx
 from vellumine.operators import evaluation as ev
 from vellumine.operators import strategies
+from vellumine.operators.chunking import Chunking
 from vellumine.plans import sql
 from vellumine.session import table
 
@@ -346,7 +347,10 @@ def _strategy(name: str):
     def query(spark: SparkSession, folder: str) -> DataFrame:
         docs = table(spark, folder, "documents")
         got = strategies.extract(docs, "doc_id", "text", name)
-        return got.select("id", F.col("record.title").alias("title"), "error", "confidence")
+        return got.select(
+            "id", F.col("record.title").alias("title"), F.col("record.pub_date_application").alias("application"), F.col("record.pub_date_publication").alias("publication"), "error",
+            "confidence", "strategy_used", "was_rerun", F.col("pass_count").cast("bigint").alias("pass_count"), "merge_policy_used", F.col("self_consistency_variance").alias("variance"),
+        )
 
     query.__name__ = "strategy_" + name
     query.__doc__ = f"The {name} strategy over all documents with the stand-in backend."
@@ -422,6 +426,65 @@ _BOXES = """b AS (SELECT l_orderkey, 40 * (l_partkey % 20) AS x1, 30 * l_linenum
         row_number() OVER () AS id FROM lineitem),
     a AS (SELECT *, greatest(x2 - x1, 0) * greatest(y2 - y1, 0) AS area FROM b)"""
 
+_CHUNKS = Chunking()
+_PROMPTED = strategies.TEMPLATE.split("\n")[0]
+
+
+def _windows(offset: int) -> str:
+    """Windows of the documents from an offset on, with their number in the pass."""
+    step = _CHUNKS.size - _CHUNKS.overlap
+    return f"""SELECT id, {offset} AS off, k, substring(text, {offset} + k * {step} + 1, {_CHUNKS.size}) AS body, length(text) AS n
+        FROM (SELECT id, text, unnest(range(CASE WHEN length(text) <= {offset} THEN 0 ELSE 1 + ceil(greatest(length(text) - {offset} - {_CHUNKS.size}, 0) / {step}.0)::BIGINT END)) AS k FROM docs)"""
+
+
+def _answers(name: str, prompts: str) -> str:
+    """What the stand-in model answers to prompts (id, ord, body): the first date and the last, validated."""
+    return f"""{name}_d AS (SELECT id, ord, regexp_extract_all(body, '\\b(\\d{{4}}-\\d{{2}}-\\d{{2}})\\b', 1) AS days FROM ({prompts})),
+        {name}_r AS (SELECT id, ord, days[1] AS a, CASE WHEN len(days) > 1 THEN days[-1] END AS p FROM {name}_d),
+        {name} AS (SELECT id, ord, CASE WHEN coalesce(a = p, false) THEN NULL ELSE {sql.iso('a')} END AS application, {sql.iso('p')} AS publication FROM {name}_r)"""
+
+
+def _by_policy(name: str, source: str) -> str:
+    """Answers (id, ord, application, publication) merged by the first that isn't missing; one stays as it is."""
+    return f"""{name}_m AS (SELECT id, count(*) AS n, arg_min(application, ord) FILTER (WHERE application IS NOT NULL) AS a, arg_min(publication, ord) FILTER (WHERE publication IS NOT NULL) AS p FROM ({source}) GROUP BY 1),
+        {name} AS (SELECT id, n, CASE WHEN n > 1 AND coalesce(a >= p, false) THEN NULL ELSE a END AS application, p AS publication FROM {name}_m)"""
+
+
+_TRUNCATED_DOC = f"CASE WHEN length(text) > {_CHUNKS.max_chars} THEN substring(text, 1, {_CHUNKS.max_chars}) || chr(10) || '[...] (truncated)' ELSE text END"
+_STRATEGY = f"""
+    WITH docs AS (SELECT doc_id AS id, text FROM documents WHERE coalesce({sql.strip('text')}, '') <> ''),
+    w AS (SELECT * FROM ({' UNION ALL '.join(_windows(o) for o in _CHUNKS.offsets)}) WHERE {sql.strip('body')} <> ''),
+    parts AS (SELECT id, row_number() OVER (PARTITION BY id ORDER BY off, k) AS ord, body, n FROM w),
+    {_answers('auto_', f"SELECT id, ord, body FROM parts WHERE n > {_CHUNKS.max_chars} UNION ALL SELECT id, 1, {_TRUNCATED_DOC} FROM docs WHERE id NOT IN (SELECT id FROM parts WHERE n > {_CHUNKS.max_chars})")},
+    {_answers('all_', f"SELECT id, ord, body FROM parts UNION ALL SELECT id, 1, {_TRUNCATED_DOC} FROM docs WHERE id NOT IN (SELECT id FROM parts)")},
+    {_answers('head_', f"SELECT id, 1 AS ord, array_to_string(list_slice({sql.lines('text')}, 1, {_CHUNKS.header_lines}), chr(10)) AS body FROM docs")},
+    base_m AS (SELECT id, count(*) AS n, min(publication) AS p, min(application) AS a FROM auto_ GROUP BY 1),
+    base_f AS (SELECT m.id, any_value(n) AS n, any_value(p) AS p, coalesce(min(application) FILTER (WHERE application <= p), any_value(a)) AS a FROM base_m m JOIN auto_ USING (id) GROUP BY 1),
+    base AS (SELECT id, n, CASE WHEN n > 1 AND coalesce(a = p, false) THEN NULL ELSE a END AS application, p AS publication FROM base_f),
+    {_by_policy('parted', 'SELECT * FROM all_')},
+    {_by_policy('headed', 'SELECT * FROM head_ UNION ALL SELECT id, 2, application, publication FROM base')},
+    {_by_policy('twice', 'SELECT id, 1 AS ord, application, publication FROM base UNION ALL SELECT id, 2, application, publication FROM base')}"""
+
+
+def _strategy_sql(name: str) -> str:
+    source, passes, policy, rerun = {
+        "baseline": ("base", "b.n", "CASE WHEN length(text) > 10000 AND b.id IN (SELECT id FROM parts) THEN 'legacy_baseline' ELSE 'n/a_single' END", "false"),
+        "chunked": ("parted", "m.n", "'prefer_non_null'", "false"),
+        "header_first": ("headed", "1 + b.n", "'prefer_non_null'", "true"),
+        "two_pass_targeted": ("twice", "2 * b.n", "'prefer_non_null'", "true"),
+        "self_consistency": ("twice", "2 * b.n", "'vote_majority'", "true"),
+    }[name]
+    variance = "0.0::DOUBLE" if name == "self_consistency" else "NULL::DOUBLE"
+    full = "(1 + (m.application IS NOT NULL)::INT + (m.publication IS NOT NULL)::INT)::DOUBLE / 8"
+    ordered = "CASE WHEN m.application IS NOT NULL AND m.publication IS NOT NULL THEN (m.application <= m.publication)::INT::DOUBLE ELSE 0.6::DOUBLE END"
+    return f"""{_STRATEGY}
+        SELECT d.id, '{_PROMPTED}' AS title, m.application::VARCHAR AS application, m.publication::VARCHAR AS publication, NULL::VARCHAR AS error,
+               round(0.45::DOUBLE * {full} + 0.25::DOUBLE * {ordered} + CASE WHEN contains(text, '{_PROMPTED}') THEN 0.1::DOUBLE ELSE 0 END, 6) AS confidence,
+               '{name}' AS strategy_used, {rerun} AS was_rerun, ({passes})::BIGINT AS pass_count, {policy} AS merge_policy_used, {variance} AS variance
+        FROM docs d JOIN {source} m USING (id) JOIN base b USING (id)
+        UNION ALL SELECT doc_id, NULL, NULL, NULL, 'empty_ocr', 0, '{name}', NULL, NULL, NULL, NULL FROM documents WHERE coalesce({sql.strip('text')}, '') = ''"""
+
+
 _BOX_LISTS = """pages AS (SELECT l_orderkey, {'y1': y1, 'x1': x1, 'x2': x2, 'y2': y2} AS b, row_number() OVER (PARTITION BY l_orderkey ORDER BY y1, x1, x2, y2) AS rn FROM b)"""
 
 
@@ -442,6 +505,7 @@ def _edge(f: str, name: str) -> str:
 
 
 ORACLE = {
+    **{f"strategy_{n}": _strategy_sql(n) for n in strategies.STRATEGIES},
     "boxes_order": f"""{_bands(0.3)}
         SELECT l_orderkey, to_json(flatten(list_transform(gs, lambda g: list_sort(list_transform(g, lambda m: {{'x1': m.x1, 'y1': m.y1, 'x2': m.x2, 'y2': m.y2}})))))::VARCHAR AS boxes FROM bands""",
     "boxes_band_merge": f"""{_bands(0.2)}
