@@ -146,3 +146,48 @@ def test_box_geometry(spark):
     got = boxes.segmented(page, "b", F.lit(100), F.lit(1000), ink(1)).first()["boxes"]
     assert len(got) == 3
     assert records.RECORD.startswith("struct")
+
+
+def test_whole_runs(spark, tmp_path):
+    from vellumine.__main__ import main
+    from vellumine.operators import runs
+
+    for name, text in (("b_full.txt", "Title b\n1920-01-01"), ("a_full.txt", ""), ("c_full.txt", "Title c")):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / name).write_text(text)
+    told = runs.extract_texts(spark, str(tmp_path / "in"), str(tmp_path / "out"), config.Profile(save_raw_output=True, strategy="chunked"), "echo", limit=2)
+    assert (told["docs_total"], told["docs_written"], told["errors"]) == (3, 2, 1)
+    rows = [json.loads(r[0]) for r in spark.read.text(str(tmp_path / "out/predictions")).orderBy("value").collect()]
+    by = {r["file_name"]: r for r in rows}
+    assert set(by) == {"a_full.txt", "b_full.txt"} and by["a_full.txt"]["error"] == "empty_ocr" and by["b_full.txt"]["prediction"]["identifier"] == "b" and "raw_output" not in by["b_full.txt"]
+    assert spark.read.parquet(str(tmp_path / "out/raw_outputs")).count() == 1
+    assert main(["extract", str(tmp_path / "in"), str(tmp_path / "again"), "--strategy", "baseline", "--no-do-sample"]) == 0
+    assert json.loads((tmp_path / "again/run.json").read_text())["docs_written"] == 3
+    program = tmp_path / "reader"
+    program.write_text("#!/bin/sh\ncat > /dev/null\necho some text\n")
+    program.chmod(0o755)
+    (tmp_path / "scans").mkdir()
+    image = bytearray(b"\xff" * 300 * 400)
+    for y in range(60, 240, 12):
+        for x in range(60, 330):
+            image[y * 400 + x] = image[(y + 1) * 400 + x] = image[(y + 2) * 400 + x] = 0
+    (tmp_path / "scans/x.pgm").write_bytes(b"P5 400 300 255\n" + bytes(image))
+    (tmp_path / "scans/y.png").write_bytes(b"no image")
+    (tmp_path / "scans/x.png").write_bytes(b"P5 400 300 255\n" + bytes(image))
+    assert main(["ocr", str(tmp_path / "scans"), str(tmp_path / "read"), "--engine", "tesseract", "lang=deu", "config=--psm 6", f"program={program}"]) == 0
+    assert json.loads((tmp_path / "read/run.json").read_text())["docs"] == {"ok": 1, "error": 1}
+    assert "some text" in json.loads(spark.read.text(str(tmp_path / "read/ocr_only")).first()[0])["ocr_text"]
+    report = {r["file_name"]: r["status"] for r in readers.report(spark, str(tmp_path / "read/report")).collect()}
+    assert report == {"x.png": "ok", "y.png": "error"}
+
+
+def test_checkpoints_need_a_shared_folder():
+    from types import SimpleNamespace
+
+    from vellumine.session import shared_dir
+
+    fake = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master="spark://host:1"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(fake)
+    fake.conf["spark.checkpoint.dir"] = "/shared"
+    assert shared_dir(fake) == "/shared"
