@@ -294,6 +294,14 @@ def test_defects_and_paragraphs(spark):
     assert ocr.defects(df.limit(0), "id", "t").count() == 0
 
 
+def test_lexicon_has_a_bound(spark):
+    df = texts(spark, [f"common word{i % 40} rare{i}" for i in range(400)] + [None, ""])
+    words, total, share = ocr.lexicon_of(df, "t")
+    assert total == 400 and share == ocr.SHARE and words["common"] == 400 and words["word1"] == 10 and "rare1" not in words
+    few, _, raised = ocr.lexicon_of(df, "t", most=5)
+    assert few == {"common": 400} and raised > share
+
+
 def test_bounded_samples(spark):
     df = texts(spark, ["same"] * 500 + [str(i) for i in range(500)] + [None])
     got = sampling.bounded(df, "t", 50)
