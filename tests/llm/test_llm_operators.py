@@ -302,6 +302,34 @@ def test_lexicon_has_a_bound(spark):
     assert few == {"common": 400} and raised > share
 
 
+def test_a_lexicon_in_parts_gives_the_same_rows(spark):
+    words = "Stahl Bohrgestell Federring Bremsring Federrad Deckelrad verbunden Bremsgestell".split()
+    plain = [f"{DE}Der {words[i % 8]} und der {words[(i + 3) % 8]} liegen frei, weil die Stange sie hält.\n{FR}" for i in range(400)]
+    odd = [
+        DE.replace("durch", "dureh"), "Die Stange ist aus 5tahl.", "Das 8ohrgestell liegt frei und das Bremsrinq auch.", "Der Deckelrinq liegt bei dem 8remsrad frei.",
+        "Die Welle ist mit dem Lager ver-\n\n— 2 —\n\nbundcn und wird durch eine Feder gehalten.", "Die Welle ist mit dem Lager ver\nbunden und das Rad liegt frei.",
+        "Die Stange ist aus 5ta-\nhl und das Rad liegt frei.", "Der Ein- und\nDeckel liegt frei, den Ein-\nund das Rad.", None, "", "  \n", "x", "K" * 60, DE.replace("durch", "dureh"),
+    ]
+    keys = "id + 1152921504606846977 AS word"  # not exact as a float
+    df = texts(spark, plain + odd).selectExpr(keys, "t AS chunk").repartition(5)
+    found = [tuple(r) for r in ocr.defects(df, "word", "chunk").collect()]
+    assert {kind for _, _, kind in found} == {"hyphen", "misread", "running"} and len({k for k, _, kind in found if kind == "misread"}) >= 7
+    whole = [tuple(r) for r in ocr.paragraphs(df, "word", "chunk").collect()]
+    for most in (20, 3):
+        assert sorted(map(tuple, ocr.defects(df, "word", "chunk", most=most).collect())) == sorted(found)
+        assert sorted(map(tuple, ocr.paragraphs(df, "word", "chunk", most=most).collect())) == sorted(whole)
+    assert ocr.defects(df, "word", "chunk", most=3).schema == ocr.defects(df, "word", "chunk").schema
+
+
+def test_confusions_of_a_table_of_words(spark):
+    random.seed(9)
+    proper = {"".join(random.choices("abcdefghilmnoprstuzäß", k=random.randint(5, 9))): random.randint(2, 400) for _ in range(600)}
+    wrong = {w[:1] + w[1:-2].replace("z", "x", 1) + w[-2:]: 3 for w in proper} | {w.replace("b", "8").replace("m", "rn").capitalize(): 2 for w in proper} | {"s" * 30: 2, "a": 9}
+    words = proper | wrong
+    got = ocr.confusions_of(spark.createDataFrame(list(words.items()), "word string, n bigint"))
+    assert got == ocr.learned_confusions(words) and "z" in got["x"]
+
+
 def test_bounded_samples(spark):
     df = texts(spark, ["same"] * 500 + [str(i) for i in range(500)] + [None])
     got = sampling.bounded(df, "t", 50)
